@@ -91,3 +91,15 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
                     & (facts[fact_date] >= side[valid_from])
                     & (facts[fact_date] <= side[valid_to]))
     return facts.join(side, cond, how)
+
+
+def unresolved_count(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
+    """How many ``rows`` find no ``lookup`` row on ``key`` (NULL keys never do).
+
+    The lookup keys are de-duplicated first; the anti join then needs no
+    more than one row per key on its build side.
+    """
+    keys = lookup.select(key).where(F.col(key).isNotNull()).distinct()
+    flagged = rows.select(key).join(keys.withColumn("_hit", F.lit(True)), key, "left")
+    return flagged.agg(F.count(F.lit(1)).alias("postcodes"),
+                       F.count_if(F.col("_hit").isNull()).alias("unmatched_postcodes"))
