@@ -203,3 +203,65 @@ MART = T.StructType([
     T.StructField("avg_crime_score", T.DoubleType()),
     T.StructField("avg_education_score", T.DoubleType()),
 ])
+
+# All 57 deprivation-file columns in file order (snake form).
+IMD_COLUMNS = [
+    "lsoa_code_2011",
+    "lsoa_name_2011",
+    "local_authority_district_code_2019",
+    "local_authority_district_name_2019",
+    "index_of_multiple_deprivation_imd_score",
+    "index_of_multiple_deprivation_imd_rank_where_1_is_most_depri",
+    "index_of_multiple_deprivation_imd_decile_where_1_is_most_dep",
+    "income_score_rate",
+    "income_rank_where_1_is_most_deprived",
+    "income_decile_where_1_is_most_deprived_10_of_lsoas",
+    "employment_score_rate",
+    "employment_rank_where_1_is_most_deprived",
+    "employment_decile_where_1_is_most_deprived_10_of_lsoas",
+    "education_skills_and_training_score",
+    "education_skills_and_training_rank_where_1_is_most_deprived",
+    "education_skills_and_training_decile_where_1_is_most_deprive",
+    "health_deprivation_and_disability_score",
+    "health_deprivation_and_disability_rank_where_1_is_most_depri",
+    "health_deprivation_and_disability_decile_where_1_is_most_dep",
+    "crime_score",
+    "crime_rank_where_1_is_most_deprived",
+    "crime_decile_where_1_is_most_deprived_10_of_lsoas",
+    "barriers_to_housing_and_services_score",
+    "barriers_to_housing_and_services_rank_where_1_is_most_depriv",
+    "barriers_to_housing_and_services_decile_where_1_is_most_depr",
+    "living_environment_score",
+    "living_environment_rank_where_1_is_most_deprived",
+    "living_environment_decile_where_1_is_most_deprived_10_of_lso",
+    "income_deprivation_affecting_children_index_idaci_score_rate",
+    "income_deprivation_affecting_children_index_idaci_rank_where",
+    "income_deprivation_affecting_children_index_idaci_decile_whe",
+    "income_deprivation_affecting_older_people_idaopi_score_rate",
+    "income_deprivation_affecting_older_people_idaopi_rank_where_",
+    "income_deprivation_affecting_older_people_idaopi_decile_wher",
+    "children_and_young_people_sub_domain_score",
+    "children_and_young_people_sub_domain_rank_where_1_is_most_de",
+    "children_and_young_people_sub_domain_decile_where_1_is_most_",
+    "adult_skills_sub_domain_score",
+    "adult_skills_sub_domain_rank_where_1_is_most_deprived",
+    "adult_skills_sub_domain_decile_where_1_is_most_deprived_10_o",
+    "geographical_barriers_sub_domain_score",
+    "geographical_barriers_sub_domain_rank_where_1_is_most_depriv",
+    "geographical_barriers_sub_domain_decile_where_1_is_most_depr",
+    "wider_barriers_sub_domain_score",
+    "wider_barriers_sub_domain_rank_where_1_is_most_deprived",
+    "wider_barriers_sub_domain_decile_where_1_is_most_deprived_10",
+    "indoors_sub_domain_score",
+    "indoors_sub_domain_rank_where_1_is_most_deprived",
+    "indoors_sub_domain_decile_where_1_is_most_deprived_10_of_lso",
+    "outdoors_sub_domain_score",
+    "outdoors_sub_domain_rank_where_1_is_most_deprived",
+    "outdoors_sub_domain_decile_where_1_is_most_deprived_10_of_ls",
+    "total_population_mid_2015_excluding_prisoners",
+    "dependent_children_aged_0_15_mid_2015_excluding_prisoners",
+    "population_aged_16_59_mid_2015_excluding_prisoners",
+    "older_population_aged_60_and_over_mid_2015_excluding_prisone",
+    "working_age_population_18_59_64_for_use_with_employment_depr",
+]
+RAW_IMD = T.StructType([T.StructField(c, T.StringType()) for c in IMD_COLUMNS])
