@@ -56,13 +56,20 @@ def measure(df: DataFrame) -> tuple[int, int]:
 
 
 def checked_broadcast(df: DataFrame, limit: int | None = None,
-                      bounded_rows: int | None = None) -> tuple[DataFrame, SideSize]:
+                      bounded_rows: int | None = None, memo: dict | None = None,
+                      memo_key: str | None = None) -> tuple[DataFrame, SideSize]:
     """Return ``broadcast(df)`` if its size is within ``limit``, else ``df``.
 
     ``bounded_rows`` is a row count known by construction (a generated date
-    spine); then the size follows from the schema without a job.
+    spine); then the size follows from the schema without a job.  ``memo``
+    (with ``memo_key``) keeps a measurement for repeated uses of the same
+    side within one set of tables.
     """
     limit = broadcast_limit(df) if limit is None else limit
+    if memo is not None and memo_key is not None and memo_key in memo:
+        rows, nbytes = memo[memo_key]
+        size = SideSize(rows, nbytes, nbytes <= limit)
+        return (F.broadcast(df) if size.broadcast else df), size
     if bounded_rows is not None:
         width = 16 + 8 * len(df.columns) + sum(
             _FIXED_WIDTH.get(type(f.dataType), 32) for f in df.schema.fields)
@@ -70,12 +77,15 @@ def checked_broadcast(df: DataFrame, limit: int | None = None,
     else:
         rows, nbytes = measure(df)
         size = SideSize(rows, nbytes, nbytes <= limit)
+        if memo is not None and memo_key is not None:
+            memo[memo_key] = (rows, nbytes)
     return (F.broadcast(df) if size.broadcast else df), size
 
 
 def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key: str,
                   fact_date: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
-                  how: str = "left", limit: int | None = None) -> DataFrame:
+                  how: str = "left", limit: int | None = None, memo: dict | None = None,
+                  memo_key: str | None = None) -> DataFrame:
     """Join each fact to the versions of its key valid on the fact's date.
 
     Equality on the key plus ``valid_from <= date <= valid_to`` (both ends
@@ -86,7 +96,7 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
     measured size is under ``limit``; otherwise both sides are shuffled on the
     key and adaptive execution splits a skewed key partition.
     """
-    side, _ = checked_broadcast(versions, limit)
+    side, _ = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key)
     cond: Column = ((facts[fact_key] == side[version_key])
                     & (facts[fact_date] >= side[valid_from])
                     & (facts[fact_date] <= side[valid_to]))

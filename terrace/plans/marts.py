@@ -23,7 +23,7 @@ def _year_key_range(year_from: int, year_to: int) -> Column:
 
 
 def mart_rural_urban(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFrame,
-                     dim_prop: DataFrame) -> DataFrame:
+                     dim_prop: DataFrame, memo: dict | None = None) -> DataFrame:
     """Sales by year, rural/urban class, property type and new-build flag.
 
     fact -> calendar (broadcast, bounded), -> postcode version valid on the
@@ -38,9 +38,11 @@ def mart_rural_urban(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFrame,
     g = dim_geo.select(
         F.col("normalized_postcode").alias("g_postcode"), "valid_from", "valid_to",
         "urban_rural_flag", "imd_score", "crime_score", "education_score")
-    fdg = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="left")
+    fdg = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="left",
+                        memo=memo, memo_key="mart:geo")
     p, _ = checked_broadcast(dim_prop.select(
-        F.col("property_key").alias("p_key"), "property_type_desc", "new_build"))
+        F.col("property_key").alias("p_key"), "property_type_desc", "new_build"),
+        memo=memo, memo_key="mart:property")
     j = fdg.join(p, fdg["property_key"] == p["p_key"], "left")
     return j.groupBy(
         F.col("year").alias("sale_year"),
@@ -70,7 +72,7 @@ def avg_price_by_year(mart: DataFrame, year_from: int, year_to: int) -> DataFram
 
 
 def top_deprived_areas(fact: DataFrame, dim_geo: DataFrame, dim_date: DataFrame, year: int,
-                       max_decile: int = 2, k: int = 10) -> DataFrame:
+                       max_decile: int = 2, k: int = 10, memo: dict | None = None) -> DataFrame:
     """Top-k districts/classes by mean deprivation score among the most
     deprived postcodes, for sales in ``year`` (inner validity join)."""
     f = fact.where(_year_key_range(year, year)).select(
@@ -80,7 +82,8 @@ def top_deprived_areas(fact: DataFrame, dim_geo: DataFrame, dim_date: DataFrame,
     g = dim_geo.where(F.col("imd_decile") <= max_decile).select(
         F.col("normalized_postcode").alias("g_postcode"), "valid_from", "valid_to",
         "lad_code", "ruc21nm", "imd_score")
-    j = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="inner")
+    j = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="inner",
+                      memo=memo, memo_key=f"deprived:{max_decile}")
     agg = j.groupBy("lad_code", "ruc21nm").agg(
         F.round(mean("imd_score"), 2).alias("avg_imd_score"),
         F.round(mean("price"), 0).alias("avg_sale_price_gbp"),
@@ -92,14 +95,15 @@ def top_deprived_areas(fact: DataFrame, dim_geo: DataFrame, dim_date: DataFrame,
 
 def detached_new_builds(fact: DataFrame, dim_date: DataFrame, dim_prop: DataFrame, year: int,
                         property_type_desc: str = "Detached", tenure_desc: str = "Freehold",
-                        new_build: bool = True, k: int = 50) -> DataFrame:
+                        new_build: bool = True, k: int = 50, memo: dict | None = None) -> DataFrame:
     """Top-k sales by price of one property kind in ``year``."""
     f = fact.where(_year_key_range(year, year)).select("transaction_id", "price", "date_key", "property_key")
     d = _date_side(dim_date.where(F.col("year") == year), "date_key", "full_date")
     p, _ = checked_broadcast(dim_prop.where(
         (F.col("property_type_desc") == property_type_desc) & (F.col("tenure_desc") == tenure_desc)
         & (F.col("new_build") == F.lit(new_build))).select(
-        F.col("property_key").alias("p_key"), "property_type_desc", "tenure_desc"))
+        F.col("property_key").alias("p_key"), "property_type_desc", "tenure_desc"),
+        memo=memo, memo_key=f"kind:{property_type_desc}:{tenure_desc}:{new_build}")
     j = f.join(d, "date_key", "inner").join(p, F.col("property_key") == F.col("p_key"), "inner")
     return (j.select("transaction_id", "price", F.col("full_date").alias("sale_date"),
                      "property_type_desc", "tenure_desc")

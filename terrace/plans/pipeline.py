@@ -20,7 +20,7 @@ from terrace import schemas
 from terrace.operators import incremental as inc
 from terrace.operators import quality
 from terrace.plans import gold, marts, silver
-from terrace.session import checkpoint_dir
+from terrace.session import stream_checkpoint
 from terrace.sinks.tables import VersionedTable, write_table
 from terrace.sources import files
 from terrace.streaming import ingest
@@ -55,7 +55,6 @@ def ingest_reference(spark: SparkSession, landing_dir: str, root: str, run_ts: _
     remembers processed files, and ``cleanSource=archive`` moves them.
     """
     loaded = []
-    ckpt = checkpoint_dir(spark)
     archive = archive_dir or os.path.join(os.path.dirname(landing_dir.rstrip("/")), "processed")
     for prefix, table in files.REFERENCE_MAP.items():
         out = f"{root}/raw/{table}"
@@ -78,7 +77,7 @@ def ingest_reference(spark: SparkSession, landing_dir: str, root: str, run_ts: _
                   .withColumn("_file", F.col("_metadata.file_path"))
                   .withColumn("_mtime", F.col("_metadata.file_modification_time")))
         q = (stream.writeStream.foreachBatch(load)
-             .option("checkpointLocation", os.path.join(ckpt, "landing", prefix))
+             .option("checkpointLocation", stream_checkpoint(spark, out, f"landing-{prefix}"))
              .trigger(availableNow=True).start())
         q.awaitTermination()
         loaded.append(table)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,10 +22,15 @@ class Star:
     dim_location: DataFrame
     dim_date: DataFrame
     fact_sales: DataFrame
+    # Broadcast-size measurements of dimension sides over these tables.
+    memo: dict = field(default_factory=dict)
+    _mart: DataFrame | None = None
 
     def mart(self) -> DataFrame:
-        return marts.mart_rural_urban(self.fact_sales, self.dim_date, self.dim_geography,
-                                      self.dim_property)
+        if self._mart is None:
+            self._mart = marts.mart_rural_urban(self.fact_sales, self.dim_date, self.dim_geography,
+                                                self.dim_property, self.memo)
+        return self._mart
 
 
 def build_star(spark: SparkSession, raw: dict[str, DataFrame],

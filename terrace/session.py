@@ -73,3 +73,14 @@ _LOCAL_DIRS: dict[str, str] = {}
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def stream_checkpoint(spark: SparkSession, owner: str, name: str) -> str:
+    """Checkpoint folder of stream ``name`` feeding the table at ``owner``.
+
+    Scoped by the target path, so two warehouses sharing the cluster's
+    checkpoint folder never read each other's progress.
+    """
+    import hashlib
+    tag = hashlib.sha1(owner.rstrip("/").encode()).hexdigest()[:16]
+    return os.path.join(checkpoint_dir(spark), "streams", tag, name)

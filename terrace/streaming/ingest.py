@@ -13,14 +13,13 @@ no-op).
 from __future__ import annotations
 
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import schemas
 from terrace.operators.merge import keyed_upsert
-from terrace.session import checkpoint_dir
+from terrace.session import stream_checkpoint
 from terrace.sinks.tables import VersionedTable
 from terrace.streaming import messages
 
@@ -104,7 +103,7 @@ def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_serve
     batch ids); give each full run its own name.
     """
     table = VersionedTable(spark, bronze_path, _bronze_partition)
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+    ckpt = stream_checkpoint(spark, bronze_path, name)
     if mode == "full" and table.last_batch_id(name) is None:
         table.overwrite(spark.createDataFrame([], schemas.RAW_PPD))
     stream = message_stream(spark, bootstrap_servers=bootstrap_servers, topic=topic, folder=folder,
