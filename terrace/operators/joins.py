@@ -17,6 +17,9 @@ from pyspark.sql import types as T
 # Default ceiling for a broadcast side (bytes held in memory per executor).
 DEFAULT_BROADCAST_LIMIT = 128 * 1024 * 1024
 _CONF_KEY = "terrace.broadcast.maxBytes"
+# Opt-in up-front split of hot keys in shuffled validity joins (adaptive
+# execution already splits skewed partitions at run time).
+_SPLIT_CONF = "terrace.join.splitHotKeys"
 
 _FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
@@ -82,25 +85,69 @@ def checked_broadcast(df: DataFrame, limit: int | None = None,
     return (F.broadcast(df) if size.broadcast else df), size
 
 
+def hot_keys(df: DataFrame, key: str, share: float = 0.01, fraction: float = 0.01,
+             seed: int = 17) -> list:
+    """Keys holding more than ``share`` of ``df``'s rows, estimated on a
+    ``fraction`` sample.  At most ``1 / share`` keys qualify, so the list
+    (and anything keyed by it) has a proven size bound."""
+    counts = df.select(key).sample(fraction=fraction, seed=seed).groupBy(key).count()
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    if total == 0:
+        return []
+    top = counts.orderBy(F.desc("count")).limit(int(1 / share)).collect()
+    return [r[key] for r in top if r["count"] > share * total]
+
+
+def _interval(facts: DataFrame, side: DataFrame, fact_key: str, version_key: str, fact_date: str,
+              valid_from: str, valid_to: str) -> Column:
+    return ((facts[fact_key] == side[version_key])
+            & (facts[fact_date] >= side[valid_from])
+            & (facts[fact_date] <= side[valid_to]))
+
+
 def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key: str,
                   fact_date: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                   how: str = "left", limit: int | None = None, memo: dict | None = None,
-                  memo_key: str | None = None) -> DataFrame:
+                  memo_key: str | None = None, split_hot_keys: bool | None = None,
+                  hot_share: float = 0.01, hot_limit: int | None = None) -> DataFrame:
     """Join each fact to the versions of its key valid on the fact's date.
 
     Equality on the key plus ``valid_from <= date <= valid_to`` (both ends
     inclusive).  Overlapping versions fan out; facts with no valid version keep
     NULLs on a left join.  The key equality stays the hash/sort key and the
     interval is a residual condition, so the join never degenerates into a
-    range or nested-loop join.  The versions side is broadcast only when its
-    measured size is under ``limit``; otherwise both sides are shuffled on the
-    key and adaptive execution splits a skewed key partition.
+    range or nested-loop join.
+
+    The versions side is broadcast only when its measured size is under
+    ``limit``.  Otherwise both sides are shuffled on the key; adaptive
+    execution splits a skewed key partition at run time, and with
+    ``split_hot_keys`` keys holding more than ``hot_share`` of the facts are
+    split off up front: their facts join a broadcast of their (size-checked)
+    versions without any shuffle, and only the remaining keys are shuffled.
     """
-    side, _ = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key)
-    cond: Column = ((facts[fact_key] == side[version_key])
-                    & (facts[fact_date] >= side[valid_from])
-                    & (facts[fact_date] <= side[valid_to]))
-    return facts.join(side, cond, how)
+    if split_hot_keys is None:
+        split_hot_keys = facts.sparkSession.conf.get(_SPLIT_CONF, "false").lower() == "true"
+    side, size = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key)
+    plain = facts.join(side, _interval(facts, side, fact_key, version_key, fact_date, valid_from, valid_to),
+                       how)
+    if size.broadcast or not split_hot_keys or how not in ("left", "inner"):
+        return plain
+    hot = hot_keys(facts, fact_key, hot_share)
+    if not hot:
+        return plain
+    hot_versions = versions.where(F.col(version_key).isin(hot))
+    hv_side, hv_size = checked_broadcast(hot_versions, hot_limit)
+    if not hv_size.broadcast:
+        return plain
+    is_hot = F.col(fact_key).isin(hot)
+    hot_facts = facts.where(is_hot)
+    cold_facts = facts.where(~is_hot | F.col(fact_key).isNull())
+    cold_versions = versions.where(~F.col(version_key).isin(hot) | F.col(version_key).isNull())
+    hot_part = hot_facts.join(hv_side, _interval(hot_facts, hv_side, fact_key, version_key, fact_date,
+                                                 valid_from, valid_to), how)
+    cold_part = cold_facts.join(cold_versions, _interval(cold_facts, cold_versions, fact_key, version_key,
+                                                         fact_date, valid_from, valid_to), how)
+    return hot_part.unionByName(cold_part)
 
 
 def unresolved_count(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:

@@ -40,13 +40,15 @@ def dim_geography(onspd: DataFrame, ruc: DataFrame, imd: DataFrame) -> DataFrame
     """Postcode versions enriched with rural/urban class (2021 areas) and
     deprivation scores (2011 areas); both lookups are left joins.
 
-    The two lookups are keyed by small-area code: one row per area, a few tens
-    of thousands of rows nationally, so a plain join lets the planner
-    broadcast them by their statistics; no size hint is forced.
+    The two lookups are keyed by small-area code (one row per area, a few
+    tens of thousands nationally).  Each is broadcast after its measured size
+    passes the check, so the postcode side is never shuffled for them;
+    otherwise they are joined by shuffle on the area code.
     """
+    from terrace.operators.joins import checked_broadcast
     o = onspd.alias("o")
-    r = ruc.alias("r")
-    i = imd.alias("i")
+    r = checked_broadcast(ruc)[0].alias("r")
+    i = checked_broadcast(imd)[0].alias("i")
     j = (o.join(r, F.col("o.lsoa21cd") == F.col("r.lsoa21cd"), "left")
           .join(i, F.col("o.lsoa11cd") == F.col("i.lsoa11cd"), "left"))
     cols = [F.col("o.onspd_key").alias("geography_key")]

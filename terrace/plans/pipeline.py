@@ -88,7 +88,7 @@ def ingest_ppd_file(spark: SparkSession, path: str, root: str, mode: str, run_ts
     """Bronze sales from the transaction file: full replaces, incremental
     merges by key (ordered by file position)."""
     rows = files.read_ppd(spark, path, mode, run_ts)
-    table = VersionedTable(spark, f"{root}/raw/ppd", _year("transfer_date"))
+    table = VersionedTable(spark, f"{root}/raw/ppd", _year("transfer_date"), ["transaction_id"])
     if mode == "full":
         return table.overwrite(rows)
     return table.upsert(rows, "transaction_id", lambda cur, new: inc.replace_by_key(cur, new, "transaction_id"))
@@ -96,7 +96,7 @@ def ingest_ppd_file(spark: SparkSession, path: str, root: str, mode: str, run_ts
 
 def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime) -> dict[str, int]:
     raw = VersionedTable(spark, f"{root}/raw/ppd").read()
-    table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"))
+    table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"), ["transaction_id"])
     current = table.read() if mode != "full" else None
     out: dict[str, int] = {}
     if current is None:
@@ -121,7 +121,8 @@ def build_gold(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime)
     write_table(gold.dim_property(s_ppd), f"{root}/gold/dim_property")
     write_table(gold.dim_location(s_ppd), f"{root}/gold/dim_location")
     write_table(gold.dim_date(spark), f"{root}/gold/dim_date")
-    fact = VersionedTable(spark, f"{root}/gold/fact_sales", lambda: (F.col("date_key") / 10000).cast("int"))
+    fact = VersionedTable(spark, f"{root}/gold/fact_sales", lambda: (F.col("date_key") / 10000).cast("int"),
+                          ["date_key", "transaction_id"])
     current = fact.read() if mode != "full" else None
     if current is None:
         v = fact.overwrite(gold.fact_sales(s_ppd, run_ts))

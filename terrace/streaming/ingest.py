@@ -102,7 +102,7 @@ def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_serve
     existing one.  ``name`` identifies the stream (its checkpoint and its
     batch ids); give each full run its own name.
     """
-    table = VersionedTable(spark, bronze_path, _bronze_partition)
+    table = VersionedTable(spark, bronze_path, _bronze_partition, ["transaction_id"])
     ckpt = stream_checkpoint(spark, bronze_path, name)
     if mode == "full" and table.last_batch_id(name) is None:
         table.overwrite(spark.createDataFrame([], schemas.RAW_PPD))

@@ -56,3 +56,23 @@ def test_unresolved_count(spark):
     look = spark.createDataFrame([("a",), ("a",)], "k string")
     r = joins.unresolved_count(rows, look, "k").first()
     assert (r.postcodes, r.unmatched_postcodes) == (4, 2)
+
+
+def test_hot_key_split_equals_plain_join(spark):
+    import random
+    rnd = random.Random(3)
+    facts = [(f"t{i}", "HOT" if i % 3 == 0 else f"K{rnd.randint(0, 50)}", D(1998, 1 + i % 12, 1))
+             for i in range(3000)]
+    versions = [("vh1", "HOT", D(1990, 1, 1), D(1998, 6, 30)), ("vh2", "HOT", D(1998, 6, 1), D(2099, 1, 1))]
+    versions += [(f"v{k}", f"K{k}", D(1997, 1, 1), D(1998, 8, 31)) for k in range(0, 50, 2)]
+    f = spark.createDataFrame(facts, "tid string, pc string, d date")
+    v = spark.createDataFrame(versions, "vid string, gpc string, valid_from date, valid_to date")
+    assert joins.hot_keys(f, "pc", 0.05, 0.5) == ["HOT"]
+    for how in ("left", "inner"):
+        plain = joins.validity_join(f, v, "pc", "gpc", "d", how=how, limit=0)
+        split = joins.validity_join(f, v, "pc", "gpc", "d", how=how, limit=0, split_hot_keys=True,
+                                    hot_share=0.05)
+        assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+        a = sorted(map(tuple, plain.select("tid", "vid").collect()), key=str)
+        b = sorted(map(tuple, split.select("tid", "vid").collect()), key=str)
+        assert a == b and len(a) >= 3000 if how == "left" else a == b
