@@ -111,12 +111,12 @@ def detached_new_builds(fact: DataFrame, dim_date: DataFrame, dim_prop: DataFram
              .limit(k))
 
 
-def mart_since(mart: DataFrame, year_from: int) -> DataFrame:
+def mart_since(mart: DataFrame, year_from: int, ordered: bool = True) -> DataFrame:
     """Mart rows from ``year_from`` on, average rounded to pounds."""
-    return (mart.where(F.col("sale_year") >= year_from)
-                .select("sale_year", "urban_rural_flag", "property_type",
-                        F.round("average_price", 0).alias("avg_price_gbp"), "total_transactions")
-                .orderBy(F.asc_nulls_last("sale_year"), F.asc_nulls_last("urban_rural_flag")))
+    out = (mart.where(F.col("sale_year") >= year_from)
+               .select("sale_year", "urban_rural_flag", "property_type",
+                       F.round("average_price", 0).alias("avg_price_gbp"), "total_transactions"))
+    return out.orderBy(F.asc_nulls_last("sale_year"), F.asc_nulls_last("urban_rural_flag")) if ordered else out
 
 
 def mart_group_mean(since: DataFrame) -> DataFrame:

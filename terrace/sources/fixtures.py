@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace import schemas
+from terrace.operators.joins import checked_broadcast
 
 # Fixed load timestamp of the fixtures, so results are repeatable.
 FIXTURE_INGESTED_AT = _dt.datetime(2026, 1, 25, 6, 0, 0)
@@ -53,6 +54,9 @@ def raw_ppd(spark: SparkSession, sf_dir: str, ingested_at: _dt.datetime = FIXTUR
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
     cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "n_name", "r_name")
+    # Customers are a tenth of the orders: broadcast them only under the size
+    # check (never the orders side); beyond it both are shuffled on the key.
+    cust, _ = checked_broadcast(cust)
     j = o.join(cust, o.o_custkey == cust.c_custkey)
     k = F.col("o_orderkey")
     ck = F.col("o_custkey")

@@ -43,3 +43,18 @@ def test_null_update_overwrites(spark):
     t = spark.createDataFrame([("a", 5, 1, "x")], COLS)
     b = spark.createDataFrame([("a", None, 2, "y")], COLS)
     assert [tuple(r) for r in keyed_upsert(t, b, "k", "seq", UPD).collect()] == [("a", None, 2, "x")]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcde"), st.integers(0, 9)), min_size=1, max_size=40),
+       st.integers(0, 40))
+def test_upsert_property(spark, events, cut):
+    rows = [(k, p, i, f"a{i}") for i, (k, p) in enumerate(events)]
+    t = spark.createDataFrame([], COLS)
+    for b in (rows[:cut], rows[cut:]):
+        if b:
+            t = keyed_upsert(t, spark.createDataFrame(b, COLS), "k", "seq", UPD)
+    assert sorted(tuple(r) for r in t.collect()) == replay(rows)
