@@ -102,8 +102,10 @@ class VersionedTable:
         m.coalesce(1).write.mode("overwrite").json(f"{self._manifest_dir()}/v={version}")
 
     # -- read -------------------------------------------------------------
-    def read(self, with_part: bool = False) -> DataFrame | None:
-        _, entries = self._latest()
+    def read(self, with_part: bool = False, entries: list | None = None) -> DataFrame | None:
+        """The current version (``entries``: an already-read manifest)."""
+        if entries is None:
+            _, entries = self._latest()
         live = [(e[0], e[1]) for e in entries if e[1]]
         if not live:
             return None
@@ -159,12 +161,12 @@ class VersionedTable:
         when its partitioning column changes).  Both sets are collected as
         partition values only, bounded by the partition count.
         """
-        if batch_id is not None:
-            last = self.last_batch_id(stream)
-            if last is not None and batch_id <= last:
-                return self.version()  # already committed: replay is a no-op
         version, entries = self._latest()
-        current = self.read(with_part=True)
+        if batch_id is not None:
+            done = [b for _, _, b, s in entries if b is not None and s == stream]
+            if done and batch_id <= max(done):
+                return version  # already committed: replay is a no-op
+        current = self.read(with_part=True, entries=entries)
         if current is None:
             first = combine(None, incoming) if _accepts_none(combine) else incoming
             return self.overwrite(first, batch_id, stream)

@@ -51,19 +51,26 @@ def publish(ppd_text: DataFrame, ingested_at: _dt.datetime, mode: str, *,
 
 
 def message_stream(spark: SparkSession, *, bootstrap_servers: str | None = None, topic: str = TOPIC,
-                   folder: str | None = None, max_per_trigger: int = BATCH_ROWS,
-                   files_per_trigger: int = 64) -> DataFrame:
-    """Streaming DataFrame of (value, order columns) from the earliest offset."""
+                   folder: str | None = None, max_per_trigger: int | None = BATCH_ROWS,
+                   files_per_trigger: int | None = 64) -> DataFrame:
+    """Streaming DataFrame of (value, order columns) from the earliest offset.
+
+    ``None`` limits mean one micro-batch takes the whole backlog.
+    """
     if bootstrap_servers:
-        src = (spark.readStream.format("kafka")
-               .option("kafka.bootstrap.servers", bootstrap_servers)
-               .option("subscribe", topic).option("startingOffsets", "earliest")
-               .option("maxOffsetsPerTrigger", max_per_trigger).load())
+        r = (spark.readStream.format("kafka")
+             .option("kafka.bootstrap.servers", bootstrap_servers)
+             .option("subscribe", topic).option("startingOffsets", "earliest"))
+        if max_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", max_per_trigger)
+        src = r.load()
         return src.select(F.col("value").cast("string").alias("value"),
                           F.col("partition").cast("long").alias("_src"),
                           F.col("offset").alias("_pos"))
-    src = (spark.readStream.format("text").option("maxFilesPerTrigger", files_per_trigger)
-           .load(folder))
+    r = spark.readStream.format("text")
+    if files_per_trigger:
+        r = r.option("maxFilesPerTrigger", files_per_trigger)
+    src = r.load(folder)
     # File order: modification time, then name; within a file, read order
     # (numbered per micro-batch in ``merge_batch``).
     return src.select("value",
@@ -95,19 +102,27 @@ def merge_batch(table: VersionedTable, batch: DataFrame, batch_id: int, stream:
 
 def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_servers: str | None = None,
             topic: str = TOPIC, folder: str | None = None, name: str = "ppd_consumer",
-            max_per_trigger: int = BATCH_ROWS) -> int:
+            max_per_trigger: int | None = -1) -> int:
     """Drain the topic into ``bronze_path``; returns the committed table version.
 
     ``full`` starts from an empty table; ``incremental`` merges into the
     existing one.  ``name`` identifies the stream (its checkpoint and its
     batch ids); give each full run its own name.
+
+    Each micro-batch rewrites the year partitions it touches, so batch size
+    is a cost trade-off, not a memory bound (a micro-batch is distributed):
+    a full load drains the whole backlog in one batch, an incremental run
+    takes ``BATCH_ROWS`` messages per batch (its rows touch recent years only).
     """
+    if max_per_trigger == -1:
+        max_per_trigger = None if mode == "full" else BATCH_ROWS
     table = VersionedTable(spark, bronze_path, _bronze_partition, ["transaction_id"])
     ckpt = stream_checkpoint(spark, bronze_path, name)
     if mode == "full" and table.last_batch_id(name) is None:
         table.overwrite(spark.createDataFrame([], schemas.RAW_PPD))
     stream = message_stream(spark, bootstrap_servers=bootstrap_servers, topic=topic, folder=folder,
-                            max_per_trigger=max_per_trigger)
+                            max_per_trigger=max_per_trigger,
+                            files_per_trigger=None if max_per_trigger is None else 64)
     q = (stream.writeStream.foreachBatch(lambda df, bid: merge_batch(table, df, bid, name))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
