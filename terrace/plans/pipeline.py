@@ -96,13 +96,14 @@ def ingest_ppd_file(spark: SparkSession, path: str, root: str, mode: str, run_ts
 
 def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime) -> dict[str, int]:
     raw = VersionedTable(spark, f"{root}/raw/ppd").read()
-    table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"), ["transaction_id"])
-    current = table.read() if mode != "full" else None
+    table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"), ["transaction_id"],
+                           marks=["transfer_date"])
     out: dict[str, int] = {}
-    if current is None:
+    if mode == "full" or not table.manifest().parts:
         out["silver_ppd"] = table.overwrite(silver.silver_ppd(raw, run_ts))
     else:
-        mark = inc.high_water_mark(current, "transfer_date", inc.DEFAULT_DATE_MARK)
+        # High-water mark from the manifest's per-partition maxima: no scan.
+        mark = table.mark("transfer_date", inc.DEFAULT_DATE_MARK)
         new = silver.silver_ppd(inc.newer_than(raw, "transfer_date", mark), run_ts)
         out["silver_ppd"] = table.upsert(
             new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"))
@@ -122,12 +123,11 @@ def build_gold(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime)
     write_table(gold.dim_location(s_ppd), f"{root}/gold/dim_location")
     write_table(gold.dim_date(spark), f"{root}/gold/dim_date")
     fact = VersionedTable(spark, f"{root}/gold/fact_sales", lambda: (F.col("date_key") / 10000).cast("int"),
-                          ["date_key", "transaction_id"])
-    current = fact.read() if mode != "full" else None
-    if current is None:
+                          ["date_key", "transaction_id"], marks=["silver_updated_at"])
+    if mode == "full" or not fact.manifest().parts:
         v = fact.overwrite(gold.fact_sales(s_ppd, run_ts))
     else:
-        mark = inc.high_water_mark(current, "silver_updated_at", inc.DEFAULT_TS_MARK)
+        mark = fact.mark("silver_updated_at", inc.DEFAULT_TS_MARK)
         new = gold.fact_sales(inc.newer_than(s_ppd, "dbt_updated_at", mark), run_ts)
         v = fact.upsert(new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"))
     return {"fact_sales": v}

@@ -12,7 +12,12 @@ on any shared file system the cluster uses.
 
 from __future__ import annotations
 
+import datetime as _dt
+import decimal
+import json
 from collections.abc import Callable
+from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +25,47 @@ from pyspark.sql import types as T
 
 PART = "_part"
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+# Manifest rows: kind "part" (partition -> folder, with per-partition maxima
+# of the mark columns) or kind "stream" (newest batch id a stream committed).
 _MANIFEST_SCHEMA = T.StructType([
+    T.StructField("kind", T.StringType()),
     T.StructField("part", T.StringType()),
     T.StructField("location", T.StringType()),
-    T.StructField("batch_id", T.LongType()),
+    T.StructField("marks", T.StringType()),
     T.StructField("stream", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
 ])
-
 # Manifest folders are named v=<n>: partition discovery adds the version.
 _MANIFEST_READ_SCHEMA = T.StructType(_MANIFEST_SCHEMA.fields + [T.StructField("v", T.IntegerType())])
 
 
+@dataclass
+class Manifest:
+    version: int = 0
+    parts: dict = field(default_factory=dict)     # part value -> (location, {column: max})
+    streams: dict = field(default_factory=dict)   # stream name -> newest committed batch id
+
+
+def _encode_marks(marks: dict) -> str:
+    out = {}
+    for col, value in marks.items():
+        if isinstance(value, _dt.datetime):
+            out[col] = ["ts", value.isoformat()]
+        elif isinstance(value, _dt.date):
+            out[col] = ["date", value.isoformat()]
+        elif value is not None:
+            out[col] = ["num", str(value)]
+    return json.dumps(out, sort_keys=True)
+
+
+def _decode_marks(text: str | None) -> dict:
+    out = {}
+    for col, (kind, value) in json.loads(text or "{}").items():
+        out[col] = (_dt.datetime.fromisoformat(value) if kind == "ts" else
+                    _dt.date.fromisoformat(value) if kind == "date" else decimal.Decimal(value))
+    return out
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Materialise a model (``overwrite``) or append to a bronze table."""
@@ -62,7 +97,7 @@ class VersionedTable:
     """Partitioned Parquet table with copy-on-write of touched partitions."""
 
     def __init__(self, spark: SparkSession, path: str, partition: Callable[[], Column] | None = None,
-                 cluster_by: list[str] | None = None):
+                 cluster_by: list[str] | None = None, marks: list[str] | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition = partition or (lambda: F.lit("all"))
@@ -71,48 +106,61 @@ class VersionedTable:
         # partition holds most rows, few files per partition, and tight
         # min/max statistics for key lookups.
         self.cluster_by = list(cluster_by or [])
+        # Columns whose maximum the manifest keeps per partition, so a
+        # high-water mark needs no scan of the table.
+        self.marks = list(marks or [])
 
     # -- manifest ---------------------------------------------------------
     def _manifest_dir(self) -> str:
         return f"{self.path}/_manifest"
 
-    def _latest(self) -> tuple[int, list[tuple[str | None, str, int | None, str | None]]]:
+    def manifest(self) -> Manifest:
         try:
             m = self.spark.read.schema(_MANIFEST_READ_SCHEMA).json(self._manifest_dir())
             top = m.agg(F.max("v")).first()[0]
         except Exception as exc:  # no manifest yet
             if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return 0, []
+                return Manifest()
             raise
         if top is None:
-            return 0, []
-        rows = m.where(F.col("v") == top).select("part", "location", "batch_id", "stream").collect()
-        return int(top), [(r["part"], r["location"], r["batch_id"], r["stream"]) for r in rows]
+            return Manifest()
+        out = Manifest(int(top))
+        for r in m.where(F.col("v") == top).collect():  # one row per partition / stream
+            if r["kind"] == "part":
+                out.parts[r["part"]] = (r["location"], _decode_marks(r["marks"]))
+            elif r["kind"] == "stream":
+                out.streams[r["stream"]] = r["batch_id"]
+        return out
 
     def version(self) -> int:
-        return self._latest()[0]
+        return self.manifest().version
 
     def last_batch_id(self, stream: str | None = None) -> int | None:
         """Newest batch id committed by ``stream`` (ids are per stream)."""
-        ids = [b for _, _, b, s in self._latest()[1] if b is not None and s == stream]
-        return max(ids) if ids else None
-
-    def _commit(self, version: int, entries: list[tuple]) -> None:
-        m = self.spark.createDataFrame(entries, _MANIFEST_SCHEMA)
+        return self.manifest().streams.get(stream)
+
+    def mark(self, column: str, default=None):
+        """Maximum of a mark column over the whole table, from the manifest."""
+        values = [mk[column] for _, mk in self.manifest().parts.values() if mk.get(column) is not None]
+        return max(values) if values else default
+
+    def _commit(self, version: int, parts: dict, streams: dict) -> None:
+        rows = [("part", p, loc, _encode_marks(mk), None, None) for p, (loc, mk) in parts.items()]
+        rows += [("stream", None, None, None, s, b) for s, b in streams.items()]
+        if not rows:
+            rows = [("empty", None, None, None, None, None)]
+        m = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
         m.coalesce(1).write.mode("overwrite").json(f"{self._manifest_dir()}/v={version}")
 
     # -- read -------------------------------------------------------------
-    def read(self, with_part: bool = False, entries: list | None = None) -> DataFrame | None:
-        """The current version (``entries``: an already-read manifest)."""
-        if entries is None:
-            _, entries = self._latest()
-        live = [(e[0], e[1]) for e in entries if e[1]]
-        if not live:
+    def read(self, with_part: bool = False, manifest: Manifest | None = None) -> DataFrame | None:
+        """The current version (``manifest``: one already read)."""
+        manifest = manifest or self.manifest()
+        if not manifest.parts:
             return None
         by_version: dict[str, list[str]] = {}
-        for _, loc in live:
-            base = loc.rsplit("/", 1)[0]
-            by_version.setdefault(base, []).append(loc)
+        for loc, _ in manifest.parts.values():
+            by_version.setdefault(loc.rsplit("/", 1)[0], []).append(loc)
         out = None
         for base, locs in sorted(by_version.items()):
             df = self.spark.read.option("basePath", base).parquet(*locs)
@@ -121,35 +169,45 @@ class VersionedTable:
         return out if with_part else out.drop(PART)
 
     # -- write ------------------------------------------------------------
-    def _write_version(self, df: DataFrame, version: int) -> dict[str | None, str]:
+    def _write_version(self, df: DataFrame, version: int) -> dict:
+        """Write ``df`` (with the partition column) as version ``version``;
+        return {partition value: (folder, marks)} of what was written."""
         target = f"{self.path}/data/v={version}"
         if self.cluster_by:
             df = df.repartitionByRange(F.col(PART).asc_nulls_first(),
                                        *[F.col(c).asc_nulls_first() for c in self.cluster_by])
             df = df.sortWithinPartitions(PART, *self.cluster_by)
         df.write.mode("overwrite").partitionBy(PART).parquet(target)
-        written: dict[str | None, str] = {}
         try:
-            files = self.spark.read.parquet(target).inputFiles()
-        except Exception:
-            files = []
-        for f in files:
-            seg = [s for s in f.split("/") if s.startswith(f"{PART}=")]
+            back = self.spark.read.parquet(target)
+        except Exception as exc:  # nothing written (empty input)
+            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+                return {}
+            raise
+        folders: dict[str | None, str] = {}
+        for f in back.inputFiles():
+            seg = [x for x in f.split("/") if x.startswith(f"{PART}=")]
             if seg:
-                value = seg[-1].split("=", 1)[1]
-                key = None if value == _NULL_PART else value
-                written[key] = f"{target}/{seg[-1]}"
-        return written
+                value = unquote(seg[-1].split("=", 1)[1])
+                folders[None if value == _NULL_PART else value] = f"{target}/{seg[-1]}"
+        marks: dict[str | None, dict] = {}
+        if self.marks:
+            # Per-partition maxima over the rewritten partitions only (the
+            # mark columns of this version's files), one row per partition.
+            stats = back.groupBy(F.col(PART).cast("string").alias("p")).agg(
+                *[F.max(c).alias(c) for c in self.marks]).collect()
+            marks = {r["p"]: {c: r[c] for c in self.marks} for r in stats}
+        return {p: (loc, marks.get(p, {})) for p, loc in folders.items()}
 
     def overwrite(self, df: DataFrame, batch_id: int | None = None, stream: str | None = None) -> int:
         """Replace the whole table with ``df`` as a new version."""
-        version = self.version() + 1
-        written = self._write_version(df.withColumn(PART, self.partition().cast("string")), version)
-        entries = [(p, loc, batch_id, stream) for p, loc in written.items()]
-        if not entries:
-            entries = [(None, "", batch_id, stream)]
-        self._commit(version, entries)
-        return version
+        m = self.manifest()
+        written = self._write_version(df.withColumn(PART, self.partition().cast("string")), m.version + 1)
+        streams = dict(m.streams)
+        if stream is not None and batch_id is not None:
+            streams[stream] = batch_id
+        self._commit(m.version + 1, written, streams)
+        return m.version + 1
 
     def upsert(self, incoming: DataFrame, key: str,
                combine: Callable[[DataFrame, DataFrame], DataFrame],
@@ -159,14 +217,13 @@ class VersionedTable:
         Touched partitions = partitions of the incoming rows, plus partitions
         holding existing rows with an incoming key (a key can move partition
         when its partitioning column changes).  Both sets are collected as
-        partition values only, bounded by the partition count.
+        partition values only, bounded by the partition count.  A batch id
+        the stream already committed is skipped (replay is a no-op).
         """
-        version, entries = self._latest()
-        if batch_id is not None:
-            done = [b for _, _, b, s in entries if b is not None and s == stream]
-            if done and batch_id <= max(done):
-                return version  # already committed: replay is a no-op
-        current = self.read(with_part=True, entries=entries)
+        m = self.manifest()
+        if batch_id is not None and stream in m.streams and batch_id <= m.streams[stream]:
+            return m.version
+        current = self.read(with_part=True, manifest=m)
         if current is None:
             first = combine(None, incoming) if _accepts_none(combine) else incoming
             return self.overwrite(first, batch_id, stream)
@@ -181,13 +238,15 @@ class VersionedTable:
             cond = cond | F.col(PART).isNull()
         old = current.where(cond).drop(PART)
         merged = combine(old, incoming).withColumn(PART, self.partition().cast("string"))
-        written = self._write_version(merged, version + 1)
-        # Untouched partitions keep their folders; the batch marker moves to
-        # every entry so the newest committed batch is always recorded.
-        kept = [(p, loc, batch_id, stream) for p, loc, _, _ in entries if loc and p not in touched]
-        new_entries = kept + [(p, loc, batch_id, stream) for p, loc in written.items()]
-        self._commit(version + 1, new_entries or [(None, "", batch_id, stream)])
-        return version + 1
+        written = self._write_version(merged, m.version + 1)
+        # Untouched partitions keep their folders (and marks).
+        parts = {p: v for p, v in m.parts.items() if p not in touched}
+        parts.update(written)
+        streams = dict(m.streams)
+        if stream is not None and batch_id is not None:
+            streams[stream] = batch_id
+        self._commit(m.version + 1, parts, streams)
+        return m.version + 1
 
 
 def _accepts_none(fn: Callable) -> bool:

@@ -29,7 +29,7 @@ def test_empty_table_mark_defaults(spark):
 
 
 def test_versioned_table_rewrites_only_touched_partitions(spark, tmpdir_run):
-    t = VersionedTable(spark, f"{tmpdir_run}/t", lambda: F.year("d"))
+    t = VersionedTable(spark, f"{tmpdir_run}/t", lambda: F.year("d"), marks=["d"])
     t.overwrite(spark.createDataFrame([("a", D(1999, 5, 1), 1), ("b", D(2000, 5, 1), 1),
                                        ("c", D(2001, 5, 1), 1)], COLS))
     # key b moves from 2000 to 2002; 2001 untouched
@@ -39,8 +39,23 @@ def test_versioned_table_rewrites_only_touched_partitions(spark, tmpdir_run):
     got = sorted(tuple(r) for r in t.read().collect())
     assert got == [("a", D(1999, 5, 1), 1), ("b", D(2002, 1, 1), 2), ("c", D(2001, 5, 1), 1),
                    ("e", D(1999, 1, 1), 5)]
-    _, entries = t._latest()
-    locs = {p: loc for p, loc, _, _ in entries}
+    locs = {p: loc for p, (loc, _) in t.manifest().parts.items()}
     assert "/v=1/" in locs["2001"] and "/v=2/" in locs["1999"] and "2000" not in locs
+    assert t.mark("d") == D(2002, 1, 1)
     # replaying batch 1 of stream s changes nothing
     assert t.upsert(new, "k", lambda cur, n: inc.replace_by_key(cur, n, "k"), batch_id=1, stream="s") == 2
+
+
+def test_marks_follow_replacements_and_streams_are_kept(spark, tmpdir_run):
+    t = VersionedTable(spark, f"{tmpdir_run}/m", lambda: F.year("d"), marks=["d", "v"])
+    t.overwrite(spark.createDataFrame([("a", D(2001, 5, 1), 1), ("b", D(2000, 1, 1), 7)], COLS),
+                batch_id=3, stream="A")
+    assert t.mark("d") == D(2001, 5, 1) and t.mark("v") == 7
+    # the row holding the newest date moves back in time: the mark follows
+    t.upsert(spark.createDataFrame([("a", D(1999, 1, 1), 2)], COLS), "k",
+             lambda cur, n: inc.replace_by_key(cur, n, "k"), batch_id=0, stream="B")
+    assert t.mark("d") == D(2000, 1, 1)
+    assert t.last_batch_id("A") == 3 and t.last_batch_id("B") == 0
+    v = t.version()
+    assert t.upsert(spark.createDataFrame([("z", D(1999, 1, 1), 2)], COLS), "k",
+                    lambda cur, n: inc.replace_by_key(cur, n, "k"), batch_id=3, stream="A") == v
