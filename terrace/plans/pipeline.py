@@ -88,22 +88,27 @@ def ingest_ppd_file(spark: SparkSession, path: str, root: str, mode: str, run_ts
     """Bronze sales from the transaction file: full replaces, incremental
     merges by key (ordered by file position)."""
     rows = files.read_ppd(spark, path, mode, run_ts)
-    table = VersionedTable(spark, f"{root}/raw/ppd", _year("transfer_date"), ["transaction_id"])
+    table = VersionedTable(spark, f"{root}/raw/ppd", _year("transfer_date"), ["transaction_id"],
+                           marks=["transfer_date"])
     if mode == "full":
         return table.overwrite(rows)
     return table.upsert(rows, "transaction_id", lambda cur, new: inc.replace_by_key(cur, new, "transaction_id"))
 
 
 def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime) -> dict[str, int]:
-    raw = VersionedTable(spark, f"{root}/raw/ppd").read()
+    bronze = VersionedTable(spark, f"{root}/raw/ppd", marks=["transfer_date"])
     table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"), ["transaction_id"],
-                           marks=["transfer_date"])
+                           marks=["transfer_date", "dbt_updated_at"])
     out: dict[str, int] = {}
     if mode == "full" or not table.manifest().parts:
-        out["silver_ppd"] = table.overwrite(silver.silver_ppd(raw, run_ts))
+        out["silver_ppd"] = table.overwrite(silver.silver_ppd(bronze.read(), run_ts))
     else:
-        # High-water mark from the manifest's per-partition maxima: no scan.
+        # High-water mark from the manifest's per-partition maxima: no scan;
+        # bronze partitions that cannot hold a newer date are not read.
         mark = table.mark("transfer_date", inc.DEFAULT_DATE_MARK)
+        raw = bronze.read_newer("transfer_date", mark)
+        if raw is None:
+            raw = spark.createDataFrame([], schemas.RAW_PPD)
         new = silver.silver_ppd(inc.newer_than(raw, "transfer_date", mark), run_ts)
         out["silver_ppd"] = table.upsert(
             new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"))
@@ -128,7 +133,11 @@ def build_gold(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime)
         v = fact.overwrite(gold.fact_sales(s_ppd, run_ts))
     else:
         mark = fact.mark("silver_updated_at", inc.DEFAULT_TS_MARK)
-        new = gold.fact_sales(inc.newer_than(s_ppd, "dbt_updated_at", mark), run_ts)
+        # Only silver partitions updated after the mark are read.
+        changed = VersionedTable(spark, f"{root}/silver/silver_ppd").read_newer("dbt_updated_at", mark)
+        if changed is None:
+            changed = spark.createDataFrame([], s_ppd.schema)
+        new = gold.fact_sales(inc.newer_than(changed, "dbt_updated_at", mark), run_ts)
         v = fact.upsert(new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"))
     return {"fact_sales": v}
 

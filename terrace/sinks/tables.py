@@ -168,6 +168,16 @@ class VersionedTable:
             out = df if out is None else out.unionByName(df)
         return out if with_part else out.drop(PART)
 
+    def read_newer(self, column: str, value) -> DataFrame | None:
+        """Rows that can have ``column > value``: only partitions whose
+        recorded maximum of ``column`` exceeds ``value`` are read (the caller
+        still applies the row filter)."""
+        m = self.manifest()
+        keep = {p: v for p, v in m.parts.items() if v[1].get(column) is None or v[1][column] > value}
+        if not keep:
+            return None
+        return self.read(manifest=Manifest(m.version, keep, m.streams))
+
     # -- write ------------------------------------------------------------
     def _write_version(self, df: DataFrame, version: int) -> dict:
         """Write ``df`` (with the partition column) as version ``version``;

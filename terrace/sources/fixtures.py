@@ -114,7 +114,8 @@ def raw_onspd(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ck % 40 == 8, F.lit("199801")).otherwise(F.lit("199807")).alias("dointr"),
         F.lit("").alias("doterm"),
     )
-    blank = first.limit(1).select(
+    # One blank-postcode row (a global aggregate always yields one row).
+    blank = c.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("").alias("pcds"),
         *[F.lit(None).cast("string").alias(n) for n in ("lsoa21cd", "lsoa11cd", "msoa21cd", "lad25cd")],
         F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("long"),

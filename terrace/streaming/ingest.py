@@ -116,7 +116,7 @@ def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_serve
     """
     if max_per_trigger == -1:
         max_per_trigger = None if mode == "full" else BATCH_ROWS
-    table = VersionedTable(spark, bronze_path, _bronze_partition, ["transaction_id"])
+    table = VersionedTable(spark, bronze_path, _bronze_partition, ["transaction_id"], marks=["transfer_date"])
     ckpt = stream_checkpoint(spark, bronze_path, name)
     if mode == "full" and table.last_batch_id(name) is None:
         table.overwrite(spark.createDataFrame([], schemas.RAW_PPD))
