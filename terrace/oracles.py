@@ -42,7 +42,7 @@ def round_dbl(expr: str, digits: int) -> str:
 
 
 def _area(prefix: str, expr: str) -> str:
-    return f"concat('{prefix}', lpad(cast({expr} AS VARCHAR), 5, '0'))"
+    return f"concat('{prefix}', lpad(cast({expr} AS VARCHAR), 6, '0'))"
 
 
 def raw_ppd_sql(where: str = "TRUE", ingested_at: str = INGESTED_AT, mode: str = "full") -> str:
@@ -72,9 +72,9 @@ WHERE {where}"""
 def _onspd_common() -> str:
     return f"""concat('AB', cast(c_custkey AS VARCHAR), ' 1XY') AS pcds,
        {{dointr}} AS dointr, {{doterm}} AS doterm,
-       {_area('E010', f'c_custkey % {fx.AREAS_2021}')} AS lsoa21cd,
-       {_area('E011', f'c_custkey % {fx.AREAS_2011}')} AS lsoa11cd,
-       {_area('E020', 'c_custkey % 30')} AS msoa21cd,
+       {_area('E01', f'c_custkey // {fx.PER_AREA_2021}')} AS lsoa21cd,
+       {_area('E11', f'c_custkey // {fx.PER_AREA_2011}')} AS lsoa11cd,
+       {_area('E02', f'c_custkey // {fx.PER_AREA_MIDDLE}')} AS msoa21cd,
        concat('L', cast(c_nationkey AS VARCHAR)) AS lad25cd,
        50.0e0 + (c_custkey % 100) / 10.0e0 AS lat,
        -1.0e0 * (c_custkey % 50) / 10.0e0 AS "long\""""
@@ -96,26 +96,29 @@ SELECT '', NULL, NULL, NULL, NULL, NULL, NULL, cast(NULL AS DOUBLE), cast(NULL A
 
 
 def raw_ruc_sql() -> str:
-    rural = "c_custkey % 4 = 0"
+    a = f"(c_custkey // {fx.PER_AREA_2021})"
+    rural = f"{a} % 4 = 0"
     return f"""
-SELECT {_area('E010', 'c_custkey')} AS "LSOA21CD",
+SELECT {_area('E01', a)} AS "LSOA21CD",
        concat(c_name, ' ') AS "LSOA21NM",
        cast(NULL AS VARCHAR) AS "LSOA21NMW",
-       concat(CASE WHEN {rural} THEN 'R' ELSE 'U' END, cast(c_custkey % 3 AS VARCHAR), ' ') AS "RUC21CD",
+       concat(CASE WHEN {rural} THEN 'R' ELSE 'U' END, cast({a} % 3 AS VARCHAR), ' ') AS "RUC21CD",
        CASE WHEN {rural} THEN ' Rural town' ELSE ' Urban city' END AS "RUC21NM",
        CASE WHEN {rural} THEN 'Rural ' ELSE 'Urban ' END AS "Urban_rural_flag",
-       cast(c_custkey AS INTEGER) AS "ObjectId"
-FROM customer WHERE c_custkey < {fx.RUC_KEY_LIMIT}"""
+       cast({a} AS INTEGER) AS "ObjectId"
+FROM customer WHERE c_custkey % {fx.PER_AREA_2021} = 0 AND {a} % 10 <> 9"""
 
 
 def raw_imd_sql() -> str:
-    cols = [f"{_area('E011', 'c_custkey')} AS lsoa_code_2011",
+    a = f"(c_custkey // {fx.PER_AREA_2011})"
+    cols = [f"{_area('E11', a)} AS lsoa_code_2011",
             "c_name AS lsoa_name_2011",
             "c_mktsegment AS local_authority_district_name_2019"]
     for i, (_, _, _, score, decile) in enumerate(schemas.IMD_DOMAINS):
-        cols.append(f"cast(cast((c_custkey * {i + 3} % 1000) / 7.0e0 AS DECIMAL(12,5)) AS VARCHAR) AS {score}")
-        cols.append(f"cast(c_custkey * {i + 1} % 10 + 1 AS VARCHAR) AS {decile}")
-    return f"SELECT {', '.join(cols)} FROM customer WHERE c_custkey < {fx.IMD_KEY_LIMIT}"
+        cols.append(f"cast(cast(({a} * {i + 3} % 1000) / 7.0e0 AS DECIMAL(12,5)) AS VARCHAR) AS {score}")
+        cols.append(f"cast({a} * {i + 1} % 10 + 1 AS VARCHAR) AS {decile}")
+    return (f"SELECT {', '.join(cols)} FROM customer "
+            f"WHERE c_custkey % {fx.PER_AREA_2011} = 0 AND {a} % 7 <> 3")
 
 
 def silver_ppd_sql(src: str = "raw_ppd", run_ts: str = RUN_TS) -> str:

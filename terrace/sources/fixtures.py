@@ -21,13 +21,13 @@ from terrace.operators.joins import checked_broadcast
 
 # Fixed load timestamp of the fixtures, so results are repeatable.
 FIXTURE_INGESTED_AT = _dt.datetime(2026, 1, 25, 6, 0, 0)
-# Number of small areas generated for the 2021 and 2011 codes.
-AREAS_2021 = 100
-AREAS_2011 = 80
-# Customers below these keys get a rural/urban or deprivation row; the rest of
-# the areas are deliberately left without one (unmatched left joins).
-RUC_KEY_LIMIT = 90
-IMD_KEY_LIMIT = 67
+# Small areas: customers per 2021 area, per 2011 area and per middle area.
+# Area counts therefore grow with the customer table.
+PER_AREA_2021 = 10
+PER_AREA_2011 = 12
+PER_AREA_MIDDLE = 50
+# Reference rows are one per area; areas with number % 10 == 9 (2021) or
+# number % 7 == 3 (2011) get none, so some postcodes stay unmatched.
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +39,12 @@ def _s(col: Column) -> Column:
 
 
 def _area(prefix: str, num: Column) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(_s(num), 5, "0"))
+    return F.concat(F.lit(prefix), F.lpad(_s(num), 6, "0"))
+
+
+def _div(col: Column, n: int) -> Column:
+    """Integer division of a non-negative key."""
+    return (col / n).cast("bigint")
 
 
 def raw_ppd(spark: SparkSession, sf_dir: str, ingested_at: _dt.datetime = FIXTURE_INGESTED_AT,
@@ -95,9 +100,9 @@ def raw_onspd(spark: SparkSession, sf_dir: str) -> DataFrame:
     ck = F.col("c_custkey")
     common = [
         F.concat(F.lit("AB"), _s(ck), F.lit(" 1XY")).alias("pcds"),
-        _area("E010", ck % AREAS_2021).alias("lsoa21cd"),
-        _area("E011", ck % AREAS_2011).alias("lsoa11cd"),
-        _area("E020", ck % 30).alias("msoa21cd"),
+        _area("E01", _div(ck, PER_AREA_2021)).alias("lsoa21cd"),
+        _area("E11", _div(ck, PER_AREA_2011)).alias("lsoa11cd"),
+        _area("E02", _div(ck, PER_AREA_MIDDLE)).alias("msoa21cd"),
         F.concat(F.lit("L"), _s(F.col("c_nationkey"))).alias("lad25cd"),
         (F.lit(50.0) + (ck % 100) / F.lit(10.0)).alias("lat"),
         (F.lit(-1.0) * (ck % 50) / F.lit(10.0)).alias("long"),
@@ -126,35 +131,40 @@ def raw_onspd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ruc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.ruc_lsoa_2021`` with its original file headers (padded text)."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name").where(F.col("c_custkey") < RUC_KEY_LIMIT)
+    """``raw.ruc_lsoa_2021``, one row per 2021 area (original file headers,
+    padded text); a tenth of the areas have no row."""
     ck = F.col("c_custkey")
-    rural = ck % 4 == 0
+    area = _div(ck, PER_AREA_2021)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name").where(
+        (ck % PER_AREA_2021 == 0) & (area % 10 != 9))
+    rural = area % 4 == 0
     return c.select(
-        _area("E010", ck).alias("LSOA21CD"),
+        _area("E01", area).alias("LSOA21CD"),
         F.concat(F.col("c_name"), F.lit(" ")).alias("LSOA21NM"),
         F.lit(None).cast("string").alias("LSOA21NMW"),
-        F.concat(F.when(rural, F.lit("R")).otherwise(F.lit("U")), _s(ck % 3), F.lit(" ")).alias("RUC21CD"),
+        F.concat(F.when(rural, F.lit("R")).otherwise(F.lit("U")), _s(area % 3), F.lit(" ")).alias("RUC21CD"),
         F.when(rural, F.lit(" Rural town")).otherwise(F.lit(" Urban city")).alias("RUC21NM"),
         F.when(rural, F.lit("Rural ")).otherwise(F.lit("Urban ")).alias("Urban_rural_flag"),
-        ck.cast("int").alias("ObjectId"),
+        area.cast("int").alias("ObjectId"),
     )
 
 
 def raw_imd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.imd`` in the all-text, snake-header bootstrap form."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").where(
-        F.col("c_custkey") < IMD_KEY_LIMIT)
+    """``raw.imd``, one row per 2011 area in the all-text, snake-header
+    bootstrap form; a seventh of the areas have no row."""
     ck = F.col("c_custkey")
+    area = _div(ck, PER_AREA_2011)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").where(
+        (ck % PER_AREA_2011 == 0) & (area % 7 != 3))
     cols = [
-        _area("E011", ck).alias("lsoa_code_2011"),
+        _area("E11", area).alias("lsoa_code_2011"),
         F.col("c_name").alias("lsoa_name_2011"),
         F.col("c_mktsegment").alias("local_authority_district_name_2019"),
     ]
     for i, (_, _, _, score_snake, decile_snake) in enumerate(schemas.IMD_DOMAINS):
-        score = ((ck * (i + 3)) % 1000) / F.lit(7.0)
+        score = ((area * (i + 3)) % 1000) / F.lit(7.0)
         cols.append(_s(score.cast("decimal(12,5)")).alias(score_snake))
-        cols.append(_s((ck * (i + 1)) % 10 + 1).alias(decile_snake))
+        cols.append(_s((area * (i + 1)) % 10 + 1).alias(decile_snake))
     return c.select(*cols)
 
 
