@@ -102,8 +102,11 @@ def min_rows_failure(fact: DataFrame, threshold: int = MIN_FACT_ROWS) -> DataFra
 def newest_sale_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Newest sale date of the fact (through the calendar; the fact stores a
     date key only).  Keys are YYYYMMDD so max(key) is the newest day."""
+    from terrace.operators.joins import checked_broadcast
+    from terrace.plans.gold import DATE_SPINE_ROWS
     newest = fact.agg(F.max("date_key").alias("k"))
-    return newest.join(F.broadcast(dim_date.select("date_key", "full_date")),
+    spine, _ = checked_broadcast(dim_date.select("date_key", "full_date"), bounded_rows=DATE_SPINE_ROWS)
+    return newest.join(spine,
                        newest["k"] == F.col("date_key"), "left").select(F.col("full_date").alias("newest"))
 
 

@@ -60,10 +60,11 @@ def ingest_reference(spark: SparkSession, landing_dir: str, root: str, run_ts: _
         out = f"{root}/raw/{table}"
 
         def load(df: DataFrame, _batch_id: int, out=out) -> None:
-            if df.isEmpty():
-                return
-            # Newest file of the batch wins when several feed one table.
+            # Newest file of the batch wins when several feed one table: the
+            # file choice is one aggregation over the file columns only.
             newest = df.agg(F.max_by("_file", "_mtime")).first()[0]
+            if newest is None:
+                return  # empty batch
             rows = df.where(F.col("_file") == newest).drop("_file", "_mtime")
             write_table(rows.withColumn("_ingested_at", F.lit(run_ts).cast("timestamp"))
                             .withColumn("_source_mode", F.lit("full")), out, "overwrite")

@@ -19,6 +19,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -237,18 +238,25 @@ class VersionedTable:
         if current is None:
             first = combine(None, incoming) if _accepts_none(combine) else incoming
             return self.overwrite(first, batch_id, stream)
-        inc = incoming.withColumn(PART, self.partition().cast("string"))
-        from terrace.operators.joins import checked_broadcast
-        keys, _ = checked_broadcast(incoming.select(key).distinct())
-        moved = current.join(keys, key, "left_semi").select(PART)
-        touched = {r[0] for r in inc.select(PART).union(moved).distinct().collect()}
-        touched_nonnull = [t for t in touched if t is not None]
-        cond = F.col(PART).isin(*touched_nonnull) if touched_nonnull else F.lit(False)
-        if None in touched:
-            cond = cond | F.col(PART).isNull()
-        old = current.where(cond).drop(PART)
-        merged = combine(old, incoming).withColumn(PART, self.partition().cast("string"))
-        written = self._write_version(merged, m.version + 1)
+        # The increment is used several times (touched partitions, key
+        # broadcast, merge, write): keep it instead of recomputing its source.
+        # A lost executor's blocks are recomputed from lineage.
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            inc = incoming.withColumn(PART, self.partition().cast("string"))
+            from terrace.operators.joins import checked_broadcast
+            keys, _ = checked_broadcast(incoming.select(key).distinct())
+            moved = current.join(keys, key, "left_semi").select(PART)
+            touched = {r[0] for r in inc.select(PART).union(moved).distinct().collect()}
+            touched_nonnull = [t for t in touched if t is not None]
+            cond = F.col(PART).isin(*touched_nonnull) if touched_nonnull else F.lit(False)
+            if None in touched:
+                cond = cond | F.col(PART).isNull()
+            old = current.where(cond).drop(PART)
+            merged = combine(old, incoming).withColumn(PART, self.partition().cast("string"))
+            written = self._write_version(merged, m.version + 1)
+        finally:
+            incoming.unpersist()
         # Untouched partitions keep their folders (and marks).
         parts = {p: v for p, v in m.parts.items() if p not in touched}
         parts.update(written)

@@ -21,6 +21,8 @@ from terrace.operators.joins import checked_broadcast
 
 # Fixed load timestamp of the fixtures, so results are repeatable.
 FIXTURE_INGESTED_AT = _dt.datetime(2026, 1, 25, 6, 0, 0)
+# Nations of the TPC-H schema (fixed by its specification).
+NATIONS = 25
 # Small areas: customers per 2021 area, per 2011 area and per middle area.
 # Area counts therefore grow with the customer table.
 PER_AREA_2021 = 10
@@ -56,8 +58,9 @@ def raw_ppd(spark: SparkSession, sf_dir: str, ingested_at: _dt.datetime = FIXTUR
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation/region have 25 and 5 rows whatever the scale: broadcast is bounded.
-    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
-    cust = c.join(F.broadcast(geo), c.c_nationkey == geo.n_nationkey).select(
+    geo, _ = checked_broadcast(n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name"),
+                               bounded_rows=NATIONS)
+    cust = c.join(geo, c.c_nationkey == geo.n_nationkey).select(
         "c_custkey", "c_mktsegment", "n_name", "r_name")
     # Customers are a tenth of the orders: broadcast them only under the size
     # check (never the orders side); beyond it both are shuffled on the key.
