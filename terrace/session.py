@@ -19,6 +19,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
+    # Split a hot key even when that costs an extra shuffle: one task holding
+    # a third of the rows is worse than one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     # Parquet scan split size; partitions stay well inside executor memory.

@@ -56,3 +56,38 @@ def test_versioned_table_partition_pruning(spark, tmpdir_run):
     assert "PartitionFilters: [isnotnull(_part" in plan(df)
     assert df.count() == 10
     assert len(t.read().inputFiles()) == 5  # range-clustered: one file per year here
+
+
+def test_hot_postcode_is_split_at_run_time(spark):
+    """One postcode holding a third of the facts: with the versions side over
+    the broadcast limit, adaptive execution splits its join partition."""
+    from terrace.operators import joins
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "terrace.broadcast.maxBytes": "0"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(30000).select(
+            F.col("id").cast("string").alias("tid"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+             .otherwise(F.concat(F.lit("K"), (F.col("id") % 500).cast("string"))).alias("pc"),
+            F.lit(dt.date(1998, 5, 1)).alias("d"),
+            F.sha2(F.col("id").cast("string"), 256).alias("payload")).repartition(16)
+        versions = spark.range(501).select(
+            F.when(F.col("id") == 500, F.lit("HOT")).otherwise(
+                F.concat(F.lit("K"), F.col("id").cast("string"))).alias("gpc"),
+            F.lit(dt.date(1990, 1, 1)).alias("valid_from"), F.lit(dt.date(2099, 1, 1)).alias("valid_to"))
+        out = joins.validity_join(facts, versions, "pc", "gpc", "d", how="left").groupBy("gpc").agg(
+            F.count(F.lit(1)).alias("n"), F.max("payload").alias("p"))
+        rows = {r.gpc: r.n for r in out.collect()}
+        assert rows["HOT"] == 10000 and sum(rows.values()) == 30000
+        assert "SortMergeJoin(skew=true)" in plan(out)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
