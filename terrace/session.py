@@ -27,8 +27,6 @@ DEFAULT_CONF = {
     # Parquet scan split size; partitions stay well inside executor memory.
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
-    # Writes of partitioned tables replace only the partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
