@@ -153,10 +153,11 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
 def unresolved_count(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """How many ``rows`` find no ``lookup`` row on ``key`` (NULL keys never do).
 
-    The lookup keys are de-duplicated first; the anti join then needs no
-    more than one row per key on its build side.
+    The lookup keys are de-duplicated first (one row per key), then broadcast
+    under the size check, so the rows side is not shuffled.
     """
-    keys = lookup.select(key).where(F.col(key).isNotNull()).distinct()
-    flagged = rows.select(key).join(keys.withColumn("_hit", F.lit(True)), key, "left")
+    keys = lookup.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_hit", F.lit(True))
+    side, _ = checked_broadcast(keys)
+    flagged = rows.select(key).join(side, key, "left")
     return flagged.agg(F.count(F.lit(1)).alias("postcodes"),
                        F.count_if(F.col("_hit").isNull()).alias("unmatched_postcodes"))
