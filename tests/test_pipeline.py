@@ -66,3 +66,19 @@ def test_full_then_incremental_run(spark, tmpdir_run):
     # still recorded in the checkpoint); the unknown file stays
     import os
     assert os.path.exists(f"{landing}/notes.csv")
+
+
+def test_full_run_from_messages(spark, tmpdir_run):
+    from terrace.streaming import ingest
+    b, landing = _landing(spark, tmpdir_run)
+    raw = b["ppd"]
+    msgs = f"{tmpdir_run}/msgs"
+    ingest.publish(messages.to_file_text(raw), fx.FIXTURE_INGESTED_AT, "full", folder=msgs)
+    root = f"{tmpdir_run}/wh"
+    r = pipeline.run_pipeline(spark, root, "full", RUN_TS, landing_dir=landing, messages_folder=msgs,
+                              as_of=dt.date(2001, 8, 20), min_rows=10)
+    assert all(c["failures"] == 0 for c in r.checks if c["severity"] == "error")
+    bronze = VersionedTable(spark, f"{root}/raw/ppd").read()
+    want = raw.select(*bronze.columns)
+    assert bronze.exceptAll(want).count() == 0 and want.exceptAll(bronze).count() == 0
+    assert VersionedTable(spark, f"{root}/gold/fact_sales").read().count() == raw.count()
