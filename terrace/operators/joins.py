@@ -60,13 +60,16 @@ def measure(df: DataFrame) -> tuple[int, int]:
 
 def checked_broadcast(df: DataFrame, limit: int | None = None,
                       bounded_rows: int | None = None, memo: dict | None = None,
-                      memo_key: str | None = None) -> tuple[DataFrame, SideSize]:
+                      memo_key: str | None = None,
+                      bound_by: DataFrame | None = None) -> tuple[DataFrame, SideSize]:
     """Return ``broadcast(df)`` if its size is within ``limit``, else ``df``.
 
     ``bounded_rows`` is a row count known by construction (a generated date
-    spine); then the size follows from the schema without a job.  ``memo``
-    (with ``memo_key``) keeps a measurement for repeated uses of the same
-    side within one set of tables.
+    spine); then the size follows from the schema without a job.  ``bound_by``
+    is measured instead of ``df`` when given: a superset of its rows and
+    columns (the whole dimension), so one measurement bounds every narrower
+    projection or filter of it.  ``memo`` (with ``memo_key``) keeps a
+    measurement for repeated uses within one set of tables.
     """
     limit = broadcast_limit(df) if limit is None else limit
     if memo is not None and memo_key is not None and memo_key in memo:
@@ -78,7 +81,7 @@ def checked_broadcast(df: DataFrame, limit: int | None = None,
             _FIXED_WIDTH.get(type(f.dataType), 32) for f in df.schema.fields)
         size = SideSize(bounded_rows, bounded_rows * width, bounded_rows * width <= limit)
     else:
-        rows, nbytes = measure(df)
+        rows, nbytes = measure(df if bound_by is None else bound_by)
         size = SideSize(rows, nbytes, nbytes <= limit)
         if memo is not None and memo_key is not None:
             memo[memo_key] = (rows, nbytes)
@@ -109,7 +112,8 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
                   fact_date: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                   how: str = "left", limit: int | None = None, memo: dict | None = None,
                   memo_key: str | None = None, split_hot_keys: bool | None = None,
-                  hot_share: float = 0.01, hot_limit: int | None = None) -> DataFrame:
+                  hot_share: float = 0.01, hot_limit: int | None = None,
+                  bound_by: DataFrame | None = None) -> DataFrame:
     """Join each fact to the versions of its key valid on the fact's date.
 
     Equality on the key plus ``valid_from <= date <= valid_to`` (both ends
@@ -127,7 +131,7 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
     """
     if split_hot_keys is None:
         split_hot_keys = facts.sparkSession.conf.get(_SPLIT_CONF, "false").lower() == "true"
-    side, size = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key)
+    side, size = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key, bound_by=bound_by)
     plain = facts.join(side, _interval(facts, side, fact_key, version_key, fact_date, valid_from, valid_to),
                        how)
     if size.broadcast or not split_hot_keys or how not in ("left", "inner"):

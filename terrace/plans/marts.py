@@ -16,6 +16,21 @@ def _date_side(dim_date: DataFrame, *cols: str) -> DataFrame:
     return side
 
 
+# Superset projections measured once per set of tables: every side the
+# reports broadcast is a projection (and possibly a filter) of one of them.
+GEO_BOUND_COLUMNS = ["normalized_postcode", "geography_key", "valid_from", "valid_to", "urban_rural_flag",
+                     "lad_code", "ruc21nm", "imd_score", "crime_score", "education_score"]
+PROPERTY_BOUND_COLUMNS = ["property_key", "property_type_desc", "tenure_desc", "new_build"]
+
+
+def geo_bound(dim_geo: DataFrame) -> DataFrame:
+    return dim_geo.select(*GEO_BOUND_COLUMNS)
+
+
+def property_bound(dim_prop: DataFrame) -> DataFrame:
+    return dim_prop.select(*PROPERTY_BOUND_COLUMNS)
+
+
 def _year_key_range(year_from: int, year_to: int) -> Column:
     """Date-key range implied by a year range (keys are YYYYMMDD), so a year
     filter on the calendar also prunes the fact scan (Parquet statistics)."""
@@ -39,10 +54,10 @@ def mart_rural_urban(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFrame,
         F.col("normalized_postcode").alias("g_postcode"), "valid_from", "valid_to",
         "urban_rural_flag", "imd_score", "crime_score", "education_score")
     fdg = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="left",
-                        memo=memo, memo_key="mart:geo")
+                        memo=memo, memo_key="geo", bound_by=geo_bound(dim_geo))
     p, _ = checked_broadcast(dim_prop.select(
         F.col("property_key").alias("p_key"), "property_type_desc", "new_build"),
-        memo=memo, memo_key="mart:property")
+        memo=memo, memo_key="property", bound_by=property_bound(dim_prop))
     j = fdg.join(p, fdg["property_key"] == p["p_key"], "left")
     return j.groupBy(
         F.col("year").alias("sale_year"),
@@ -83,7 +98,7 @@ def top_deprived_areas(fact: DataFrame, dim_geo: DataFrame, dim_date: DataFrame,
         F.col("normalized_postcode").alias("g_postcode"), "valid_from", "valid_to",
         "lad_code", "ruc21nm", "imd_score")
     j = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="inner",
-                      memo=memo, memo_key=f"deprived:{max_decile}")
+                      memo=memo, memo_key="geo", bound_by=geo_bound(dim_geo))
     agg = j.groupBy("lad_code", "ruc21nm").agg(
         F.round(mean("imd_score"), 2).alias("avg_imd_score"),
         F.round(mean("price"), 0).alias("avg_sale_price_gbp"),
@@ -103,7 +118,7 @@ def detached_new_builds(fact: DataFrame, dim_date: DataFrame, dim_prop: DataFram
         (F.col("property_type_desc") == property_type_desc) & (F.col("tenure_desc") == tenure_desc)
         & (F.col("new_build") == F.lit(new_build))).select(
         F.col("property_key").alias("p_key"), "property_type_desc", "tenure_desc"),
-        memo=memo, memo_key=f"kind:{property_type_desc}:{tenure_desc}:{new_build}")
+        memo=memo, memo_key="property", bound_by=property_bound(dim_prop))
     j = f.join(d, "date_key", "inner").join(p, F.col("property_key") == F.col("p_key"), "inner")
     return (j.select("transaction_id", "price", F.col("full_date").alias("sale_date"),
                      "property_type_desc", "tenure_desc")
