@@ -62,11 +62,13 @@ def dim_geography(onspd: DataFrame, ruc: DataFrame, imd: DataFrame) -> DataFrame
     return j.select(*cols)
 
 
-def property_key(df: DataFrame | None = None):
+def property_key():
+    """MD5 key of the four property attributes (dimension and fact agree)."""
     return md5_key(*schemas.PROPERTY_COLUMNS)
 
 
 def location_key():
+    """MD5 key of the seven address parts (dimension and fact agree)."""
     return md5_key(*schemas.ADDRESS_COLUMNS)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.functions import mean
+from terrace.functions import mean, round_half_up
 from terrace.operators.joins import checked_broadcast, validity_join
 from terrace.plans.gold import DATE_SPINE_ROWS
 
@@ -81,7 +81,7 @@ def avg_price_by_year(mart: DataFrame, year_from: int, year_to: int) -> DataFram
     return (mart
             .where(F.col("sale_year").between(year_from, year_to) & F.col("urban_rural_flag").isNotNull())
             .select("sale_year", "urban_rural_flag", "property_type",
-                    F.round("average_price", 0).alias("avg_price_gbp"), "total_transactions")
+                    round_half_up("average_price", 0).alias("avg_price_gbp"), "total_transactions")
             .orderBy(F.asc_nulls_last("sale_year"), F.asc_nulls_last("urban_rural_flag"),
                      F.asc_nulls_last("property_type")))
 
@@ -100,8 +100,8 @@ def top_deprived_areas(fact: DataFrame, dim_geo: DataFrame, dim_date: DataFrame,
     j = validity_join(fd, g, "normalized_postcode", "g_postcode", "full_date", how="inner",
                       memo=memo, memo_key="geo", bound_by=geo_bound(dim_geo))
     agg = j.groupBy("lad_code", "ruc21nm").agg(
-        F.round(mean("imd_score"), 2).alias("avg_imd_score"),
-        F.round(mean("price"), 0).alias("avg_sale_price_gbp"),
+        round_half_up(mean("imd_score"), 2).alias("avg_imd_score"),
+        round_half_up(mean("price"), 0).alias("avg_sale_price_gbp"),
         F.count("transaction_id").alias("num_transactions"))
     # Group keys break ties so the top-k is the same in every engine.
     return agg.orderBy(F.desc_nulls_first("avg_imd_score"), F.asc_nulls_last("lad_code"),
@@ -130,7 +130,7 @@ def mart_since(mart: DataFrame, year_from: int, ordered: bool = True) -> DataFra
     """Mart rows from ``year_from`` on, average rounded to pounds."""
     out = (mart.where(F.col("sale_year") >= year_from)
                .select("sale_year", "urban_rural_flag", "property_type",
-                       F.round("average_price", 0).alias("avg_price_gbp"), "total_transactions"))
+                       round_half_up("average_price", 0).alias("avg_price_gbp"), "total_transactions"))
     return out.orderBy(F.asc_nulls_last("sale_year"), F.asc_nulls_last("urban_rural_flag")) if ordered else out
 
 

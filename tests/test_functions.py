@@ -83,3 +83,9 @@ def test_dim_date_against_duckdb(spark):
     want = sorted(duckdb.sql(oracles.DIM_DATE).fetchall())
     got = sorted(tuple(r) for r in gold.dim_date(spark).collect())
     assert got == want
+
+
+def test_days_since(spark):
+    assert one(spark, lambda c: T.days_since(c, dt.date(2026, 2, 1)), dt.date(2026, 1, 1), "date") == 31
+    today = one(spark, T.days_since, dt.date.today(), "date")
+    assert today in (0, 1)  # current_date in the session time zone
