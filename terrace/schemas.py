@@ -265,3 +265,26 @@ IMD_COLUMNS = [
     "working_age_population_18_59_64_for_use_with_employment_depr",
 ]
 RAW_IMD = T.StructType([T.StructField(c, T.StringType()) for c in IMD_COLUMNS])
+
+DIM_PROPERTY = T.StructType([
+    T.StructField("property_key", T.StringType()),
+    T.StructField("property_type", T.StringType()),
+    T.StructField("property_type_desc", T.StringType()),
+    T.StructField("new_build", T.BooleanType()),
+    T.StructField("tenure", T.StringType()),
+    T.StructField("tenure_desc", T.StringType()),
+    T.StructField("category_type", T.StringType()),
+    T.StructField("category_type_desc", T.StringType()),
+])
+
+DIM_LOCATION = T.StructType([T.StructField("location_key", T.StringType())]
+                            + [T.StructField(c, T.StringType()) for c in ADDRESS_COLUMNS])
+
+DIM_GEOGRAPHY = T.StructType(
+    [T.StructField(c, T.StringType()) for c in ("geography_key", "normalized_postcode", "raw_postcode")]
+    + [T.StructField("valid_from", T.DateType()), T.StructField("valid_to", T.DateType())]
+    + [T.StructField(c, T.StringType()) for c in ("lsoa21cd", "lsoa11cd", "msoa21cd", "lad_code",
+                                                 "ruc21cd", "ruc21nm", "urban_rural_flag")]
+    + [f for p, *_ in IMD_DOMAINS for f in (T.StructField(f"{p}_score", T.DecimalType(10, 3)),
+                                             T.StructField(f"{p}_decile", T.IntegerType()))]
+    + [T.StructField("latitude", T.DoubleType()), T.StructField("longitude", T.DoubleType())])
