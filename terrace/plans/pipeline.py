@@ -56,8 +56,14 @@ def ingest_reference(spark: SparkSession, landing_dir: str, root: str, run_ts: _
     """
     loaded = []
     archive = archive_dir or os.path.join(os.path.dirname(landing_dir.rstrip("/")), "processed")
+    prefixes: dict[str, list[str]] = {}
     for prefix, table in files.REFERENCE_MAP.items():
+        prefixes.setdefault(table, []).append(prefix)
+    # One stream per table: its glob matches every prefix that feeds it, so
+    # the newest of their files wins inside the batch.
+    for table, names in prefixes.items():
         out = f"{root}/raw/{table}"
+        glob = (f"{names[0]}*.csv" if len(names) == 1 else "{" + ",".join(names) + "}*.csv")
 
         def load(df: DataFrame, _batch_id: int, out=out) -> None:
             # Newest file of the batch wins when several feed one table: the
@@ -71,14 +77,14 @@ def ingest_reference(spark: SparkSession, landing_dir: str, root: str, run_ts: _
 
         stream = (spark.readStream.schema(_REFERENCE_STREAM_SCHEMA[table])
                   .option("header", True).option("mode", "PERMISSIVE")
-                  .option("pathGlobFilter", f"{prefix}*.csv")
+                  .option("pathGlobFilter", glob)
                   .option("cleanSource", "archive")
                   .option("sourceArchiveDir", archive)
                   .csv(landing_dir)
                   .withColumn("_file", F.col("_metadata.file_path"))
                   .withColumn("_mtime", F.col("_metadata.file_modification_time")))
         q = (stream.writeStream.foreachBatch(load)
-             .option("checkpointLocation", stream_checkpoint(spark, out, f"landing-{prefix}"))
+             .option("checkpointLocation", stream_checkpoint(spark, out, f"landing-{table}"))
              .trigger(availableNow=True).start())
         q.awaitTermination()
         loaded.append(table)

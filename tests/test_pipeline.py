@@ -82,3 +82,23 @@ def test_full_run_from_messages(spark, tmpdir_run):
     want = raw.select(*bronze.columns)
     assert bronze.exceptAll(want).count() == 0 and want.exceptAll(bronze).count() == 0
     assert VersionedTable(spark, f"{root}/gold/fact_sales").read().count() == raw.count()
+
+
+def test_newest_landing_file_wins_across_prefixes(spark, tmpdir_run):
+    import os
+    landing = f"{tmpdir_run}/landing"
+    os.makedirs(landing)
+    header = ",".join(schemas.IMD_COLUMNS)
+
+    def imd_file(name, code, mtime):
+        row = [code, "name", "lad"] + ["1.0"] * (len(schemas.IMD_COLUMNS) - 3)
+        with open(f"{landing}/{name}", "w") as fh:
+            fh.write(header + "\n" + ",".join(row) + "\n")
+        os.utime(f"{landing}/{name}", (mtime, mtime))
+
+    imd_file("File_7_old.csv", "OLD", 1_000_000)
+    imd_file("IoD2019_new.csv", "NEW", 2_000_000)
+    root = f"{tmpdir_run}/wh"
+    pipeline.ingest_reference(spark, landing, root, RUN_TS)
+    codes = [r[0] for r in spark.read.parquet(f"{root}/raw/imd").select("lsoa_code_2011").collect()]
+    assert codes == ["NEW"]
