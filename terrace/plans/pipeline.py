@@ -107,12 +107,13 @@ def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime
     table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"), ["transaction_id"],
                            marks=["transfer_date", "dbt_updated_at"])
     out: dict[str, int] = {}
-    if mode == "full" or not table.manifest().parts:
+    current = table.manifest()
+    if mode == "full" or not current.parts:
         out["silver_ppd"] = table.overwrite(silver.silver_ppd(bronze.read(), run_ts))
     else:
         # High-water mark from the manifest's per-partition maxima: no scan;
         # bronze partitions that cannot hold a newer date are not read.
-        mark = table.mark("transfer_date", inc.DEFAULT_DATE_MARK)
+        mark = table.mark("transfer_date", inc.DEFAULT_DATE_MARK, current)
         raw = bronze.read_newer("transfer_date", mark)
         if raw is None:
             raw = spark.createDataFrame([], schemas.RAW_PPD)
@@ -136,10 +137,11 @@ def build_gold(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime)
     write_table(gold.dim_date(spark), f"{root}/gold/dim_date")
     fact = VersionedTable(spark, f"{root}/gold/fact_sales", lambda: (F.col("date_key") / 10000).cast("int"),
                           ["date_key", "transaction_id"], marks=["silver_updated_at"])
-    if mode == "full" or not fact.manifest().parts:
+    current = fact.manifest()
+    if mode == "full" or not current.parts:
         v = fact.overwrite(gold.fact_sales(s_ppd, run_ts))
     else:
-        mark = fact.mark("silver_updated_at", inc.DEFAULT_TS_MARK)
+        mark = fact.mark("silver_updated_at", inc.DEFAULT_TS_MARK, current)
         # Only silver partitions updated after the mark are read.
         changed = VersionedTable(spark, f"{root}/silver/silver_ppd").read_newer("dbt_updated_at", mark)
         if changed is None:

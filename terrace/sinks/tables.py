@@ -116,17 +116,23 @@ class VersionedTable:
         return f"{self.path}/_manifest"
 
     def manifest(self) -> Manifest:
+        """The newest committed manifest, read fresh (one small job): another
+        writer may have committed since.  Callers needing several lookups read
+        it once and pass it on."""
         try:
-            m = self.spark.read.schema(_MANIFEST_READ_SCHEMA).json(self._manifest_dir())
-            top = m.agg(F.max("v")).first()[0]
+            # File listing only (no job): find the newest version folder.
+            files = self.spark.read.schema(_MANIFEST_READ_SCHEMA).json(self._manifest_dir()).inputFiles()
         except Exception as exc:  # no manifest yet
             if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
                 return Manifest()
             raise
-        if top is None:
+        versions = sorted({int(seg[2:]) for f in files for seg in f.split("/") if seg.startswith("v=")})
+        if not versions:
             return Manifest()
-        out = Manifest(int(top))
-        for r in m.where(F.col("v") == top).collect():  # one row per partition / stream
+        top = versions[-1]
+        out = Manifest(top)
+        rows = self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{self._manifest_dir()}/v={top}").collect()
+        for r in rows:  # one row per partition / stream
             if r["kind"] == "part":
                 out.parts[r["part"]] = (r["location"], _decode_marks(r["marks"]))
             elif r["kind"] == "stream":
@@ -140,9 +146,10 @@ class VersionedTable:
         """Newest batch id committed by ``stream`` (ids are per stream)."""
         return self.manifest().streams.get(stream)
 
-    def mark(self, column: str, default=None):
+    def mark(self, column: str, default=None, manifest: Manifest | None = None):
         """Maximum of a mark column over the whole table, from the manifest."""
-        values = [mk[column] for _, mk in self.manifest().parts.values() if mk.get(column) is not None]
+        manifest = manifest or self.manifest()
+        values = [mk[column] for _, mk in manifest.parts.values() if mk.get(column) is not None]
         return max(values) if values else default
 
     def _commit(self, version: int, parts: dict, streams: dict) -> None:
@@ -169,11 +176,11 @@ class VersionedTable:
             out = df if out is None else out.unionByName(df)
         return out if with_part else out.drop(PART)
 
-    def read_newer(self, column: str, value) -> DataFrame | None:
+    def read_newer(self, column: str, value, manifest: Manifest | None = None) -> DataFrame | None:
         """Rows that can have ``column > value``: only partitions whose
         recorded maximum of ``column`` exceeds ``value`` are read (the caller
         still applies the row filter)."""
-        m = self.manifest()
+        m = manifest or self.manifest()
         keep = {p: v for p, v in m.parts.items() if v[1].get(column) is None or v[1][column] > value}
         if not keep:
             return None
