@@ -186,6 +186,44 @@ class VersionedTable:
             return None
         return self.read(manifest=Manifest(m.version, keep, m.streams))
 
+    # -- maintenance ------------------------------------------------------
+    def vacuum(self, keep_versions: int = 2) -> list[str]:
+        """Delete data and manifest folders no longer referenced by the newest
+        ``keep_versions`` manifests (readers of those versions are safe).
+
+        Works through the Hadoop file system of the table path, so it applies
+        to whatever shared storage the cluster uses.  Returns deleted paths.
+        """
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(conf)
+
+        def children(path: str) -> list[str]:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            return [st.getPath().toString() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+        manifests = sorted((int(c.rsplit("v=", 1)[1]), c) for c in children(self._manifest_dir())
+                           if "/v=" in c)
+        if len(manifests) <= keep_versions:
+            return []
+        keep = manifests[-keep_versions:]
+        live: set[str] = set()
+        for _, mdir in keep:
+            for r in self.spark.read.schema(_MANIFEST_SCHEMA).json(mdir).collect():
+                if r["kind"] == "part" and r["location"]:
+                    live.add(r["location"].rsplit("/", 1)[0].rsplit("/", 1)[-1])  # v=<n>
+        deleted = []
+        for d in children(f"{self.path}/data"):
+            name = d.rstrip("/").rsplit("/", 1)[-1]
+            if name.startswith("v=") and name not in live and int(name[2:]) < keep[0][0]:
+                fs.delete(jvm.org.apache.hadoop.fs.Path(d), True)
+                deleted.append(d)
+        for v, mdir in manifests[:-keep_versions]:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(mdir), True)
+            deleted.append(mdir)
+        return deleted
+
     # -- write ------------------------------------------------------------
     def _write_version(self, df: DataFrame, version: int) -> dict:
         """Write ``df`` (with the partition column) as version ``version``;

@@ -59,3 +59,15 @@ def test_marks_follow_replacements_and_streams_are_kept(spark, tmpdir_run):
     v = t.version()
     assert t.upsert(spark.createDataFrame([("z", D(1999, 1, 1), 2)], COLS), "k",
                     lambda cur, n: inc.replace_by_key(cur, n, "k"), batch_id=3, stream="A") == v
+
+
+def test_vacuum_keeps_live_versions(spark, tmpdir_run):
+    t = VersionedTable(spark, f"{tmpdir_run}/vac", lambda: F.year("d"), marks=["d"])
+    t.overwrite(spark.createDataFrame([("a", D(1999, 1, 1), 1), ("b", D(2000, 1, 1), 1)], COLS))
+    for i in range(3):  # each rewrites only 2000
+        t.upsert(spark.createDataFrame([("b", D(2000, 2, 1), i)], COLS), "k",
+                 lambda cur, n: inc.replace_by_key(cur, n, "k"))
+    before = sorted(map(tuple, t.read().collect()))
+    deleted = t.vacuum(keep_versions=1)
+    assert any("/data/v=2" in d for d in deleted) and not any("/data/v=1" in d for d in deleted)
+    assert sorted(map(tuple, t.read().collect())) == before  # 1999 still lives in v=1
