@@ -101,7 +101,7 @@ def merge_batch(table: VersionedTable, batch: DataFrame, batch_id: int, stream:
 
 
 def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_servers: str | None = None,
-            topic: str = TOPIC, folder: str | None = None, name: str = "ppd_consumer",
+            topic: str = TOPIC, folder: str | None = None, name: str = "transactions",
             max_per_trigger: int | None = -1) -> int:
     """Drain the topic into ``bronze_path``; returns the committed table version.
 
