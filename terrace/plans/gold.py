@@ -74,7 +74,11 @@ def location_key():
 
 def dim_property(silver: DataFrame) -> DataFrame:
     """Distinct property attribute combinations with a hashed key and labels."""
-    u = silver.select(*schemas.PROPERTY_COLUMNS).distinct()
+    return property_rows(silver.select(*schemas.PROPERTY_COLUMNS).distinct())
+
+
+def property_rows(u: DataFrame) -> DataFrame:
+    """Dimension rows from distinct property attribute combinations."""
     return u.select(
         property_key().alias("property_key"),
         "property_type",
@@ -89,7 +93,11 @@ def dim_property(silver: DataFrame) -> DataFrame:
 
 def dim_location(silver: DataFrame) -> DataFrame:
     """Distinct addresses with a hashed key."""
-    u = silver.select(*schemas.ADDRESS_COLUMNS).distinct()
+    return location_rows(silver.select(*schemas.ADDRESS_COLUMNS).distinct())
+
+
+def location_rows(u: DataFrame) -> DataFrame:
+    """Dimension rows from distinct addresses."""
     return u.select(location_key().alias("location_key"), *schemas.ADDRESS_COLUMNS)
 
 

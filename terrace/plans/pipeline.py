@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from terrace import schemas
 from terrace.operators import incremental as inc
-from terrace.operators import quality
+from terrace.operators import quality, refcount
+from terrace.operators.joins import checked_broadcast
 from terrace.plans import gold, marts, silver
 from terrace.session import stream_checkpoint
 from terrace.sinks.tables import VersionedTable, write_table
@@ -102,11 +103,21 @@ def ingest_ppd_file(spark: SparkSession, path: str, root: str, mode: str, run_ts
     return table.upsert(rows, "transaction_id", lambda cur, new: inc.replace_by_key(cur, new, "transaction_id"))
 
 
-def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime) -> dict[str, int]:
+@dataclass
+class SilverDelta:
+    """What an incremental silver load changed: the rows it loaded and the
+    rows (of the previous version) they replaced."""
+    added: DataFrame
+    removed: DataFrame
+
+
+def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime
+                 ) -> tuple[dict[str, int], SilverDelta | None]:
     bronze = VersionedTable(spark, f"{root}/raw/ppd", marks=["transfer_date"])
     table = VersionedTable(spark, f"{root}/silver/silver_ppd", _year("transfer_date"), ["transaction_id"],
                            marks=["transfer_date", "dbt_updated_at"])
     out: dict[str, int] = {}
+    delta = None
     current = table.manifest()
     if mode == "full" or not current.parts:
         out["silver_ppd"] = table.overwrite(silver.silver_ppd(bronze.read(), run_ts))
@@ -118,22 +129,43 @@ def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime
         if raw is None:
             raw = spark.createDataFrame([], schemas.RAW_PPD)
         new = silver.silver_ppd(inc.newer_than(raw, "transfer_date", mark), run_ts)
+        # Rows of the current version the increment replaces (version folders
+        # are immutable, so this still reads the old rows after the commit).
+        keys, _ = checked_broadcast(new.select("transaction_id").distinct())
+        replaced = table.read(manifest=current).join(keys, "transaction_id", "left_semi")
+        delta = SilverDelta(new, replaced)
         out["silver_ppd"] = table.upsert(
             new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"))
     rd = lambda t: spark.read.parquet(f"{root}/raw/{t}")
     write_table(silver.silver_onspd(rd("onspd")), f"{root}/silver/silver_onspd")
     write_table(silver.silver_ruc(rd("ruc_lsoa_2021")), f"{root}/silver/silver_ruc")
     write_table(silver.silver_imd(rd("imd")), f"{root}/silver/silver_imd")
-    return out
+    return out, delta
+
+
+def _distinct_dimension(spark: SparkSession, root: str, name: str, cols: list[str], s_ppd: DataFrame,
+                        delta: SilverDelta | None, rows) -> None:
+    """Rebuild (full run) or update from the delta (incremental run) the
+    reference counts behind a distinct dimension, then write the dimension."""
+    table = VersionedTable(spark, f"{root}/gold/_counts_{name}")
+    current = table.read() if delta is not None else None
+    if current is None:
+        table.overwrite(refcount.counts(s_ppd, cols))
+    else:
+        table.overwrite(refcount.apply_delta(current, delta.added, delta.removed, cols))
+    write_table(rows(table.read().select(*cols)), f"{root}/gold/{name}")
 
 
-def build_gold(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime) -> dict[str, int]:
+def build_gold(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime,
+               delta: SilverDelta | None = None) -> dict[str, int]:
     s_ppd = VersionedTable(spark, f"{root}/silver/silver_ppd").read()
     rd = lambda t: spark.read.parquet(f"{root}/silver/{t}")
     write_table(gold.dim_geography(rd("silver_onspd"), rd("silver_ruc"), rd("silver_imd")),
                 f"{root}/gold/dim_geography")
-    write_table(gold.dim_property(s_ppd), f"{root}/gold/dim_property")
-    write_table(gold.dim_location(s_ppd), f"{root}/gold/dim_location")
+    # Distinct dimensions: from reference counts, updated by the run's delta
+    # (no rescan of silver) or rebuilt on a full run.
+    _distinct_dimension(spark, root, "dim_property", schemas.PROPERTY_COLUMNS, s_ppd, delta, gold.property_rows)
+    _distinct_dimension(spark, root, "dim_location", schemas.ADDRESS_COLUMNS, s_ppd, delta, gold.location_rows)
     write_table(gold.dim_date(spark), f"{root}/gold/dim_date")
     fact = VersionedTable(spark, f"{root}/gold/fact_sales", lambda: (F.col("date_key") / 10000).cast("int"),
                           ["date_key", "transaction_id"], marks=["silver_updated_at"])
@@ -186,8 +218,9 @@ def run_pipeline(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime
         name = f"ppd_{mode}_{run_ts:%Y%m%d%H%M%S}" if mode == "full" else "ppd_incremental"
         res.versions["raw_ppd"] = ingest.consume(spark, f"{root}/raw/ppd", mode, folder=messages_folder,
                                                  bootstrap_servers=bootstrap_servers, name=name)
-    res.versions.update(build_silver(spark, root, mode, run_ts))
-    res.versions.update(build_gold(spark, root, mode, run_ts))
+    versions, delta = build_silver(spark, root, mode, run_ts)
+    res.versions.update(versions)
+    res.versions.update(build_gold(spark, root, mode, run_ts, delta))
     build_mart(spark, root)
     res.checks = run_checks(spark, root, as_of or run_ts.date(), min_rows, enforce_gate)
     return res
