@@ -91,3 +91,16 @@ def test_hot_postcode_is_split_at_run_time(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_refcount_delta_is_an_equi_join(spark):
+    """Null-safe matching of attribute combinations stays a hash/sort join."""
+    from terrace.operators import refcount as R
+    schema = "k string, a string, b string"
+    cur = R.counts(spark.createDataFrame([("1", "x", None)], schema), ["a", "b"])
+    inc = spark.createDataFrame([("2", "y", None), ("3", "x", None)], schema)
+    out = R.apply_delta(cur, inc, spark.createDataFrame([], schema), ["a", "b"])
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([("x", None, 2), ("y", None, 1)], key=repr)
+    p = plan(out)
+    assert "NestedLoop" not in p and "CartesianProduct" not in p
+    assert "SortMergeJoin" in p or "HashJoin" in p

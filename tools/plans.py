@@ -56,6 +56,15 @@ def main(sf_dir: str) -> None:
             "batch (no shuffle of the table); new keys found by a semi/anti join of small sides.",
             merge.keyed_upsert(cur, ev.where(F.col("event_id") > cut), "user_id", "event_id",
                                catalog.EVENT_UPDATE_COLUMNS))
+    from terrace.operators import refcount
+    from terrace import schemas
+    s0 = s.silver_ppd.where(F.col("transfer_date") < "2000-01-01")
+    inc = s.silver_ppd.where(F.col("transfer_date") >= "2000-01-01")
+    section("Reference counts of a distinct dimension, one increment",
+            "Counts partially aggregated per address; the null-safe match of combinations is an "
+            "equi-join on (coalesce, isnull) keys, never a nested loop; silver is not rescanned.",
+            refcount.apply_delta(refcount.counts(s0, schemas.ADDRESS_COLUMNS), inc, inc.where(F.lit(False)),
+                                 schemas.ADDRESS_COLUMNS))
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("\n".join(out))
     spark.stop()
