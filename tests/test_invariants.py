@@ -39,3 +39,29 @@ def test_rerunning_an_increment_changes_nothing(spark):
     again, new = inc.incremental_silver(raw, first, dt.datetime(2026, 2, 1))
     assert new.count() == 0
     assert again.exceptAll(first).count() == 0 and first.exceptAll(again).count() == 0
+
+
+def test_sale_outside_calendar_and_unknown_postcode(spark):
+    """A sale dated outside the calendar gets a NULL year and no geography;
+    a sale whose postcode has no version keeps NULL geography."""
+    from decimal import Decimal
+
+    from terrace.plans import gold, marts
+    fact = spark.createDataFrame(
+        [("t1", Decimal("100.00"), 19850105, "AB1", "pk"),   # before the spine
+         ("t2", Decimal("200.00"), 19980105, "AB1", "pk"),   # matched
+         ("t3", Decimal("300.00"), 19980105, "ZZ9", "pk")],  # unknown postcode
+        "transaction_id string, price decimal(12,2), date_key int, normalized_postcode string, "
+        "property_key string")
+    geo = spark.createDataFrame(
+        [("AB1", dt.date(1900, 1, 1), dt.date(2099, 12, 31), "Urban", Decimal("1.000"), Decimal("2.000"),
+          Decimal("3.000"))],
+        "normalized_postcode string, valid_from date, valid_to date, urban_rural_flag string, "
+        "imd_score decimal(10,3), crime_score decimal(10,3), education_score decimal(10,3)")
+    prop = spark.createDataFrame([("pk", "Detached", True)],
+                                 "property_key string, property_type_desc string, new_build boolean")
+    rows = {(r.sale_year, r.urban_rural_flag): r for r in
+            marts.mart_rural_urban(fact, gold.dim_date(spark), geo, prop).collect()}
+    assert set(rows) == {(None, None), (1998, "Urban"), (1998, None)}
+    assert rows[(None, None)].total_transactions == 1 and rows[(None, None)].avg_imd_score is None
+    assert rows[(1998, "Urban")].avg_imd_score == 1.0 and rows[(1998, None)].total_transactions == 1
