@@ -24,11 +24,11 @@ PROPERTY_BOUND_COLUMNS = ["property_key", "property_type_desc", "tenure_desc", "
 
 
 def geo_bound(dim_geo: DataFrame) -> DataFrame:
-    return dim_geo.select(*GEO_BOUND_COLUMNS)
+    return dim_geo.select(*[c for c in GEO_BOUND_COLUMNS if c in dim_geo.columns])
 
 
 def property_bound(dim_prop: DataFrame) -> DataFrame:
-    return dim_prop.select(*PROPERTY_BOUND_COLUMNS)
+    return dim_prop.select(*[c for c in PROPERTY_BOUND_COLUMNS if c in dim_prop.columns])
 
 
 def _year_key_range(year_from: int, year_to: int) -> Column:
