@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
-import tempfile
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from terrace import catalog  # noqa: E402
 from terrace.operators import merge  # noqa: E402
 from terrace.plans import marts  # noqa: E402
-from terrace.session import build_session  # noqa: E402
+from terrace.session import build_session, scratch_path  # noqa: E402
 
 
 def tree(df) -> str:
@@ -41,7 +41,7 @@ def main(sf_dir: str) -> None:
             "condition; AQE may still switch to broadcast at run time once it sees the sizes.",
             marts.mart_rural_urban(s.fact_sales, s.dim_date, s.dim_geography, s.dim_property))
     spark.conf.unset("terrace.broadcast.maxBytes")
-    d = tempfile.mkdtemp(prefix="run-plans-")
+    d = scratch_path(spark, f"plans-{uuid.uuid4().hex[:8]}")
     s.fact_sales.write.parquet(f"{d}/fact")
     fact = spark.read.parquet(f"{d}/fact")
     section("Top deprived areas over a stored fact",
