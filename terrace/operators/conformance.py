@@ -91,19 +91,40 @@ def _misfit(declared: str, col: Column, actual: T.DataType) -> Column:
     return F.count_if(col.isNotNull())
 
 
+def _sql_text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else "'" + value.replace("'", "''") + "'"
+
+
 def conformance(df: DataFrame, dataset: str) -> DataFrame:
     """One row per declared or actual column: declared and actual type,
-    whether they match, and how many rows do not fit the declared type."""
+    whether they match, and how many rows do not fit the declared type.
+
+    The data checks are one narrow aggregation (only the columns that need
+    one); the per-column rows are then unfolded with ``stack``.
+    """
     declared = dict(CONTRACT[dataset])
     actual = {f.name: f.dataType for f in df.schema.fields}
-    structs = []
+    counts, rows = [], []
     for name in list(declared) + [c for c in actual if c not in declared]:
         d, a = declared.get(name), actual.get(name)
-        misfit = _misfit(d, F.col(f"`{name}`"), a) if (d and a is not None) else F.lit(0)
-        structs.append(F.struct(
-            F.lit(dataset).alias("dataset"), F.lit(name).alias("column_name"),
-            F.lit(d).cast("string").alias("declared_type"),
-            F.lit(a.simpleString() if a is not None else None).cast("string").alias("actual_type"),
-            F.lit(bool(d and a is not None and type_compatible(d, a))).alias("type_ok"),
-            misfit.cast("long").alias("nonconforming_rows")))
-    return df.agg(F.array(*structs).alias("r")).select(F.explode("r").alias("r")).select("r.*")
+        misfit = _misfit(d, F.col(f"`{name}`"), a) if (d and a is not None) else None
+        if misfit is not None and not _is_zero(d, a):
+            alias = f"_m{len(counts)}"
+            counts.append(misfit.cast("long").alias(alias))
+            value = f"`{alias}`"
+        else:
+            value = "CAST(0 AS BIGINT)"
+        ok = "true" if (d and a is not None and type_compatible(d, a)) else "false"
+        rows.append(", ".join([_sql_text(dataset), _sql_text(name), _sql_text(d),
+                               _sql_text(a.simpleString() if a is not None else None), ok, value]))
+    agg = df.agg(*counts) if counts else df.agg(F.count(F.lit(1)).alias("_n"))
+    stack = (f"stack({len(rows)}, {', '.join(rows)}) AS "
+             "(dataset, column_name, declared_type, actual_type, type_ok, nonconforming_rows)")
+    return agg.select(F.expr(stack))
+
+
+def _is_zero(declared: str, actual: T.DataType) -> bool:
+    """Whether ``_misfit`` is the constant 0 for this pair (no data check)."""
+    if declared in (_INT, _BIG) and isinstance(actual, _NUMERIC):
+        return False
+    return type_compatible(declared, actual) or declared == _TEXT
