@@ -52,20 +52,26 @@ def _one_pass(df: DataFrame, model: str, checks: list[ColumnCheck]) -> DataFrame
     """Evaluate not_null and accepted_values checks of one table in one scan.
 
     accepted_values counts distinct offending non-null values (one failing
-    row per value), not offending rows.
+    row per value), not offending rows.  One aggregation computes every
+    count; ``stack`` unfolds them into one summary row per check.
     """
-    exprs = []
-    for c in checks:
+    counts, rows = [], []
+    for i, c in enumerate(checks):
         col = F.col(c.column)
         if c.test == "not_null":
-            exprs.append(_lit_row(model, c.column, c.test, c.severity, F.count_if(col.isNull())))
+            counts.append(F.count_if(col.isNull()).cast("long").alias(f"_f{i}"))
         elif c.test == "accepted_values":
             bad = F.when(col.isNotNull() & ~col.isin(*c.values), col)
-            exprs.append(_lit_row(model, c.column, c.test, c.severity, F.count_distinct(bad)))
+            counts.append(F.count_distinct(bad).cast("long").alias(f"_f{i}"))
         else:
             raise ValueError(c.test)
-    row = df.agg(F.array(*exprs).alias("r"))
-    return row.select(F.explode("r").alias("r")).select("r.*")
+        rows.append(", ".join([_text(model), _text(c.column), _text(c.test), _text(c.severity), f"`_f{i}`"]))
+    stack = f"stack({len(rows)}, {', '.join(rows)}) AS (model, column_name, test, severity, failures)"
+    return df.agg(*counts).select(F.expr(stack))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
 
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
