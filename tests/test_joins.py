@@ -76,3 +76,15 @@ def test_hot_key_split_equals_plain_join(spark):
         a = sorted(map(tuple, plain.select("tid", "vid").collect()), key=str)
         b = sorted(map(tuple, split.select("tid", "vid").collect()), key=str)
         assert a == b and len(a) >= 3000 if how == "left" else a == b
+
+
+def test_hot_keys_respect_their_bound(spark):
+    from pyspark.sql import functions as F
+    # 400 keys of equal weight: none holds more than 1%, so none is hot
+    df = spark.range(40000).select((F.col("id") % 400).cast("string").alias("k"))
+    assert joins.hot_keys(df, "k", share=0.01, fraction=0.5) == []
+    # whatever the data, at most 1/share keys come back
+    skewed = spark.range(40000).select(F.when(F.col("id") % 2 == 0, F.lit("A"))
+                                       .otherwise((F.col("id") % 7).cast("string")).alias("k"))
+    hot = joins.hot_keys(skewed, "k", share=0.2, fraction=0.5)
+    assert hot[0] == "A" and len(hot) <= 5
