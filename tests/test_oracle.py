@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from terrace import catalog
 from tools.compare import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -28,4 +29,4 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
