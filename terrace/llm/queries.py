@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import licenses, pii, secrets
+from terrace.llm import licenses, pii, quality, secrets
 from terrace.llm.tables import read
 
 
@@ -22,8 +22,12 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii)}
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii, op7_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
