@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import licenses, pii, quality, secrets
+from terrace.llm import licenses, mixing, packing, pii, quality, secrets
 from terrace.llm.tables import read
 
 
@@ -26,8 +26,17 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.digest(read(spark, sf_dir, "documents"))
+
+
+def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii, op7_quality_rules)}
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii, op7_quality_rules, op8_source_mix,
+                                   op9_sequence_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
