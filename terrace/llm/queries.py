@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import licenses, mixing, packing, pii, quality, secrets
+from terrace.llm import licenses, mixing, packing, pii, quality, secrets, url_filter
 from terrace.llm.tables import read
 
 
@@ -22,6 +22,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -35,9 +39,9 @@ def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii, op7_quality_rules, op8_source_mix,
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
                                    op9_sequence_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_url_filter": url_filter.ORACLE}
