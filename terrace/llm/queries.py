@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import licenses, mixing, packing, pii, quality, secrets, url_filter
+from terrace.llm import ann, licenses, mixing, packing, pii, quality, secrets, url_filter
 from terrace.llm.tables import read
 
 
@@ -18,6 +18,11 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(read(spark, sf_dir, "documents"))
 
 
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
@@ -39,7 +44,7 @@ def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_nearest_neighbours, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
                                    op9_sequence_packing)}
 
 
