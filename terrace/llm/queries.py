@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import ann, licenses, mixing, packing, pii, quality, secrets, url_filter
+from terrace.llm import ann, licenses, mixing, packing, pii, quality, secrets, suffix_dedup, url_filter
 from terrace.llm.tables import read
 
 
@@ -23,6 +23,10 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(read(spark, sf_dir, "documents"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
@@ -44,7 +48,8 @@ def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_nearest_neighbours, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
+    return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_nearest_neighbours,
+                                   op4_suffix_dedup, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
                                    op9_sequence_packing)}
 
 
