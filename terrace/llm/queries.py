@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import ann, licenses, mixing, packing, pii, quality, secrets, suffix_dedup, url_filter
+from terrace.llm import ann, jaccard, licenses, mixing, packing, pii, quality, secrets, suffix_dedup, url_filter
 from terrace.llm.tables import read
 
 
@@ -47,11 +47,15 @@ def op9_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_nearest_neighbours,
                                    op4_suffix_dedup, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
-                                   op9_sequence_packing)}
+                                   op9_sequence_packing, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": url_filter.ORACLE}
+    return {"op6_url_filter": url_filter.ORACLE, "op10_ngram_jaccard": jaccard.ORACLE}
