@@ -288,11 +288,13 @@ def _grouped(classes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
 
 # --- the operator ----------------------------------------------------------------
 
-def link(docs: DataFrame) -> DataFrame:
-    """``row, doc_id, n_shingles, component_id`` of every document; ``row`` is
-    an id that tells documents with the same ``doc_id`` apart."""
-    texts = tables.materialize(docs.select("doc_id", text_or_empty().alias("text"))
-                               .withColumn("row", F.monotonically_increasing_id()), "texts")
+def link(texts: DataFrame) -> DataFrame:
+    """``row, doc_id, n_shingles, component, component_id`` of every document.
+
+    ``texts`` is a written table with ``row`` (an id that tells documents with
+    one ``doc_id`` apart), ``doc_id`` and ``text`` (not null); ``component`` is
+    a ``row`` of the component.
+    """
     signed = signatures(texts)
     filled = signed.where("n > 0")
     classes = tables.materialize(
@@ -305,15 +307,31 @@ def link(docs: DataFrame) -> DataFrame:
     second = tables.materialize(group_links(texts, grouped, qualifying(grouped)), "group-links")
     final = _grouped(classes.select("k1", "k2", "cid", "least_doc"), first.unionByName(second), "component")
     named = final.groupBy("component").agg(F.min("least_doc").alias("component_id"))
-    by_class = tables.materialize(final.join(named, "component").select("k1", "k2", "component_id"), "components")
+    by_class = tables.materialize(
+        final.join(named, "component").select("k1", "k2", "component", "component_id"), "components")
     with_set = filled.select("row", "doc_id", "n", "k1", "k2").join(by_class, ["k1", "k2"])
-    alone = signed.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    columns = ["row", "doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    alone = signed.where("n = 0").withColumn("component", F.col("row")).withColumn("component_id", F.col("doc_id"))
+    columns = ["row", "doc_id", F.col("n").alias("n_shingles"), "component", "component_id"]
     return with_set.select(*columns).unionByName(alone.select(*columns))
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    return tables.materialize(docs.withColumn("row", F.monotonically_increasing_id()), "texts")
+
+
 def digest(docs: DataFrame) -> DataFrame:
-    return link(docs).drop("row")
+    """Per document: the size of its set and the smallest id of its component."""
+    texts = _numbered(docs.select("doc_id", text_or_empty().alias("text")))
+    return link(texts).select("doc_id", "n_shingles", "component_id")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component: the smallest id's (null last)."""
+    rows = _numbered(tables.packed(docs, "doc_id", text_or_empty().alias("text")))
+    linked = link(rows.select("row", "doc_id", "text"))
+    kept = linked.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("row"))
+    return rows.join(kept.select("row"), "row", "left_semi").select("_doc.*")
 
 
 ORACLE = r"""

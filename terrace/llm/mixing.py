@@ -141,7 +141,7 @@ def pieces(sized: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) ->
 
 def with_size(docs: DataFrame) -> DataFrame:
     """Documents with ``size`` and ``row``, an id that is fixed by writing them."""
-    return tables.materialize(docs.drop("size", "row").withColumn("size", word_count(text_or_empty()))
+    return tables.materialize(docs.withColumn("size", word_count(text_or_empty()))
                               .withColumn("row", F.monotonically_increasing_id()), "sized")
 
 
@@ -191,26 +191,24 @@ def _cut(text: str, size: int, runs: list[tuple[int, int]]) -> list[str]:
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mixture as documents: a row per epoch and run of consecutive words
     that the mix takes, with the columns of ``docs`` (``n_chars`` is the new length)."""
-    sized = with_size(docs)
-    got = (mix(sized.select("row", "doc_id", "source", "size"), targets(sized), seed).groupBy("row")
-           .agg(F.array_sort(F.collect_list(F.struct("epoch", "start", "length"))).alias("_found")))
+    sized = with_size(tables.packed(docs, "doc_id", "source", "text")).drop("text")
+    got = (mix(sized.drop("_doc"), targets(sized), seed).groupBy("row")
+           .agg(F.array_sort(F.collect_list(F.struct("epoch", "start", "length"))).alias("found")))
     columns = docs.columns
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            doc = batch["_doc"]
             index, texts = [], []
             for i, (text, size, found) in enumerate(zip(
-                    batch["text"].to_pylist(), batch["size"].to_pylist(), batch["_found"].to_pylist())):
+                    doc.field("text").to_pylist(), batch["size"].to_pylist(), batch["found"].to_pylist())):
                 parts = _cut(text, size, _runs(found))
                 index += [i] * len(parts)
                 texts += parts
-            rows = pa.Table.from_batches([batch]).select(columns).take(pa.array(index, pa.int64()))
-            new = {"text": pa.array(texts, rows.schema.field("text").type)}
-            if "n_chars" in columns:
-                new["n_chars"] = pa.array(map(len, texts), rows.schema.field("n_chars").type)
-            for name, values in new.items():
-                rows = rows.set_column(columns.index(name), rows.schema.field(name), values)
-            yield from rows.to_batches(max_chunksize=2000)
-
-    return sized.join(got, "row").select(*columns, *[c for c in ("size", "_found") if c not in columns]).mapInArrow(
-        take, docs.schema)
+            for at in range(0, len(index), 2000):
+                part = doc.take(pa.array(index[at:at + 2000], pa.int64()))
+                new = {"text": texts[at:at + 2000], "n_chars": [len(t) for t in texts[at:at + 2000]]}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(new[c], part.field(c).type) if c in new else part.field(c) for c in columns], columns)
+
+    return sized.join(got, "row").select("_doc", "size", "found").mapInArrow(take, docs.schema)

@@ -196,7 +196,6 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their columns unchanged."""
-    columns = docs.columns
-    featured = features(docs)
-    cutoffs = calibrate(featured, labels)
-    return judge(featured, cutoffs).where("_kept").select(*columns)
+    cutoffs = tables.materialize(calibrate(features(docs.select("doc_id", "lang", "text")), labels), "cutoffs")
+    featured = features(tables.packed(docs, "lang", "text")).drop("text")
+    return judge(featured, cutoffs).where("_kept").select("_doc.*")

@@ -24,6 +24,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.llm import tables
 from terrace.llm.spans import joined, no_spans, spans, tagged
 from terrace.llm.tables import text_or_empty
 
@@ -196,7 +197,6 @@ def scan(docs: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:
 def redact(docs: DataFrame, rules: Iterable[Rule] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every found span replaced by ``mark``; overlapping spans
     become one mark.  Columns stay as they are, but for ``text``."""
-    columns = docs.columns
     text = F.col("text")
 
     def step(state: Column, span: Column) -> Column:
@@ -208,9 +208,9 @@ def redact(docs: DataFrame, rules: Iterable[Rule] = RULES, mark: str = "[SECRET]
 
     clean = F.aggregate("secret_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("pos")), step,
                         lambda state: F.concat(state["out"], F.substring(text, state["pos"] + 1, F.length(text))))
-    return (scan(docs, rules)
-            .withColumn("text", F.when(F.size("secret_spans") > 0, clean).otherwise(text))
-            .select(*columns))
+    rows = scan(tables.packed(docs, "doc_id", "text"), rules)
+    new = F.when(F.size("secret_spans") > 0, clean).otherwise(text)
+    return rows.select(F.col("_doc").withField("text", new).alias("_doc")).select("_doc.*")
 
 
 def digest(docs: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:

@@ -20,6 +20,12 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def packed(docs: DataFrame, *names: str) -> DataFrame:
+    """All columns of ``docs`` as the struct ``_doc``, beside the columns
+    ``names``; whatever else ``docs`` holds can clash with nothing."""
+    return docs.select(F.struct(*docs.columns).alias("_doc"), *names)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to shared storage and return the written table.
 
