@@ -131,7 +131,8 @@ def pieces(sized: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) ->
     """The documents' parts in each block: (src, block, row, start, length)."""
     ranked = sized.where("size > 0").join(plan.select("src", F.col("source").alias("_source")),
                                           F.col("source").eqNullSafe(F.col("_source")))
-    placed = with_offsets(ranked.select("src", "row", "doc_id", "size"), ["src"], "size", ["doc_id", "size", "row"], "at")
+    placed = with_offsets(ranked.select("src", "row", "doc_id", "size", "text_hash"), ["src"], "size",
+                          ["doc_id", "size", "text_hash"], "at")
     first, last = F.floor(F.col("at") / block_words), F.floor((F.col("at") + F.col("size") - 1) / block_words)
     cut = placed.withColumn("block", F.explode(F.sequence(first, last)))
     begin = F.greatest(F.col("block") * block_words, F.col("at"))
@@ -140,8 +141,10 @@ def pieces(sized: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) ->
 
 
 def with_size(docs: DataFrame) -> DataFrame:
-    """Documents with ``size`` and ``row``, an id that is fixed by writing them."""
+    """Documents with ``size``, ``text_hash`` and ``row``, an id that is fixed
+    by writing them.  Draws depend on the former only, so on no row order."""
     return tables.materialize(docs.withColumn("size", word_count(text_or_empty()))
+                              .withColumn("text_hash", F.xxhash64(text_or_empty()))
                               .withColumn("row", F.monotonically_increasing_id()), "sized")
 
 
