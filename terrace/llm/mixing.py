@@ -123,7 +123,7 @@ def draw(plan: DataFrame, seed: int = SEED, slots_per_shard: int = SLOTS_PER_SHA
 
     counts = plan.where("slots > 0").select("src", "blocks", "slots").mapInPandas(
         deal, "src long, blocks long, shard long, first long, count long")
-    return (counts.repartition("src", "shard")
+    return (counts.repartition(shards, "src", "shard")
             .mapInPandas(fill, "shard long, src long, slot long, block long, epoch long"))
 
 
@@ -150,7 +150,8 @@ def with_size(docs: DataFrame) -> DataFrame:
 
 def mix(sized: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
     """The mixture in pieces: (shard, src, slot, block, epoch, row, start, length)."""
-    return draw(plan, seed).join(pieces(sized, plan), ["src", "block"])
+    # Spark takes the drawn slots for as few as the sources they come from.
+    return draw(plan, seed).hint("merge").join(pieces(sized, plan), ["src", "block"])
 
 
 def digest(docs: DataFrame, seed: int = SEED) -> DataFrame:
