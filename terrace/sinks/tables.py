@@ -1,13 +1,15 @@
 """Parquet table sinks: plain writes, CSV export, and versioned tables.
 
 A ``VersionedTable`` keeps its data partitioned (for sales: by year) under
-``data/v=<n>/`` and a manifest per version under ``_manifest/v=<n>/`` that maps
-every live partition to the version folder holding it.  An upsert rewrites
-only the partitions it touches into a new version folder and then writes the
-new manifest; readers of the previous version are never disturbed, a failed
-job leaves no visible manifest, and replaying a batch id already committed is
-a no-op.  Manifests and data are written by Spark itself, so the layout works
-on any shared file system the cluster uses.
+``data/v=<n>/<attempt>/`` and a manifest per version at ``_manifest/v=<n>/``
+that maps every live partition to the folder holding it.  An upsert rewrites
+only the partitions it touches into a new folder and then commits the new
+manifest; readers of the previous version are never disturbed, a failed job
+leaves no visible manifest, and replaying a batch id already committed is a
+no-op.  Each attempt writes to a folder of its own and the manifest file is
+moved into place only if no other writer has committed that version: of two
+writers that start from one version, the second fails.  All paths go through
+the Hadoop file system of the table, so any shared storage works.
 """
 
 from __future__ import annotations
@@ -15,16 +17,18 @@ from __future__ import annotations
 import datetime as _dt
 import decimal
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PART = "_part"
+# Write tasks that one partition (a year) is spread over, at most.
+WRITE_SPLITS = 64
 _NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 # Manifest rows: kind "part" (partition -> folder, with per-partition maxima
 # of the mark columns) or kind "stream" (newest batch id a stream committed).
@@ -36,8 +40,9 @@ _MANIFEST_SCHEMA = T.StructType([
     T.StructField("stream", T.StringType()),
     T.StructField("batch_id", T.LongType()),
 ])
-# Manifest folders are named v=<n>: partition discovery adds the version.
-_MANIFEST_READ_SCHEMA = T.StructType(_MANIFEST_SCHEMA.fields + [T.StructField("v", T.IntegerType())])
+
+class CommitConflict(RuntimeError):
+    """Another writer has committed the version this one was about to."""
 
 
 @dataclass
@@ -82,16 +87,18 @@ def write_bronze(df: DataFrame, path: str, source_mode: str) -> None:
 
 
 def export_csv(df: DataFrame, path: str) -> None:
-    """Single headered CSV file of a small report (the mart: ~a thousand rows)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """One headered CSV file of a report (the mart: a row per group).
+
+    The report's last aggregation keeps its own parallelism; only its rows
+    meet in the one writing task.
+    """
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 1_000_000):
-    """Pull a small result to the driver, refusing anything over ``max_rows``."""
-    rows = df.limit(max_rows + 1).toPandas()
-    if len(rows) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; write it instead")
-    return rows
+def report_to_pandas(spark: SparkSession, path: str, where: str | None = None):
+    """The stored mart report (a row per group), filtered in Spark, as pandas."""
+    report = VersionedTable(spark, path).read()
+    return (report if where is None else report.where(where)).toPandas()
 
 
 class VersionedTable:
@@ -102,10 +109,8 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition = partition or (lambda: F.lit("all"))
-        # Columns the files are range-clustered and sorted by inside each
-        # partition (the table key): balanced write tasks even when one
-        # partition holds most rows, few files per partition, and tight
-        # min/max statistics for key lookups.
+        # Columns (the table key) whose hash spreads a partition over write
+        # tasks, and by which each file is sorted.
         self.cluster_by = list(cluster_by or [])
         # Columns whose maximum the manifest keeps per partition, so a
         # high-water mark needs no scan of the table.
@@ -115,23 +120,32 @@ class VersionedTable:
     def _manifest_dir(self) -> str:
         return f"{self.path}/_manifest"
 
-    def manifest(self) -> Manifest:
-        """The newest committed manifest, read fresh (one small job): another
-        writer may have committed since.  Callers needing several lookups read
-        it once and pass it on."""
-        try:
-            # File listing only (no job): find the newest version folder.
-            files = self.spark.read.schema(_MANIFEST_READ_SCHEMA).json(self._manifest_dir()).inputFiles()
-        except Exception as exc:  # no manifest yet
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-                return Manifest()
-            raise
-        versions = sorted({int(seg[2:]) for f in files for seg in f.split("/") if seg.startswith("v=")})
+    def _fs(self):
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _children(self, path: str) -> list[str]:
+        """Paths directly below ``path`` (none if it does not exist)."""
+        jvm, fs = self._fs()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return [st.getPath().toString() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _versions(self) -> list[int]:
+        """Committed versions, from the names of the manifest folders only."""
+        return sorted(int(c.rsplit("v=", 1)[1]) for c in self._children(self._manifest_dir()) if "/v=" in c)
+
+    def manifest(self, version: int | None = None) -> Manifest | None:
+        """The newest committed manifest (or that of ``version``; None if it is
+        gone), read fresh: another writer may have committed since.  Callers
+        needing several lookups read it once and pass it on."""
+        versions = self._versions()
+        if version is not None and version not in versions:
+            return None
         if not versions:
             return Manifest()
-        top = versions[-1]
-        out = Manifest(top)
-        rows = self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{self._manifest_dir()}/v={top}").collect()
+        out = Manifest(versions[-1] if version is None else version)
+        rows = self.spark.read.schema(_MANIFEST_SCHEMA).json(f"{self._manifest_dir()}/v={out.version}").collect()
         for r in rows:  # one row per partition / stream
             if r["kind"] == "part":
                 out.parts[r["part"]] = (r["location"], _decode_marks(r["marks"]))
@@ -157,8 +171,28 @@ class VersionedTable:
         rows += [("stream", None, None, None, s, b) for s, b in streams.items()]
         if not rows:
             rows = [("empty", None, None, None, None, None)]
-        m = self.spark.createDataFrame(rows, _MANIFEST_SCHEMA)
-        m.coalesce(1).write.mode("overwrite").json(f"{self._manifest_dir()}/v={version}")
+        names = _MANIFEST_SCHEMA.fieldNames()
+        text = "".join(json.dumps(dict(zip(names, r))) + "\n" for r in rows)
+        jvm, fs = self._fs()
+        Path = jvm.org.apache.hadoop.fs.Path
+        ready = Path(f"{self._manifest_dir()}/_ready-{uuid.uuid4().hex}")
+        folder = Path(f"{self._manifest_dir()}/v={version}")
+        fs.mkdirs(ready)
+        out = fs.create(Path(ready, "manifest.json"), False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(fs.makeQualified(ready), fs.makeQualified(folder), options)  # never replaces
+        except Exception as exc:
+            if fs.exists(folder):
+                fs.delete(ready, True)
+                raise CommitConflict(f"version {version} of {self.path} was committed by another writer") from exc
+            raise
 
     # -- read -------------------------------------------------------------
     def read(self, with_part: bool = False, manifest: Manifest | None = None) -> DataFrame | None:
@@ -194,32 +228,23 @@ class VersionedTable:
         Works through the Hadoop file system of the table path, so it applies
         to whatever shared storage the cluster uses.  Returns deleted paths.
         """
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = root.getFileSystem(conf)
-
-        def children(path: str) -> list[str]:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            return [st.getPath().toString() for st in fs.listStatus(p)] if fs.exists(p) else []
-
-        manifests = sorted((int(c.rsplit("v=", 1)[1]), c) for c in children(self._manifest_dir())
-                           if "/v=" in c)
-        if len(manifests) <= keep_versions:
+        jvm, fs = self._fs()
+        versions = self._versions()
+        if len(versions) <= keep_versions:
             return []
-        keep = manifests[-keep_versions:]
-        live: set[str] = set()
-        for _, mdir in keep:
-            for r in self.spark.read.schema(_MANIFEST_SCHEMA).json(mdir).collect():
-                if r["kind"] == "part" and r["location"]:
-                    live.add(r["location"].rsplit("/", 1)[0].rsplit("/", 1)[-1])  # v=<n>
+        keep = versions[len(versions) - keep_versions:]
+        live = {loc.rsplit("/", 1)[0].split("/data/", 1)[1]
+                for v in keep for loc, _ in self.manifest(v).parts.values()}
         deleted = []
-        for d in children(f"{self.path}/data"):
-            name = d.rstrip("/").rsplit("/", 1)[-1]
-            if name.startswith("v=") and name not in live and int(name[2:]) < keep[0][0]:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(d), True)
-                deleted.append(d)
-        for v, mdir in manifests[:-keep_versions]:
+        for d in self._children(f"{self.path}/data"):
+            if int(d.rsplit("v=", 1)[1]) >= keep[0]:
+                continue
+            for attempt in self._children(d):
+                if attempt.split("/data/", 1)[1] not in live:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(attempt), True)
+                    deleted.append(attempt)
+        for v in versions[:len(versions) - keep_versions]:
+            mdir = f"{self._manifest_dir()}/v={v}"
             fs.delete(jvm.org.apache.hadoop.fs.Path(mdir), True)
             deleted.append(mdir)
         return deleted
@@ -228,29 +253,26 @@ class VersionedTable:
     def _write_version(self, df: DataFrame, version: int) -> dict:
         """Write ``df`` (with the partition column) as version ``version``;
         return {partition value: (folder, marks)} of what was written."""
-        target = f"{self.path}/data/v={version}"
+        target = f"{self.path}/data/v={version}/{uuid.uuid4().hex[:12]}"
         if self.cluster_by:
-            df = df.repartitionByRange(F.col(PART).asc_nulls_first(),
-                                       *[F.col(c).asc_nulls_first() for c in self.cluster_by])
+            # By hash: one evaluation of ``df`` (a range exchange would sample
+            # it first), and a partition that holds most rows is still split.
+            df = df.repartition(F.col(PART), F.pmod(F.xxhash64(*self.cluster_by), F.lit(WRITE_SPLITS)))
             df = df.sortWithinPartitions(PART, *self.cluster_by)
-        df.write.mode("overwrite").partitionBy(PART).parquet(target)
-        try:
-            back = self.spark.read.parquet(target)
-        except Exception as exc:  # nothing written (empty input)
-            if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
-                return {}
-            raise
+        df.write.partitionBy(PART).parquet(target)
         folders: dict[str | None, str] = {}
-        for f in back.inputFiles():
-            seg = [x for x in f.split("/") if x.startswith(f"{PART}=")]
-            if seg:
-                value = unquote(seg[-1].split("=", 1)[1])
-                folders[None if value == _NULL_PART else value] = f"{target}/{seg[-1]}"
+        for child in self._children(target):
+            name = child.rsplit("/", 1)[1]
+            if name.startswith(f"{PART}="):
+                value = unquote(name.split("=", 1)[1])
+                folders[None if value == _NULL_PART else value] = f"{target}/{name}"
+        if not folders:
+            return {}
         marks: dict[str | None, dict] = {}
         if self.marks:
             # Per-partition maxima over the rewritten partitions only (the
             # mark columns of this version's files), one row per partition.
-            stats = back.groupBy(F.col(PART).cast("string").alias("p")).agg(
+            stats = self.spark.read.parquet(target).groupBy(F.col(PART).cast("string").alias("p")).agg(
                 *[F.max(c).alias(c) for c in self.marks]).collect()
             marks = {r["p"]: {c: r[c] for c in self.marks} for r in stats}
         return {p: (loc, marks.get(p, {})) for p, loc in folders.items()}
@@ -284,9 +306,10 @@ class VersionedTable:
             first = combine(None, incoming) if _accepts_none(combine) else incoming
             return self.overwrite(first, batch_id, stream)
         # The increment is used several times (touched partitions, key
-        # broadcast, merge, write): keep it instead of recomputing its source.
-        # A lost executor's blocks are recomputed from lineage.
-        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
+        # broadcast, merge): write it once to the table's shared folder.
+        kept = f"{self.path}/_incoming/{uuid.uuid4().hex}"
+        incoming.write.parquet(kept)
+        incoming = self.spark.read.schema(incoming.schema).parquet(kept)
         try:
             inc = incoming.withColumn(PART, self.partition().cast("string"))
             from terrace.operators.joins import checked_broadcast
@@ -301,7 +324,8 @@ class VersionedTable:
             merged = combine(old, incoming).withColumn(PART, self.partition().cast("string"))
             written = self._write_version(merged, m.version + 1)
         finally:
-            incoming.unpersist()
+            jvm, fs = self._fs()
+            fs.delete(jvm.org.apache.hadoop.fs.Path(kept), True)
         # Untouched partitions keep their folders (and marks).
         parts = {p: v for p, v in m.parts.items() if p not in touched}
         parts.update(written)

@@ -4,6 +4,8 @@ landing-zone routing, and named warehouse tables."""
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,20 +22,27 @@ REFERENCE_MAP = {
     "IoD2019": "imd",
     "File_7": "imd",
 }
+# Columns a reference table must hold (its declared columns; for the other two
+# tables silver picks the original or the snake form of a header).
 REFERENCE_SCHEMAS: dict[str, T.StructType | None] = {
     "onspd": schemas.RAW_ONSPD,
-    "ruc_lsoa_2021": None,   # header kept (original or snake form), all text
+    "ruc_lsoa_2021": None,
     "imd": None,
 }
 
+# CSV by the standard: a quote inside a quoted cell is doubled, a backslash is
+# an ordinary character.  A quoted empty cell is an empty string, an unquoted
+# one is missing (no cell of these files is the single control character).
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\x01", "emptyValue": ""}
+CSV_WRITE_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""'}
+
 
 def read_ppd_text(spark: SparkSession, path: str) -> DataFrame:
     """Headerless transaction file as 16 text columns.
 
     PERMISSIVE: a short row yields NULLs for its missing tail; nothing fails.
     """
-    return (spark.read.schema(schemas.PPD_TEXT)
-            .option("header", False).option("mode", "PERMISSIVE").csv(path))
+    return spark.read.schema(schemas.PPD_TEXT).options(header=False, **CSV_OPTIONS).csv(path)
 
 
 def type_ppd(text: DataFrame, ingested_at: _dt.datetime, source_mode: str) -> DataFrame:
@@ -55,11 +64,6 @@ def type_ppd(text: DataFrame, ingested_at: _dt.datetime, source_mode: str) -> Da
                        F.lit(source_mode).alias("_source_mode"))
 
 
-def ppd_source(mode: str, full_path: str, monthly_path: str) -> str:
-    """Full history for ``full``, the monthly update otherwise."""
-    return full_path if mode == "full" else monthly_path
-
-
 def read_ppd(spark: SparkSession, path: str, mode: str, ingested_at: _dt.datetime) -> DataFrame:
     return type_ppd(read_ppd_text(spark, path), ingested_at, mode)
 
@@ -71,35 +75,67 @@ def bootstrap_ppd(spark: SparkSession, path: str) -> DataFrame:
                 .withColumn("_source_mode", F.lit(None).cast("string"))
 
 
-def read_reference(spark: SparkSession, path: str, table: str,
-                   glob: str | None = None) -> DataFrame:
-    """Headered reference CSV (declared schema where known, else all text)."""
-    schema = REFERENCE_SCHEMAS.get(table)
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", False)
-    return r.csv(path)
+def read_reference(spark: SparkSession, paths: str | list[str], table: str) -> DataFrame:
+    """Headered reference CSV files of one delivery, columns found by name.
+
+    Cells are read as text; the header of the first file names them, and a
+    file whose header differs fails the read.  Declared columns are cast (a
+    cell that does not parse becomes NULL) and must all be there.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    header = spark.read.options(header=True, **CSV_OPTIONS).csv(paths[0]).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    rows = (spark.read.schema(text).options(header=True, enforceSchema=False, **CSV_OPTIONS).csv(paths))
+    declared = REFERENCE_SCHEMAS.get(table)
+    if declared is None:
+        return rows
+    by_name = {c.strip().lower(): c for c in header}
+    missing = [f.name for f in declared.fields if f.name.lower() not in by_name]
+    if missing:
+        raise ValueError(f"{paths[0]}: no column {', '.join(missing)} for {table}")
+    return rows.select(*[F.col(f"`{by_name[f.name.lower()]}`").try_cast(f.dataType).alias(f.name)
+                         for f in declared.fields])
+
+
+_PART = re.compile(r"[._-](?:part[._-]?)?\d{1,3}$", re.IGNORECASE)
 
 
-def landing_files(spark: SparkSession, landing_dir: str) -> dict[str, list[str]]:
+def _delivery(name: str, prefix: str) -> str:
+    """Name of the delivery a file belongs to: files that differ only in a
+    trailing part number (``..._0.csv``, ``..._part-12.csv``) are one."""
+    return prefix + _PART.sub("", name[len(prefix):].removesuffix(".csv"))
+
+
+@dataclass
+class Landing:
+    """Files of a table's newest delivery, and files of older ones."""
+    files: list[str]
+    superseded: list[str]
+
+
+def landing_files(spark: SparkSession, landing_dir: str) -> dict[str, Landing]:
     """Route landing ``*.csv`` files to bronze tables by file-name prefix.
 
-    Only file names are listed (metadata of the directory); unknown files
-    are skipped.  When two prefixes feed one table, the newest file wins.
+    Only names and times are listed; unknown files are skipped.  Of several
+    deliveries for one table the newest counts, with all its parts; two that
+    are equally new cannot be told apart and raise.
     """
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
                .load(landing_dir).select("path", "modificationTime"))
-    routed: dict[str, list[tuple[_dt.datetime, str]]] = {}
+    routed: dict[str, dict[str, list]] = {}
     for row in listing.collect():  # one row per file, not per record
         name = row["path"].rsplit("/", 1)[-1]
         for prefix, table in REFERENCE_MAP.items():
             if name.startswith(prefix):
-                routed.setdefault(table, []).append((row["modificationTime"], row["path"]))
+                routed.setdefault(table, {}).setdefault(_delivery(name, prefix), []).append(
+                    (row["modificationTime"], row["path"]))
                 break
-    return {t: [max(files)[1]] for t, files in routed.items()}
-
-
-def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
-    """A named table of a warehouse layer (``raw``, ``silver``, ``gold``)."""
-    return spark.read.parquet(f"{root.rstrip('/')}/{layer}/{name}")
+    out = {}
+    for table, deliveries in routed.items():
+        times = {name: max(t for t, _ in found) for name, found in deliveries.items()}
+        newest = [name for name, t in times.items() if t == max(times.values())]
+        if len(newest) > 1:
+            raise ValueError(f"deliveries {sorted(newest)} for {table} are equally new")
+        out[table] = Landing(sorted(p for _, p in deliveries[newest[0]]),
+                             sorted(p for n, found in deliveries.items() if n != newest[0] for _, p in found))
+    return out

@@ -3,8 +3,7 @@
 Publishing turns file rows into JSON messages and writes them to a Kafka
 topic, or, where no broker is available, to a folder of JSON-lines files.
 Consuming is a Structured Streaming query: the source is read from its
-earliest offset in bounded micro-batches (``availableNow``: stop when drained),
-each micro-batch is decoded and merged into the bronze table with the ordered
+earliest offset (``availableNow``: stop when drained), each micro-batch is decoded and merged into the bronze table with the ordered
 keyed upsert, and offsets are committed to the checkpoint only after the
 batch's table version is committed (at-least-once; a replayed batch id is a
 no-op).
@@ -24,7 +23,8 @@ from terrace.sinks.tables import VersionedTable
 from terrace.streaming import messages
 
 TOPIC = "ppd.raw"
-BATCH_ROWS = 50_000
+# One stream (position and batch ids) for all runs over a bronze table.
+STREAM = "transactions"
 # Producer delivery settings: wait for all replicas, gzip, 20 ms linger,
 # 5,000-message batches.
 PRODUCER_OPTIONS = {
@@ -51,8 +51,8 @@ def publish(ppd_text: DataFrame, ingested_at: _dt.datetime, mode: str, *,
 
 
 def message_stream(spark: SparkSession, *, bootstrap_servers: str | None = None, topic: str = TOPIC,
-                   folder: str | None = None, max_per_trigger: int | None = BATCH_ROWS,
-                   files_per_trigger: int | None = 64) -> DataFrame:
+                   folder: str | None = None, max_per_trigger: int | None = None,
+                   files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of (value, order columns) from the earliest offset.
 
     ``None`` limits mean one micro-batch takes the whole backlog.
@@ -74,8 +74,7 @@ def message_stream(spark: SparkSession, *, bootstrap_servers: str | None = None,
     # File order: modification time, then name; within a file, read order
     # (numbered per micro-batch in ``merge_batch``).
     return src.select("value",
-                      F.concat_ws("/", F.lpad(F.col("_metadata.file_modification_time").cast("long")
-                                              .cast("string"), 20, "0"),
+                      F.concat_ws("/", F.lpad(F.unix_micros("_metadata.file_modification_time").cast("string"), 20, "0"),
                                   F.col("_metadata.file_name")).alias("_src"))
 
 
@@ -83,17 +82,37 @@ def _bronze_partition():
     return F.year("transfer_date")
 
 
+def _rejects(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}_rejected"
+
+
+def rejected(spark: SparkSession, bronze_path: str) -> int:
+    """Messages set aside so far because no transaction id could be read."""
+    try:
+        return spark.read.parquet(_rejects(bronze_path)).count()
+    except Exception as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return 0
+        raise
+
+
 def merge_batch(table: VersionedTable, batch: DataFrame, batch_id: int, stream: str) -> int:
-    """Decode one micro-batch and upsert it into the bronze table."""
+    """Decode one micro-batch and upsert it into the bronze table.
+
+    Messages without a transaction id (malformed ones too) go to the table's
+    reject folder, one sub-folder per batch, so a replay writes them once.
+    """
     if "_pos" not in batch.columns:
         batch = batch.withColumn("_pos", F.monotonically_increasing_id())
-    rows = messages.decode(batch, keep=["_src", "_pos"]).where(F.col("transaction_id").isNotNull())
+    decoded = messages.decode(batch, keep=["_src", "_pos", "value"])
+    bad = decoded.where(F.col("transaction_id").isNull()).select("value", "_src", "_pos")
+    bad.write.mode("overwrite").parquet(f"{_rejects(table.path)}/stream={stream}/batch={batch_id}")
+    rows = decoded.where(F.col("transaction_id").isNotNull()).drop("value")
 
     def combine(current, incoming):
-        inc = incoming
         if current is None:
             current = table.spark.createDataFrame([], schemas.RAW_PPD)
-        return keyed_upsert(current, inc, "transaction_id", ["_src", "_pos"],
+        return keyed_upsert(current, incoming, "transaction_id", ["_src", "_pos"],
                             schemas.UPSERT_UPDATE_COLUMNS)
 
     combine.accepts_empty = True
@@ -101,29 +120,29 @@ def merge_batch(table: VersionedTable, batch: DataFrame, batch_id: int, stream:
 
 
 def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_servers: str | None = None,
-            topic: str = TOPIC, folder: str | None = None, name: str = "transactions",
-            max_per_trigger: int | None = -1) -> int:
+            topic: str = TOPIC, folder: str | None = None, name: str = STREAM,
+            max_per_trigger: int | None = None, files_per_trigger: int | None = None,
+            run_id: _dt.datetime | None = None) -> int:
     """Drain the topic into ``bronze_path``; returns the committed table version.
 
-    ``full`` starts from an empty table; ``incremental`` merges into the
-    existing one.  ``name`` identifies the stream (its checkpoint and its
-    batch ids); give each full run its own name.
+    Both modes read on from one position: a message is taken once, whichever
+    run takes it.  ``full`` empties the table first (once per ``run_id``, so a
+    repeated run goes on where it stopped) and loads what has been published
+    since the last run; ``incremental`` merges into the existing rows.
 
-    Each micro-batch rewrites the year partitions it touches, so batch size
-    is a cost trade-off, not a memory bound (a micro-batch is distributed):
-    a full load drains the whole backlog in one batch, an incremental run
-    takes ``BATCH_ROWS`` messages per batch (its rows touch recent years only).
+    A micro-batch is distributed, so its size is a cost trade-off, not a memory
+    bound; by default one batch takes the whole backlog, and each partition it
+    touches is rewritten once.
     """
-    if max_per_trigger == -1:
-        max_per_trigger = None if mode == "full" else BATCH_ROWS
     table = VersionedTable(spark, bronze_path, _bronze_partition, ["transaction_id"], marks=["transfer_date"])
-    ckpt = stream_checkpoint(spark, bronze_path, name)
-    if mode == "full" and table.last_batch_id(name) is None:
-        table.overwrite(spark.createDataFrame([], schemas.RAW_PPD))
+    if mode == "full":
+        reset, mark = f"{name} emptied for", int((run_id or _dt.datetime.now()).timestamp() * 1_000_000)
+        if table.manifest().streams.get(reset) != mark:
+            table.overwrite(spark.createDataFrame([], schemas.RAW_PPD), mark, reset)
     stream = message_stream(spark, bootstrap_servers=bootstrap_servers, topic=topic, folder=folder,
-                            max_per_trigger=max_per_trigger,
-                            files_per_trigger=None if max_per_trigger is None else 64)
+                            max_per_trigger=max_per_trigger, files_per_trigger=files_per_trigger)
     q = (stream.writeStream.foreachBatch(lambda df, bid: merge_batch(table, df, bid, name))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+         .option("checkpointLocation", stream_checkpoint(spark, bronze_path, name))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return table.version()

@@ -1,98 +1,175 @@
 """End to end: landing CSVs and a transaction file -> warehouse -> gate."""
 
 import datetime as dt
+import glob
+import os
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from terrace import schemas
 from terrace.catalog import RUN_TS
-from terrace.plans import pipeline
+from terrace.plans import gold, pipeline
 from terrace.plans.star import build_star
-from terrace.sinks.tables import VersionedTable
+from terrace.sinks.tables import CommitConflict, VersionedTable
+from terrace.sources import files
 from terrace.sources import fixtures as fx
-from terrace.streaming import messages
+from terrace.streaming import ingest, messages
 
+MONTH = dt.timedelta(days=30)
 
-def _landing(spark, d):
+
+def _landing(spark, d, parts=1):
+    """The fixture's reference tables as landing files (the directory in parts)."""
     b = fx.bronze(spark, SF_SMALL)
-    onspd = b["onspd"]
-    full = onspd.select(*[F.col(c) if c in onspd.columns else F.lit(None).cast(t.dataType).alias(c)
-                          for c, t in ((f.name, f) for f in schemas.RAW_ONSPD.fields)])
-    full.coalesce(1).write.option("header", True).csv(f"{d}/tmp_onspd")
-    b["ruc_lsoa_2021"].coalesce(1).write.option("header", True).csv(f"{d}/tmp_ruc")
-    imd = b["imd"]
-    imd57 = imd.select(*[F.col(c) if c in imd.columns else F.lit(None).cast("string").alias(c)
-                         for c in schemas.IMD_COLUMNS])
-    imd57.coalesce(1).write.option("header", True).csv(f"{d}/tmp_imd")
-    import glob
-    import shutil
+    filled = lambda df, schema: df.select(*[
+        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
     landing = f"{d}/landing"
-    import os
     os.makedirs(landing)
-    for src, name in (("tmp_onspd", "ONSPD_FEB.csv"), ("tmp_ruc", "Rural_Urban_2021.csv"),
-                      ("tmp_imd", "File_7_scores.csv")):
-        shutil.copy(glob.glob(f"{d}/{src}/part-*.csv")[0], f"{landing}/{name}")
-    open(f"{landing}/notes.csv", "w").write("a,b\n1,2\n")  # unknown prefix: skipped
+    for name, df, n in (("ONSPD_FEB", filled(b["onspd"], schemas.RAW_ONSPD), parts), ("Rural_Urban_2021", b["ruc_lsoa_2021"], 1),
+                        ("File_7_scores", filled(b["imd"], schemas.RAW_IMD), 1)):
+        df.repartition(n).write.options(header=True, **files.CSV_WRITE_OPTIONS).csv(f"{d}/tmp_{name}")
+        found = sorted(glob.glob(f"{d}/tmp_{name}/part-*.csv"))
+        assert len(found) == n
+        for i, path in enumerate(found):
+            shutil.copy(path, f"{landing}/{name}_{i}.csv" if n > 1 else f"{landing}/{name}.csv")
+    with open(f"{landing}/notes.csv", "w") as fh:  # unknown prefix: skipped
+        fh.write("a,b\n1,2\n")
     return b, landing
 
 
+def _sales(spark, raw, path, where="true"):
+    messages.to_file_text(raw.where(where)).write.options(header=False, **files.CSV_WRITE_OPTIONS).csv(path)
+    return path
+
+
+def _same(got, want):
+    return got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def _consistent(spark, root):
+    """Dimensions equal a rebuild; every fact finds its location and property."""
+    rows = pipeline.read(spark, root, "silver", "silver_ppd")
+    fact = pipeline.read(spark, root, "gold", "fact_sales")
+    assert fact.count() == rows.count()
+    for name, full, key in (("dim_property", gold.dim_property(rows), "property_key"),
+                            ("dim_location", gold.dim_location(rows), "location_key")):
+        got = pipeline.read(spark, root, "gold", name)
+        assert _same(got, full), name
+        assert fact.join(got, key, "left_anti").count() == 0
+
+
 def test_full_then_incremental_run(spark, tmpdir_run):
-    b, landing = _landing(spark, tmpdir_run)
+    b, landing = _landing(spark, tmpdir_run, parts=3)
     raw = b["ppd"]
-    text = messages.to_file_text(raw)
-    early = text.where(F.col("transfer_date") < "1998-01-01")
-    early.write.option("header", False).csv(f"{tmpdir_run}/ppd_full")
-    text.write.option("header", False).csv(f"{tmpdir_run}/ppd_month")
     root = f"{tmpdir_run}/wh"
     r1 = pipeline.run_pipeline(spark, root, "full", RUN_TS, landing_dir=landing,
-                               ppd_path=f"{tmpdir_run}/ppd_full", as_of=dt.date(1998, 1, 20),
-                               min_rows=10, enforce_gate=True)
+                               ppd_path=_sales(spark, raw, f"{tmpdir_run}/full", "transfer_date < '1998-01-01'"),
+                               as_of=dt.date(1998, 1, 20), min_rows=10, enforce_gate=True)
     assert {c["test"] for c in r1.checks} >= {"unique", "not_null", "accepted_values", "price_positive"}
-    run2 = RUN_TS + dt.timedelta(days=30)
-    pipeline.run_pipeline(spark, root, "incremental", run2, ppd_path=f"{tmpdir_run}/ppd_month",
-                          as_of=dt.date(2001, 8, 20), min_rows=10)
+    # all parts of the delivery are loaded, and archived by the run that read them
+    assert r1.loaded["onspd"] == b["onspd"].count() == pipeline.read(spark, root, "raw", "onspd").count()
+    assert os.listdir(landing) == ["notes.csv"]
+    archived = sorted(os.path.basename(p) for p in glob.glob(f"{tmpdir_run}/processed/*/*.csv"))
+    assert archived == ["File_7_scores.csv", "ONSPD_FEB_0.csv", "ONSPD_FEB_1.csv", "ONSPD_FEB_2.csv", "Rural_Urban_2021.csv"]
+    run2 = RUN_TS + MONTH
+    r2 = pipeline.run_pipeline(spark, root, "incremental", run2, ppd_path=_sales(spark, raw, f"{tmpdir_run}/month"),
+                               as_of=dt.date(2001, 8, 20), min_rows=10)
+    assert r2.late_rows == 0
     # the warehouse mart equals the mart computed directly from all rows
     star = build_star(spark, {**b, "ppd": raw}, RUN_TS)
     key = ["sale_year", "urban_rural_flag", "property_type", "new_build", "total_transactions",
            "total_sales_volume", "min_price", "max_price"]
-    got = spark.read.parquet(f"{root}/gold/mart_rural_urban_stats").select(*key)
-    want = star.mart().select(*key)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    fact = VersionedTable(spark, f"{root}/gold/fact_sales").read()
+    mart = pipeline.read(spark, root, "gold", "mart_rural_urban_stats")
+    assert _same(mart.select(*key), star.mart().select(*key))
+    assert mart.where("urban_rural_flag is not null").count() > 0
+    fact = pipeline.read(spark, root, "gold", "fact_sales")
     assert fact.count() == raw.count()
-    # dimensions maintained from reference counts equal a full rebuild
-    final_silver = VersionedTable(spark, f"{root}/silver/silver_ppd").read()
-    from terrace.plans import gold
-    for name, full in (("dim_property", gold.dim_property(final_silver)),
-                       ("dim_location", gold.dim_location(final_silver))):
-        got = spark.read.parquet(f"{root}/gold/{name}")
-        assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0, name
     assert fact.where(F.col("gold_updated_at") == F.lit(run2)).count() > 0
-    # reference files were archived (moved once a later batch committed, or
-    # still recorded in the checkpoint); the unknown file stays
-    import os
-    assert os.path.exists(f"{landing}/notes.csv")
+    _consistent(spark, root)
 
 
-def test_full_run_from_messages(spark, tmpdir_run):
-    from terrace.streaming import ingest
+def test_late_sales_are_counted(spark, tmpdir_run):
     b, landing = _landing(spark, tmpdir_run)
-    raw = b["ppd"]
-    msgs = f"{tmpdir_run}/msgs"
-    ingest.publish(messages.to_file_text(raw), fx.FIXTURE_INGESTED_AT, "full", folder=msgs)
     root = f"{tmpdir_run}/wh"
-    r = pipeline.run_pipeline(spark, root, "full", RUN_TS, landing_dir=landing, messages_folder=msgs,
-                              as_of=dt.date(2001, 8, 20), min_rows=10)
+    some = "transfer_date < '1998-01-01' AND cast(transaction_id AS int) % 3 != 0"
+    run = lambda mode, ts, path: pipeline.run_pipeline(
+        spark, root, mode, ts, landing_dir=landing, ppd_path=path, min_rows=1, enforce_gate=False)
+    run("full", RUN_TS, _sales(spark, b["ppd"], f"{tmpdir_run}/full", some))
+    mark = b["ppd"].where(some).agg(F.max("transfer_date")).first()[0]
+    late = b["ppd"].where((F.col("transfer_date") <= F.lit(mark)) & (F.col("transaction_id").cast("int") % 3 == 0)).count()
+    assert late > 0 and run("incremental", RUN_TS + MONTH, _sales(spark, b["ppd"], f"{tmpdir_run}/month")).late_rows == late
+
+
+@pytest.mark.parametrize("stop", ["build_gold", "dim_location", "fact_sales", "build_mart"])
+def test_a_stopped_run_can_be_repeated(spark, tmpdir_run, monkeypatch, stop):
+    """Stop the incremental run at a step, run it again: nothing is lost."""
+    b, landing = _landing(spark, tmpdir_run)
+    root = f"{tmpdir_run}/wh"
+    options = dict(as_of=dt.date(2001, 8, 20), min_rows=1, enforce_gate=False)
+    pipeline.run_pipeline(spark, root, "full", RUN_TS, landing_dir=landing,
+                          ppd_path=_sales(spark, b["ppd"], f"{tmpdir_run}/full", "transfer_date < '1998-01-01'"), **options)
+    month = _sales(spark, b["ppd"], f"{tmpdir_run}/month")
+    with monkeypatch.context() as m:
+        if stop.startswith("build"):
+            m.setattr(pipeline, stop, lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped")))
+        else:
+            commit = VersionedTable._commit
+
+            def failing(self, *args):
+                if self.path.endswith(stop):
+                    raise RuntimeError("stopped")
+                return commit(self, *args)
+
+            m.setattr(VersionedTable, "_commit", failing)
+        with pytest.raises(RuntimeError, match="stopped"):
+            pipeline.run_pipeline(spark, root, "incremental", RUN_TS + MONTH, ppd_path=month, **options)
+    pipeline.run_pipeline(spark, root, "incremental", RUN_TS + MONTH, ppd_path=month, **options)
+    assert pipeline.read(spark, root, "silver", "silver_ppd").count() == b["ppd"].count()
+    _consistent(spark, root)
+
+
+def test_a_repeated_run_time_with_new_rows_is_refused(spark, tmpdir_run):
+    b, landing = _landing(spark, tmpdir_run)
+    root = f"{tmpdir_run}/wh"
+    run = lambda mode, path: pipeline.run_pipeline(
+        spark, root, mode, RUN_TS, landing_dir=landing, ppd_path=path, min_rows=1, enforce_gate=False)
+    run("full", _sales(spark, b["ppd"], f"{tmpdir_run}/full", "transfer_date < '1998-01-01'"))
+    with pytest.raises(ValueError, match="later"):
+        run("incremental", _sales(spark, b["ppd"], f"{tmpdir_run}/month"))
+
+
+def test_a_redelivered_file_is_loaded_again(spark, tmpdir_run):
+    landing, root = f"{tmpdir_run}/landing", f"{tmpdir_run}/wh"
+    os.makedirs(landing)
+    for turn, code in enumerate(("OLD", "NEW")):
+        with open(f"{landing}/Rural_Urban_x.csv", "w") as fh:
+            fh.write(f"lsoa21cd,ruc21cd\n{code},R1\n")
+        pipeline.ingest_reference(spark, landing, root, RUN_TS + turn * MONTH)
+        assert [r.lsoa21cd for r in pipeline.read(spark, root, "raw", "ruc_lsoa_2021").collect()] == [code]
+    assert len(glob.glob(f"{tmpdir_run}/processed/*/Rural_Urban_x.csv")) == 2
+
+
+def test_produce_then_consume(spark, tmpdir_run):
+    b, landing = _landing(spark, tmpdir_run)
+    raw, root, msgs = b["ppd"], f"{tmpdir_run}/wh", f"{tmpdir_run}/msgs"
+    os.makedirs(msgs)
+    run = lambda mode, ts, **more: pipeline.run_pipeline(
+        spark, root, mode, ts, landing_dir=landing, messages_folder=msgs, as_of=dt.date(2001, 8, 20), min_rows=10, **more)
+    r = run("full", RUN_TS, ppd_path=_sales(spark, raw, f"{tmpdir_run}/pp"))
     assert all(c["failures"] == 0 for c in r.checks if c["severity"] == "error")
-    bronze = VersionedTable(spark, f"{root}/raw/ppd").read()
-    want = raw.select(*bronze.columns)
-    assert bronze.exceptAll(want).count() == 0 and want.exceptAll(bronze).count() == 0
-    assert VersionedTable(spark, f"{root}/gold/fact_sales").read().count() == raw.count()
+    bronze = pipeline.read(spark, root, "raw", "ppd")
+    want = raw.withColumn("_ingested_at", F.lit(RUN_TS)).select(*bronze.columns)
+    assert _same(bronze, want)
+    # no new message: neither bronze nor the position moves
+    again = run("incremental", RUN_TS + MONTH)
+    assert again.versions["raw_ppd"] == r.versions["raw_ppd"]
+    assert pipeline.read(spark, root, "gold", "fact_sales").count() == raw.count()
 
 
 def test_newest_landing_file_wins_across_prefixes(spark, tmpdir_run):
-    import os
     landing = f"{tmpdir_run}/landing"
     os.makedirs(landing)
     header = ",".join(schemas.IMD_COLUMNS)
@@ -106,6 +183,19 @@ def test_newest_landing_file_wins_across_prefixes(spark, tmpdir_run):
     imd_file("File_7_old.csv", "OLD", 1_000_000)
     imd_file("IoD2019_new.csv", "NEW", 2_000_000)
     root = f"{tmpdir_run}/wh"
-    pipeline.ingest_reference(spark, landing, root, RUN_TS)
-    codes = [r[0] for r in spark.read.parquet(f"{root}/raw/imd").select("lsoa_code_2011").collect()]
-    assert codes == ["NEW"]
+    result = pipeline.ingest_reference(spark, landing, root, RUN_TS)
+    codes = [r[0] for r in pipeline.read(spark, root, "raw", "imd").select("lsoa_code_2011").collect()]
+    assert codes == ["NEW"] and [p.rsplit("/", 1)[1] for p in result.superseded] == ["File_7_old.csv"]
+    assert os.listdir(landing) == []
+
+
+def test_of_two_writers_the_second_fails(spark, tmpdir_run):
+    rows = lambda *names: spark.createDataFrame([(n,) for n in names], "k string")
+    one, two = VersionedTable(spark, f"{tmpdir_run}/t"), VersionedTable(spark, f"{tmpdir_run}/t")
+    one.overwrite(rows("a"))
+    started = two.manifest()
+    one.upsert(rows("b"), "k", lambda cur, new: cur.unionByName(new))
+    two.manifest = lambda version=None: started  # it began before the other's commit
+    with pytest.raises(CommitConflict):
+        two.upsert(rows("c"), "k", lambda cur, new: cur.unionByName(new))
+    assert sorted(r.k for r in one.read().collect()) == ["a", "b"]

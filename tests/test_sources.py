@@ -37,32 +37,73 @@ def test_bootstrap_leaves_metadata_null(spark, tmpdir_run):
     assert r._ingested_at is None and r._source_mode is None and r.transaction_id == "{B1}"
 
 
-def test_landing_routing_newest_wins(spark, tmpdir_run):
+def test_csv_by_the_standard(spark, tmpdir_run):
+    """Doubled quotes, plain backslashes, empty and missing cells."""
+    tail = ',"TOWN","DIST","CTY","A","A"\n'
+    _write(f"{tmpdir_run}/q/pp.csv",
+           '"{Q1}","1","2020-01-01 00:00","X","D","N","F","HIGH ""A"" ST","FLAT \\","S, T",""' + tail
+           + '"{Q2}","2","2020-01-01 00:00","","D","N","F",,"x","y",' + tail)
+    rows = {r.transaction_id: r for r in files.read_ppd_text(spark, f"{tmpdir_run}/q").collect()}
+    q1, q2 = rows["{Q1}"], rows["{Q2}"]
+    assert (q1.paon, q1.saon, q1.street, q1.locality, q1.town) == ('HIGH "A" ST', "FLAT \\", "S, T", "", "TOWN")
+    assert (q2.postcode, q2.paon, q2.locality, q2.record_status) == ("", None, None, "A")
+
+
+def test_csv_round_trip(spark, tmpdir_run):
+    rows = [('a "b" c', "\\", "", None), ("x,y", "\\\"", None, "")]
+    cells = spark.createDataFrame([(f"t{i}", *r) for i, r in enumerate(rows)], "transaction_id string, price string, "
+                                  "transfer_date string, postcode string, property_type string")
+    cells.write.options(header=False, **files.CSV_WRITE_OPTIONS).csv(f"{tmpdir_run}/rt")
+    got = {r.transaction_id: tuple(r)[1:5] for r in files.read_ppd_text(spark, f"{tmpdir_run}/rt").collect()}
+    assert got == {f"t{i}": r for i, r in enumerate(rows)}
+
+
+def test_landing_routing_newest_delivery(spark, tmpdir_run):
     d = f"{tmpdir_run}/landing"
-    _write(f"{d}/IoD2019_old.csv", "a\n1\n")
-    _write(f"{d}/File_7_new.csv", "a\n2\n")
-    _write(f"{d}/ONSPD_X.csv", "pcds\nAB1\n")
-    _write(f"{d}/unknown.csv", "a\n3\n")
+    for name in ("IoD2019_old.csv", "File_7_new_0.csv", "File_7_new_1.csv", "File_7_new_part-2.csv", "ONSPD_X.csv", "unknown.csv"):
+        _write(f"{d}/{name}", "a\n1\n")
     os.utime(f"{d}/IoD2019_old.csv", (1_000_000, 1_000_000))
     routed = files.landing_files(spark, d)
     assert set(routed) == {"imd", "onspd"}
-    assert routed["imd"][0].endswith("File_7_new.csv")
+    names = lambda paths: [p.rsplit("/", 1)[1] for p in paths]
+    assert names(routed["imd"].files) == ["File_7_new_0.csv", "File_7_new_1.csv", "File_7_new_part-2.csv"]
+    assert names(routed["imd"].superseded) == ["IoD2019_old.csv"]
+    for name in ("File_7_new_0.csv", "File_7_new_1.csv", "File_7_new_part-2.csv", "IoD2019_old.csv"):
+        os.utime(f"{d}/{name}", (2_000_000, 2_000_000))
+    with pytest.raises(ValueError, match="equally new"):
+        files.landing_files(spark, d)
+
+
+def test_reference_columns_are_found_by_name(spark, tmpdir_run):
+    from terrace import schemas
+    names = [f.name for f in schemas.RAW_ONSPD.fields]
+    row = {n: "1.5" if n in ("lat", "long") else n.upper() for n in names}
+    turned = names[::-1]
+    _write(f"{tmpdir_run}/o/a.csv", ",".join(turned) + "\n" + ",".join(row[n] for n in turned) + "\n")
+    got = files.read_reference(spark, f"{tmpdir_run}/o/a.csv", "onspd")
+    assert got.columns == names and got.first().lsoa21cd == "LSOA21CD" and got.first().lat == 1.5
+    _write(f"{tmpdir_run}/o/b.csv", ",".join(names) + "\n" + ",".join(row[n] for n in names) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):  # parts of one delivery must agree
+        files.read_reference(spark, [f"{tmpdir_run}/o/a.csv", f"{tmpdir_run}/o/b.csv"], "onspd").collect()
+    _write(f"{tmpdir_run}/o/c.csv", ",".join(names[1:]) + "\n")
+    with pytest.raises(ValueError, match=names[0]):
+        files.read_reference(spark, f"{tmpdir_run}/o/c.csv", "onspd")
 
 
 def test_reference_reader_keeps_headers(spark, tmpdir_run):
     _write(f"{tmpdir_run}/ruc/r.csv", "LSOA21CD,LSOA21NM,RUC21CD\nE1, name ,U1 \n")
-    df = files.read_reference(spark, f"{tmpdir_run}/ruc", "ruc_lsoa_2021")
+    df = files.read_reference(spark, f"{tmpdir_run}/ruc/r.csv", "ruc_lsoa_2021")
     assert df.columns == ["LSOA21CD", "LSOA21NM", "RUC21CD"] and df.first().LSOA21NM == " name "
 
 
-def test_export_and_bounded_pull(spark, tmpdir_run):
+def test_export_and_report(spark, tmpdir_run):
     df = spark.range(20).select(F.col("id").alias("n"))
     tables.export_csv(df, f"{tmpdir_run}/out")
     parts = glob.glob(f"{tmpdir_run}/out/part-*.csv")
     assert len(parts) == 1 and open(parts[0]).readline().strip() == "n"
-    assert len(tables.to_pandas_bounded(df, 20)) == 20
-    with pytest.raises(ValueError):
-        tables.to_pandas_bounded(df, 19)
+    tables.VersionedTable(spark, f"{tmpdir_run}/mart").overwrite(df)
+    assert len(tables.report_to_pandas(spark, f"{tmpdir_run}/mart")) == 20
+    assert sorted(tables.report_to_pandas(spark, f"{tmpdir_run}/mart", "n >= 18")["n"]) == [18, 19]
 
 
 def test_write_bronze_modes(spark, tmpdir_run):

@@ -14,18 +14,44 @@ def test_publish_consume_upsert(spark, tmpdir_run):
     msgs = f"{tmpdir_run}/msgs"
     ingest.publish(text.where(F.col("transaction_id").cast("int") % 2 == 0), fx.FIXTURE_INGESTED_AT,
                    "full", folder=msgs)
-    ingest.consume(spark, f"{tmpdir_run}/bronze", "full", folder=msgs, name="full1")
+    ingest.consume(spark, f"{tmpdir_run}/bronze", "full", folder=msgs)
     table = VersionedTable(spark, f"{tmpdir_run}/bronze")
     assert table.read().count() == raw.where(F.col("transaction_id").cast("int") % 2 == 0).count()
     # second run: every row again (duplicates of the first half) -> upsert
     ingest.publish(text, fx.FIXTURE_INGESTED_AT, "incremental", folder=msgs)
-    v = ingest.consume(spark, f"{tmpdir_run}/bronze", "incremental", folder=msgs, name="inc")
+    v = ingest.consume(spark, f"{tmpdir_run}/bronze", "incremental", folder=msgs)
     got = table.read()
     assert got.count() == got.select("transaction_id").distinct().count() == raw.count()
     want = raw.withColumn("_source_mode", F.lit("incremental")).select(*got.columns)
     assert got.exceptAll(want).count() == 0
     # draining again finds nothing new; the table version stays
-    assert ingest.consume(spark, f"{tmpdir_run}/bronze", "incremental", folder=msgs, name="inc") == v
+    assert ingest.consume(spark, f"{tmpdir_run}/bronze", "incremental", folder=msgs) == v
+
+
+def test_messages_without_an_id_are_set_aside(spark, tmpdir_run):
+    msgs = f"{tmpdir_run}/msgs"
+    spark.createDataFrame([('{"transaction_id": "x1", "price": "1"}',), ('{"price": "2"}',), ("not json",)],
+                          "value string").coalesce(1).write.text(msgs)
+    ingest.consume(spark, f"{tmpdir_run}/bronze", "incremental", folder=msgs)
+    assert [r.transaction_id for r in VersionedTable(spark, f"{tmpdir_run}/bronze").read().collect()] == ["x1"]
+    assert ingest.rejected(spark, f"{tmpdir_run}/bronze") == 2
+    assert ingest.rejected(spark, f"{tmpdir_run}/none") == 0
+
+
+def test_a_full_run_empties_the_table_once(spark, tmpdir_run):
+    import datetime as dt
+    msgs, bronze, run = f"{tmpdir_run}/msgs", f"{tmpdir_run}/bronze", dt.datetime(2026, 1, 1)
+    put = lambda *ids: spark.createDataFrame([('{"transaction_id": "%s"}' % i,) for i in ids],
+                                             "value string").write.mode("append").text(msgs)
+    ids = lambda: sorted(r.transaction_id for r in VersionedTable(spark, bronze).read().collect())
+    put("a", "b")
+    ingest.consume(spark, bronze, "full", folder=msgs, run_id=run)
+    put("c")
+    ingest.consume(spark, bronze, "full", folder=msgs, run_id=run)  # the same run, repeated
+    assert ids() == ["a", "b", "c"]
+    put("d")
+    ingest.consume(spark, bronze, "full", folder=msgs, run_id=run + dt.timedelta(days=1))
+    assert ids() == ["d"]
 
 
 def test_decode_absent_and_bad_fields(spark):
