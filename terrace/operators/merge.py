@@ -7,10 +7,12 @@ Semantics, equal to applying the rows one by one in ``order`` with
 * a key already present gets the update columns of its last row, while the
   other (insert-only) columns keep the values they had when first inserted.
 
-Within a batch each key collapses to one row with ``max_by``/``min_by`` over
-structs: both are partial aggregates, so a hot key is combined map-side and
-never lands whole in one task.  Replaying the same batch yields the same
-table (idempotent), so an at-least-once source is safe.
+Existing and incoming rows go through one aggregation by key, existing ones
+ordered first: the newest row gives the update columns, the oldest the others.
+``max_by``/``min_by`` are partial aggregates, so a hot key is combined map-side
+and never lands whole in one task, and each input is read once, also when
+upserts are chained.  Replaying the same batch yields the same table
+(idempotent), so an at-least-once source is safe.  Keys must not be null.
 """
 
 from __future__ import annotations
@@ -18,54 +20,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.operators.joins import checked_broadcast
-
-
-def collapse_batch(batch: DataFrame, key: str, order: str | list[str],
-                   update_cols: list[str], insert_only_cols: list[str]) -> DataFrame:
-    """One row per key: last row's update columns, first row's insert-only columns."""
-    orders = [order] if isinstance(order, str) else list(order)
-    ordkey = F.struct(*[F.col(o) for o in orders])
-    return batch.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in update_cols]), ordkey).alias("_u"),
-        F.min_by(F.struct(*[F.col(c) for c in insert_only_cols]), ordkey).alias("_i"),
-    )
-
 
 def keyed_upsert(current: DataFrame, batch: DataFrame, key: str, order: str | list[str],
-                 update_cols: list[str], limit: int | None = None) -> DataFrame:
+                 update_cols: list[str]) -> DataFrame:
     """Merge ``batch`` into ``current`` (columns of ``current`` define the table)."""
+    orders = [order] if isinstance(order, str) else list(order)
     cols = current.columns
-    insert_only = [c for c in cols if c != key and c not in update_cols]
-    b = collapse_batch(batch, key, order, update_cols, insert_only).withColumn("_hit", F.lit(True))
-    side, size = checked_broadcast(b, limit)
+    kept = [c for c in cols if c != key and c not in update_cols]
+    types = dict(batch.dtypes)
 
-    def merged(present: str) -> list:
-        out = []
-        for c in cols:
-            if c == key:
-                out.append(F.col(key))
-            elif c in update_cols:
-                out.append(F.when(F.col("_hit"), F.col(f"_u.{c}")).otherwise(F.col(c)).alias(c))
-            else:
-                out.append(F.when(F.col(present), F.col(c)).otherwise(F.col(f"_i.{c}")).alias(c))
-        return out
+    def tagged(rows: DataFrame, generation: int, places: list) -> DataFrame:
+        return rows.select(key, F.struct(*update_cols).alias("_u"), F.struct(*kept).alias("_k"),
+                           F.struct(F.lit(generation), *places).alias("_o"))
 
-    if size.broadcast:
-        # Small batch: existing rows stream past the broadcast batch (no
-        # shuffle of the table); new keys are the batch keys left unmatched.
-        joined = current.join(side, key, "left")
-        existing = joined.withColumn("_hit", F.coalesce(F.col("_hit"), F.lit(False))) \
-                         .withColumn("_present", F.lit(True)).select(merged("_present"))
-        touched = current.join(side.select(key), key, "left_semi").select(key)
-        new = b.join(touched, key, "left_anti").withColumn("_present", F.lit(False))
-        inserted = new.select(*[F.col(key) if c == key else
-                                (F.col(f"_u.{c}") if c in update_cols else F.col(f"_i.{c}")).alias(c)
-                                for c in cols])
-        return existing.unionByName(inserted)
-    # Large batch: one full outer join, both sides shuffled on the key.
-    cur = current.withColumn("_present", F.lit(True))
-    joined = cur.join(b, key, "full_outer")
-    joined = joined.withColumn("_hit", F.coalesce(F.col("_hit"), F.lit(False))) \
-                   .withColumn("_present", F.coalesce(F.col("_present"), F.lit(False)))
-    return joined.select(merged("_present"))
+    old = tagged(current, 0, [F.lit(None).cast(types[o]).alias(o) for o in orders])
+    new = tagged(batch, 1, [F.col(o) for o in orders])
+    one = old.union(new).groupBy(key).agg(F.max_by("_u", "_o").alias("_u"), F.min_by("_k", "_o").alias("_k"))
+    return one.select(*[F.col(key) if c == key else F.col(f"_u.{c}" if c in update_cols else f"_k.{c}") for c in cols])

@@ -1,9 +1,9 @@
 """Data-quality checks, contract metrics and the pass/fail gate.
 
 Checks return either the failing rows (as the warehouse tests do) or one
-summary row per check.  All count-style checks of one table are evaluated in
-a single aggregation, so a table is scanned once; only ``unique`` needs its own
-(partially aggregated) shuffle on the key.
+summary row per check.  In the report all checks of one table that count rows
+come from a single aggregation; only ``unique`` reads the table a second time,
+for its (partially aggregated) shuffle on the key.
 """
 
 from __future__ import annotations
@@ -48,12 +48,14 @@ def _lit_row(model: str, column: str, test: str, severity: str, failures: Column
                     failures.cast("long").alias("failures"))
 
 
-def _one_pass(df: DataFrame, model: str, checks: list[ColumnCheck]) -> DataFrame:
+def _one_pass(df: DataFrame, model: str, checks: list[ColumnCheck],
+              singular: list[tuple[str, Column]] | None = None) -> DataFrame:
     """Evaluate not_null and accepted_values checks of one table in one scan.
 
     accepted_values counts distinct offending non-null values (one failing
-    row per value), not offending rows.  One aggregation computes every
-    count; ``stack`` unfolds them into one summary row per check.
+    row per value), not offending rows.  ``singular`` adds named aggregates
+    that count failures themselves.  One aggregation computes every count;
+    ``stack`` unfolds them into one summary row per check.
     """
     counts, rows = [], []
     for i, c in enumerate(checks):
@@ -66,6 +68,9 @@ def _one_pass(df: DataFrame, model: str, checks: list[ColumnCheck]) -> DataFrame
         else:
             raise ValueError(c.test)
         rows.append(", ".join([_text(model), _text(c.column), _text(c.test), _text(c.severity), f"`_f{i}`"]))
+    for test, failures in singular or []:
+        counts.append(failures.cast("long").alias(f"_f{len(rows)}"))
+        rows.append(", ".join([_text(model), "''", _text(test), "'error'", f"`_f{len(rows)}`"]))
     stack = f"stack({len(rows)}, {', '.join(rows)}) AS (model, column_name, test, severity, failures)"
     return df.agg(*counts).select(F.expr(stack))
 
@@ -105,23 +110,20 @@ def min_rows_failure(fact: DataFrame, threshold: int = MIN_FACT_ROWS) -> DataFra
                 .select(F.lit(1).alias("failure_flag")))
 
 
-def newest_sale_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Newest sale date of the fact (through the calendar; the fact stores a
-    date key only).  Keys are YYYYMMDD so max(key) is the newest day."""
-    from terrace.operators.joins import checked_broadcast
-    from terrace.plans.gold import DATE_SPINE_ROWS
-    newest = fact.agg(F.max("date_key").alias("k"))
-    spine, _ = checked_broadcast(dim_date.select("date_key", "full_date"), bounded_rows=DATE_SPINE_ROWS)
-    return newest.join(spine,
-                       newest["k"] == F.col("date_key"), "left").select(F.col("full_date").alias("newest"))
+def _newest_sale() -> Column:
+    """Newest sale date as an aggregate: keys are YYYYMMDD, so the largest key
+    is the newest day, whether or not the calendar reaches that far."""
+    return F.to_date(F.max("date_key").cast("string"), "yyyyMMdd")
 
 
-def freshness_failure(fact: DataFrame, dim_date: DataFrame, as_of: _dt.date,
-                      max_days: int = FRESHNESS_MAX_DAYS) -> DataFrame:
-    """One row when the newest sale is more than ``max_days`` before ``as_of``."""
+def _stale(as_of: _dt.date, max_days: int) -> Column:
     bound = F.date_sub(F.lit(as_of.isoformat()).cast("date"), max_days)
-    return (newest_sale_date(fact, dim_date).where(F.col("newest") < bound)
-            .select(F.lit(1).alias("failure_flag")))
+    return F.coalesce(_newest_sale() < bound, F.lit(False))
+
+
+def freshness_failure(fact: DataFrame, as_of: _dt.date, max_days: int = FRESHNESS_MAX_DAYS) -> DataFrame:
+    """One row when the newest sale is more than ``max_days`` before ``as_of``."""
+    return fact.agg(_stale(as_of, max_days).alias("stale")).where("stale").select(F.lit(1).alias("failure_flag"))
 
 
 def source_freshness(raw: DataFrame, snapshot_at: _dt.datetime, loaded_at: str = "_ingested_at",
@@ -176,11 +178,9 @@ def metric_row_count(fact: DataFrame, threshold: int = MIN_FACT_ROWS) -> DataFra
     return _metric(fact, "M5", F.count(F.lit(1)), lambda v: v > threshold)
 
 
-def metric_freshness(fact: DataFrame, dim_date: DataFrame, as_of: _dt.date,
-                     max_days: int = FRESHNESS_MAX_DAYS) -> DataFrame:
+def metric_freshness(fact: DataFrame, as_of: _dt.date, max_days: int = FRESHNESS_MAX_DAYS) -> DataFrame:
     """M6: days from the newest sale to ``as_of`` (< max_days)."""
-    newest = newest_sale_date(fact, dim_date)
-    return _metric(newest, "M6", F.datediff(F.lit(as_of.isoformat()).cast("date"), F.max("newest")),
+    return _metric(fact, "M6", F.datediff(F.lit(as_of.isoformat()).cast("date"), _newest_sale()),
                    lambda v: v < max_days)
 
 
@@ -198,20 +198,18 @@ def quality_report(silver: DataFrame, fact: DataFrame, dim_date: DataFrame, mart
                         tuple(ACCEPTED_PROPERTY_TYPES)),
         ]),
         unique_summary(fact, "fact_sales", "transaction_id"),
-        not_null_summary(fact, "fact_sales", [("transaction_id", "error"), ("location_key", "error"),
-                                              ("property_key", "error"), ("date_key", "error")]),
+        _one_pass(fact, "fact_sales", [
+            ColumnCheck("fact_sales", c, "not_null")
+            for c in ("transaction_id", "location_key", "property_key", "date_key")
+        ], [
+            ("price_positive", F.count_if(F.col("price").isNull() | (F.col("price") <= 0))),
+            ("min_row_count", (F.count(F.lit(1)) < min_rows).cast("int")),
+            ("freshness", _stale(as_of, FRESHNESS_MAX_DAYS).cast("int")),
+        ]),
         unique_summary(dim_date, "dim_date", "date_key"),
         not_null_summary(dim_date, "dim_date", [("date_key", "error")]),
         not_null_summary(mart, "mart_rural_urban_stats", [("sale_year", "error")]),
     ]
-    singular = [
-        ("price_positive", price_failures(fact)),
-        ("min_row_count", min_rows_failure(fact, min_rows)),
-        ("freshness", freshness_failure(fact, dim_date, as_of)),
-    ]
-    for test, rows in singular:
-        parts.append(rows.agg(_lit_row("fact_sales", "", test, "error", F.count(F.lit(1))).alias("r"))
-                     .select("r.*"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

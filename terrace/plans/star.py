@@ -35,7 +35,8 @@ class Star:
 
 def build_star(spark: SparkSession, raw: dict[str, DataFrame],
                run_ts: _dt.datetime | None = None) -> Star:
-    """Lazy DataFrames for every model; no job runs here."""
+    """Lazy DataFrames for every model.  Jobs run here only to measure the
+    sides that are to be broadcast."""
     s_ppd = silver.silver_ppd(raw["ppd"], run_ts)
     s_onspd = silver.silver_onspd(raw["onspd"])
     s_ruc = silver.silver_ruc(raw["ruc_lsoa_2021"])

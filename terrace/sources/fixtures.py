@@ -29,7 +29,9 @@ PER_AREA_2021 = 10
 PER_AREA_2011 = 12
 PER_AREA_MIDDLE = 50
 # Reference rows are one per area; areas with number % 10 == 9 (2021) or
-# number % 7 == 3 (2011) get none, so some postcodes stay unmatched.
+# number % 7 == 3 (2011) get a code that no postcode carries, as do the
+# directory's postcodes of customers with key % 20 == 0, so some rows on
+# either side of a lookup stay unmatched.
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,13 +98,13 @@ def raw_ppd(spark: SparkSession, sf_dir: str, ingested_at: _dt.datetime = FIXTUR
 
 
 def raw_onspd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.onspd``: one postcode per customer (one in twenty missing), a
+    """``raw.onspd``: one postcode per customer (one in twenty that no sale has), a
     re-introduced second version for one in eight (some overlapping), and a
     blank-postcode row that the silver model must drop."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").where(F.col("c_custkey") % 20 != 0)
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     ck = F.col("c_custkey")
     common = [
-        F.concat(F.lit("AB"), _s(ck), F.lit(" 1XY")).alias("pcds"),
+        F.concat(F.when(ck % 20 == 0, F.lit("QQ")).otherwise(F.lit("AB")), _s(ck), F.lit(" 1XY")).alias("pcds"),
         _area("E01", _div(ck, PER_AREA_2021)).alias("lsoa21cd"),
         _area("E11", _div(ck, PER_AREA_2011)).alias("lsoa11cd"),
         _area("E02", _div(ck, PER_AREA_MIDDLE)).alias("msoa21cd"),
@@ -134,15 +136,14 @@ def raw_onspd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_ruc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.ruc_lsoa_2021``, one row per 2021 area (original file headers,
-    padded text); a tenth of the areas have no row."""
-    ck = F.col("c_custkey")
-    area = _div(ck, PER_AREA_2021)
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name").where(
-        (ck % PER_AREA_2021 == 0) & (area % 10 != 9))
+    """``raw.ruc_lsoa_2021``, one row per 2021 area of all customers (original
+    file headers, padded text)."""
+    c = (table(spark, sf_dir, "customer").groupBy(_div(F.col("c_custkey"), PER_AREA_2021).alias("area"))
+         .agg(F.min("c_name").alias("c_name")))
+    area = F.col("area")
     rural = area % 4 == 0
     return c.select(
-        _area("E01", area).alias("LSOA21CD"),
+        F.when(area % 10 == 9, _area("X01", area)).otherwise(_area("E01", area)).alias("LSOA21CD"),
         F.concat(F.col("c_name"), F.lit(" ")).alias("LSOA21NM"),
         F.lit(None).cast("string").alias("LSOA21NMW"),
         F.concat(F.when(rural, F.lit("R")).otherwise(F.lit("U")), _s(area % 3), F.lit(" ")).alias("RUC21CD"),
@@ -153,14 +154,13 @@ def raw_ruc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_imd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``raw.imd``, one row per 2011 area in the all-text, snake-header
-    bootstrap form; a seventh of the areas have no row."""
-    ck = F.col("c_custkey")
-    area = _div(ck, PER_AREA_2011)
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment").where(
-        (ck % PER_AREA_2011 == 0) & (area % 7 != 3))
+    """``raw.imd``, one row per 2011 area of all customers in the all-text,
+    snake-header bootstrap form."""
+    c = (table(spark, sf_dir, "customer").groupBy(_div(F.col("c_custkey"), PER_AREA_2011).alias("area"))
+         .agg(F.min("c_name").alias("c_name"), F.min("c_mktsegment").alias("c_mktsegment")))
+    area = F.col("area")
     cols = [
-        _area("E11", area).alias("lsoa_code_2011"),
+        F.when(area % 7 == 3, _area("X11", area)).otherwise(_area("E11", area)).alias("lsoa_code_2011"),
         F.col("c_name").alias("lsoa_name_2011"),
         F.col("c_mktsegment").alias("local_authority_district_name_2019"),
     ]
@@ -171,6 +171,24 @@ def raw_imd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(*cols)
 
 
+def dirty(raw: DataFrame) -> DataFrame:
+    """Sales with every kind of fault that the checks look for: missing, zero
+    and negative prices, unknown and missing types, missing dates, dates past
+    the calendar, and repeated transactions."""
+    k = F.col("transaction_id").cast("bigint")
+    price = F.col("price")
+    faults = {
+        "price": F.when(k % 97 == 0, F.lit(None)).when(k % 97 == 1, F.lit(0)).when(k % 97 == 2, -price)
+                  .otherwise(price).cast("decimal(12,2)"),
+        "property_type": F.when(k % 89 == 0, F.lit("X")).when(k % 89 == 1, F.lit("?"))
+                          .when(k % 89 == 2, F.lit(None)).otherwise(F.col("property_type")),
+        "transfer_date": F.when(k % 83 == 0, F.lit(None)).when(k % 83 == 1, F.lit("2035-06-01").cast("date"))
+                          .otherwise(F.col("transfer_date")),
+    }
+    out = raw.select(*[faults[c].alias(c) if c in faults else F.col(c) for c in raw.columns])
+    return out.unionByName(out.where(k % 79 == 0))
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All four bronze tables."""
     return {

@@ -1,7 +1,6 @@
 import datetime as dt
 
 from terrace.operators import quality as Q
-from terrace.plans import gold
 
 
 def test_checks_find_failures(spark):
@@ -27,11 +26,15 @@ def test_price_and_rowcount(spark):
 
 def test_freshness_and_gate(spark):
     fact = spark.createDataFrame([(20260101,)], "date_key int")
-    dd = gold.dim_date(spark)
-    assert Q.freshness_failure(fact, dd, dt.date(2026, 2, 9)).count() == 0
-    assert Q.freshness_failure(fact, dd, dt.date(2026, 2, 11)).count() == 1
-    m6 = Q.metric_freshness(fact, dd, dt.date(2026, 2, 11)).first()
+    assert Q.freshness_failure(fact, dt.date(2026, 2, 9)).count() == 0
+    assert Q.freshness_failure(fact, dt.date(2026, 2, 11)).count() == 1
+    m6 = Q.metric_freshness(fact, dt.date(2026, 2, 11)).first()
     assert (m6.metric_value, m6.passed) == (41.0, False)
+    # A sale beyond the calendar is the newest all the same; no sale is no failure.
+    late = spark.createDataFrame([(20010101,), (20350601,)], "date_key int")
+    assert Q.freshness_failure(late, dt.date(2026, 2, 11)).count() == 0
+    assert Q.metric_freshness(late, dt.date(2035, 6, 3)).first().metric_value == 2.0
+    assert Q.freshness_failure(fact.limit(0), dt.date(2026, 2, 11)).count() == 0
     rep = spark.createDataFrame([("m", "c", "unique", "error", 0), ("m", "c", "not_null", "warn", 3)],
                                 Q.SUMMARY)
     assert len(Q.gate(rep)) == 2
