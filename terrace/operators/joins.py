@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 # Default ceiling for a broadcast side (bytes held in memory per executor).
 DEFAULT_BROADCAST_LIMIT = 128 * 1024 * 1024
 _CONF_KEY = "terrace.broadcast.maxBytes"
+# Keys that facts without a postcode are spread over in a shuffled join.
+BLANK_SALTS = 1024
 # Opt-in up-front split of hot keys in shuffled validity joins (adaptive
 # execution already splits skewed partitions at run time).
 _SPLIT_CONF = "terrace.join.splitHotKeys"
@@ -132,9 +134,16 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
     if split_hot_keys is None:
         split_hot_keys = facts.sparkSession.conf.get(_SPLIT_CONF, "false").lower() == "true"
     side, size = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key, bound_by=bound_by)
-    plain = facts.join(side, _interval(facts, side, fact_key, version_key, fact_date, valid_from, valid_to),
-                       how)
-    if size.broadcast or not split_hot_keys or how not in ("left", "inner"):
+    if size.broadcast:
+        return facts.join(side, _interval(facts, side, fact_key, version_key, fact_date, valid_from, valid_to), how)
+    # A blank or missing key matches no version.  Shuffled as it is, it would
+    # bring all such facts to one task; so it is replaced by a salted key that
+    # no version has (normalised postcodes hold neither space nor small letter).
+    salted = facts.withColumn("_key", F.when(F.length(fact_key) > 0, F.col(fact_key)).otherwise(
+        F.concat(F.lit("~blank "), F.pmod(F.xxhash64(*facts.columns), F.lit(BLANK_SALTS)).cast("string"))))
+    plain = salted.join(side, _interval(salted, side, "_key", version_key, fact_date, valid_from, valid_to),
+                        how).drop("_key")
+    if not split_hot_keys or how not in ("left", "inner"):
         return plain
     hot = hot_keys(facts, fact_key, hot_share)
     if not hot:

@@ -88,3 +88,19 @@ def test_hot_keys_respect_their_bound(spark):
                                        .otherwise((F.col("id") % 7).cast("string")).alias("k"))
     hot = joins.hot_keys(skewed, "k", share=0.2, fraction=0.5)
     assert hot[0] == "A" and len(hot) <= 5
+
+
+def test_blank_keys_match_nothing_and_are_spread(spark):
+    """Facts without a postcode keep their rows in a shuffled left join and do
+    not meet in one partition."""
+    import datetime as dt
+    day = dt.date(2020, 1, 1)
+    facts = spark.createDataFrame([(i, "" if i % 3 else None, day) for i in range(300)] + [(1000, "A", day)],
+                                  "id int, k string, d date")
+    versions = spark.createDataFrame([("A", day, day, "x"), ("", day, day, "never")],
+                                     "v string, valid_from date, valid_to date, name string")
+    out = joins.validity_join(facts, versions.where("v != ''"), "k", "v", "d", limit=0)
+    rows = out.collect()
+    assert len(rows) == 301 and [r.id for r in rows if r["name"]] == [1000] and "_key" not in out.columns
+    inner = joins.validity_join(facts, versions, "k", "v", "d", how="inner", limit=0)
+    assert [r.id for r in inner.collect()] == [1000]
