@@ -206,8 +206,11 @@ def pivot_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
             elif len(pivots) < PIVOTS:
                 pivots.append((row["cid"], mine))
 
-    return (gathered.join(tokens, "cid").repartition("turn", "least", "part")
-            .sortWithinPartitions("turn", "least", "part", "cid").mapInArrow(run, "a long, b long"))
+    found = tables.materialize(
+        gathered.join(tokens, "cid").repartition("turn", "least", "part")
+        .sortWithinPartitions("turn", "least", "part", "cid").mapInArrow(run, "a long, b long"), "pivot-links")
+    tables.discard(gathered, tokens)
+    return found
 
 
 def _qualifies():
@@ -275,8 +278,11 @@ def group_links(texts: DataFrame, classes: DataFrame, asked: DataFrame) -> DataF
             if other is not None:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([row["cid"]]), "b": pa.array([other])})
 
-    return (rows.join(tokens, "cid").repartition("group", "part")
-            .sortWithinPartitions("group", "part", "visits", "cid").mapInArrow(run, "a long, b long"))
+    found = tables.materialize(
+        rows.join(tokens, "cid").repartition("group", "part")
+        .sortWithinPartitions("group", "part", "visits", "cid").mapInArrow(run, "a long, b long"), "group-links")
+    tables.discard(asked, tokens)
+    return found
 
 
 def _grouped(classes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
@@ -302,15 +308,19 @@ def link(texts: DataFrame) -> DataFrame:
             F.min("row").alias("cid"), F.min("doc_id").alias("least_doc"), F.first("n").alias("n"),
             F.first("prefix").alias("prefix"), F.first("last").alias("last"), F.first("least").alias("least")),
         "classes")
-    first = tables.materialize(pivot_links(texts, classes), "pivot-links")
+    docs = tables.materialize(signed.select("row", "doc_id", "n", "k1", "k2"), "classes-of-documents")
+    tables.discard(signed)
+    first = pivot_links(texts, classes)
     grouped = tables.materialize(_grouped(classes.select("cid", "n", "prefix", "last"), first, "group"), "groups")
-    second = tables.materialize(group_links(texts, grouped, qualifying(grouped)), "group-links")
+    second = group_links(texts, grouped, qualifying(grouped))
+    tables.discard(grouped)
     final = _grouped(classes.select("k1", "k2", "cid", "least_doc"), first.unionByName(second), "component")
     named = final.groupBy("component").agg(F.min("least_doc").alias("component_id"))
     by_class = tables.materialize(
         final.join(named, "component").select("k1", "k2", "component", "component_id"), "components")
-    with_set = filled.select("row", "doc_id", "n", "k1", "k2").join(by_class, ["k1", "k2"])
-    alone = signed.where("n = 0").withColumn("component", F.col("row")).withColumn("component_id", F.col("doc_id"))
+    tables.discard(classes)
+    with_set = docs.where("n > 0").join(by_class, ["k1", "k2"])
+    alone = docs.where("n = 0").withColumn("component", F.col("row")).withColumn("component_id", F.col("doc_id"))
     columns = ["row", "doc_id", F.col("n").alias("n_shingles"), "component", "component_id"]
     return with_set.select(*columns).unionByName(alone.select(*columns))
 

@@ -37,7 +37,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that no later step reads."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:
