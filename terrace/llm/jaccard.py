@@ -6,8 +6,9 @@ Jaccard similarity of their sets is at least ``SHARE`` percent.
 1. Tokens (hashes of shingles) are ordered, frequent ones last.  A link's sets
    share a token among each other's first ``n - ceil(n * SHARE / 100) + 1``:
    the prefix.
-2. Similar classes are gathered by minimum hashes and compared with a few
-   pivots of their gathering; verified links make the first groups.  Members
+2. Similar classes are gathered by two minimum hashes and compared with a few
+   pivots, the most central of their gathering; verified links make the first
+   groups.  Members
    of a group are connected, so a cluster of near copies counts as one.
 3. The token-group matrix holds, per prefix token, the groups whose union has
    it.  A class asks it with its own prefix, the smaller group asking the
@@ -41,13 +42,17 @@ from terrace.llm.tables import text_or_empty
 
 WORDS = 4
 SHARE = 85
-# A token in the prefixes of so many documents is frequent.  The limit doubles
-# until the frequent tokens, which every task holds, are at most MAX_FREQUENT.
+# A token in the prefixes of so many documents is frequent; so is one beyond
+# the prefixes that is found as often, counting only where CROWDED of a slice
+# of documents have it.  The limit doubles until the frequent tokens, which
+# every task holds, are at most MAX_FREQUENT.  Any order gives the same links.
 FREQUENT = 100
+CROWDED = 3
 MAX_FREQUENT = 1_000_000
-HASHES = 2
+HASHES = 3
 PIVOTS = 8
-GATHERING_PART = 8192
+GATHERING_PART = 4096
+GATHERING_TOKENS = 4_000_000
 GROUP_PART = 256
 CACHE_WORDS = 500_000
 
@@ -98,21 +103,31 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
 
 
 def frequent_tokens(texts: DataFrame) -> np.ndarray:
-    """Tokens in at least FREQUENT prefixes (a higher limit, if they are too many)."""
+    """The tokens that come last in the order.
 
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Without those beyond the prefixes, moving a frequent token back would let
+    the next one of the same passage into the prefix.
+    """
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(batches):
-            tokens = [s[:_prefix_size(len(s))] for s in sets if len(s)]
-            token, n = np.unique(np.concatenate(tokens) if tokens else np.zeros(0, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(n.astype(np.int64))], ["token", "n"])
+            sizes = [_prefix_size(len(s)) for s in sets]
+            none = [np.zeros(0, np.int64)]
+            token, n = np.unique(np.concatenate(none + [s[:k] for s, k in zip(sets, sizes)]), return_counts=True)
+            later, m = np.unique(np.concatenate(none + [s[k:] for s, k in zip(sets, sizes)]), return_counts=True)
+            crowded = m >= CROWDED
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([token, later[crowded]])),
+                 pa.array(np.concatenate([n, m[crowded]]).astype(np.int64))], ["token", "n"])
 
     counted = tables.materialize(
-        texts.select("text").mapInArrow(prefixes, "token long, n long").groupBy("token")
+        texts.select("text").mapInArrow(counts, "token long, n long").groupBy("token")
         .agg(F.sum("n").alias("n")).where(F.col("n") >= FREQUENT), "frequent")
     limit = FREQUENT
     while counted.where(F.col("n") >= limit).count() > MAX_FREQUENT:
         limit *= 2
     found = counted.where(F.col("n") >= limit).select("token").toPandas()["token"].to_numpy()
+    tables.discard(counted)
     return np.sort(found.astype(np.int64))
 
 
@@ -184,31 +199,65 @@ def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple
 
 # --- groups ----------------------------------------------------------------------
 
+def _pivots(cids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links to pivots: of the sets that are left, the one whose tokens most of
+    the others hold is compared with all of them, a few times over."""
+    cid = np.array(cids)
+    links = []
+    for _ in range(PIVOTS):
+        if len(sets) < 2:
+            break
+        size = np.array([len(s) for s in sets])
+        owner = np.repeat(np.arange(len(sets)), size)
+        tokens = np.concatenate(sets)
+        _, where, held = np.unique(tokens, return_inverse=True, return_counts=True)
+        pivot = int((np.bincount(owner, held[where]) / size).argmax())
+        both = np.bincount(owner[np.isin(tokens, sets[pivot])], minlength=len(sets))
+        linked = 100 * both >= SHARE * (size + size[pivot] - both)
+        links += [(int(c), int(cid[pivot])) for c in cid[linked] if c != cid[pivot]]
+        linked[pivot] = True
+        sets = [s for s, gone in zip(sets, linked) if not gone]
+        cid = cid[~linked]
+    return links
+
+
 def pivot_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """Verified links (a, b) of classes to a pivot of their gathering."""
-    keyed = classes.select("cid", F.posexplode("least").alias("turn", "least"))
-    sizes = (keyed.groupBy("turn", "least").agg(F.count("*").alias("members")).where("members > 1"))
+    """Verified links (a, b) of classes to a pivot of their gathering.
+
+    A gathering is taken in parts of bounded numbers of members and tokens.
+    """
+    turns = [F.struct(F.lit(t).alias("turn"), F.col("least")[t].alias("one"), F.col("least")[t + 1].alias("two"))
+             for t in range(HASHES - 1)]
+    keyed = classes.select("cid", F.inline(F.array(*turns)))
+    sizes = (keyed.groupBy("turn", "one", "two").agg(F.count("*").alias("members")).where("members > 1"))
     gathered = tables.materialize(
-        keyed.join(sizes, ["turn", "least"])
+        keyed.join(sizes, ["turn", "one", "two"])
         .withColumn("part", F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / GATHERING_PART)))
-        .select("turn", "least", "part", "cid"), "gatherings")
+        .select("turn", "one", "two", "part", "cid"), "gatherings")
     tokens = with_tokens(texts, gathered.select("cid").distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots: list[tuple[int, np.ndarray]] = []
-        for new, row in _groups(batches, ["turn", "least", "part"]):
-            mine = np.frombuffer(row["tokens"], np.int64)
-            if new:
-                pivots = []
-            other = next((p for p, t in pivots if _linked(mine, t)), None)
-            if other is not None:
-                yield pa.RecordBatch.from_pydict({"a": pa.array([row["cid"]]), "b": pa.array([other])})
-            elif len(pivots) < PIVOTS:
-                pivots.append((row["cid"], mine))
-
+        cids: list[int] = []
+        sets: list[np.ndarray] = []
+
+        def flush() -> pa.RecordBatch:
+            links = _pivots(cids, sets)
+            cids.clear()
+            sets.clear()
+            a, b = zip(*links) if links else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        for new, row in _groups(batches, ["turn", "one", "two", "part"]):
+            if new or sum(map(len, sets)) > GATHERING_TOKENS:
+                yield flush()
+            cids.append(row["cid"])
+            sets.append(np.frombuffer(row["tokens"], np.int64))
+        yield flush()
+
+    key = ["turn", "one", "two", "part"]
     found = tables.materialize(
-        gathered.join(tokens, "cid").repartition("turn", "least", "part")
-        .sortWithinPartitions("turn", "least", "part", "cid").mapInArrow(run, "a long, b long"), "pivot-links")
+        gathered.join(tokens, "cid").repartition(*key).sortWithinPartitions(*key, "cid")
+        .mapInArrow(run, "a long, b long"), "pivot-links")
     tables.discard(gathered, tokens)
     return found
 
