@@ -199,3 +199,56 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     cutoffs = tables.materialize(calibrate(features(docs.select("doc_id", "lang", "text")), labels), "cutoffs")
     featured = features(tables.packed(docs, "lang", "text")).drop("text")
     return judge(featured, cutoffs).where("_kept").select("_doc.*")
+
+
+def oracle(limit: float = 0.01, alpha: float = 0.05) -> str:
+    """The same in DuckDB's SQL; the binomial terms come from ``lgamma``."""
+    rules = [(r.name, c, r.low) for r in RULES for c in r.cutoffs]
+    beyond = lambda name, c, low: f"{name} {'<' if low else '>'} {c}"
+    counts = ", ".join(f"count(*) FILTER ({beyond(*x)}) AS c{n}" for n, x in enumerate(rules))
+    picked = []
+    for r in RULES:
+        steps = [(n, c) for n, (name, c, _) in enumerate(rules) if name == r.name]
+        cases = " ".join(f"WHEN c{n} <= allowed THEN {c}" for n, c in reversed(steps))
+        picked.append(f"CASE {cases} END AS cut_{r.name}")
+    fails = " OR ".join(
+        f"coalesce({r.name} {'<' if r.low else '>'} CASE WHEN own.allowed >= 0 THEN own.cut_{r.name} ELSE al.cut_{r.name} END, FALSE)"
+        for r in RULES)
+    blank = r"[\x20\x09-\x0D]"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS x FROM documents),
+w AS MATERIALIZED (SELECT r, doc_id, lang, x, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws,
+                          list_filter(string_split(x, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT r, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k
+      FROM (SELECT r, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w WHERE len(ws) > {WINDOW}) t),
+h AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, k) > 1),
+v AS (SELECT r, sum(least({WINDOW}, coalesce(lead_i - i, {WINDOW}))) AS n
+      FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS lead_i FROM h) t GROUP BY r),
+f AS (SELECT r, doc_id, lang, len(ws) AS n_words, length(regexp_replace(x, '{blank}+', '', 'g')) AS word_chars,
+             length(x) - length(regexp_replace(x, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+             len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(v.n, 0)::BIGINT AS n_repeat_words,
+             length(x) - length(regexp_replace(x, '\p{{Lu}}+', '', 'g')) AS n_upper, len(ls) AS n_lines,
+             len(list_distinct(ws)) AS n_distinct FROM w LEFT JOIN v USING (r)),
+s AS MATERIALIZED (SELECT *, coalesce(n_symbols / nullif(word_chars, 0), 0) AS symbol_share,
+             coalesce(n_upper / nullif(word_chars, 0), 0) AS upper_share,
+             coalesce(n_dup_lines / nullif(n_lines, 0), 0) AS dup_line_share,
+             coalesce(n_repeat_words / nullif(n_words, 0), 0) AS repeat_share,
+             coalesce(n_distinct / nullif(n_words, 0), 1) AS distinct_share,
+             n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(coalesce(quality, 0)) = 1),
+held AS (SELECT s.* FROM s SEMI JOIN good USING (doc_id)),
+c AS (SELECT lang, FALSE AS pooled, count(*) AS n_good, {counts} FROM held GROUP BY lang
+      UNION ALL SELECT NULL, TRUE, count(*), {counts} FROM held),
+t AS (SELECT count(*) * {len(RULES)} AS tests FROM c),
+b AS (SELECT lang, pooled, coalesce(max(k) FILTER (tail <= {alpha} / tests), -1) AS allowed
+      FROM (SELECT lang, pooled, k, tests,
+                   sum(exp(lgamma(n_good + 1) - lgamma(k + 1) - lgamma(n_good - k + 1) + k * ln({limit})
+                           + (n_good - k) * ln(1 - {limit}))) OVER (PARTITION BY lang, pooled ORDER BY k) AS tail
+            FROM (SELECT *, unnest(range(ceil(n_good * {limit})::BIGINT + 1)) AS k FROM c, t) u) p GROUP BY lang, pooled),
+q AS (SELECT c.lang, c.pooled, allowed, {", ".join(picked)}
+      FROM c JOIN b ON c.lang IS NOT DISTINCT FROM b.lang AND c.pooled = b.pooled)
+SELECT s.doc_id, s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words, s.base_failed,
+       NOT (s.base_failed OR {fails}) AS kept
+FROM s LEFT JOIN (SELECT * FROM q WHERE NOT pooled) own ON own.lang IS NOT DISTINCT FROM s.lang
+LEFT JOIN (SELECT * FROM q WHERE pooled) al ON TRUE
+"""

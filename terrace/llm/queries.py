@@ -58,4 +58,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": url_filter.ORACLE, "op10_ngram_jaccard": jaccard.ORACLE}
+    return {
+        "op4_suffix_dedup": suffix_dedup.ORACLE,
+        "op6_url_filter": url_filter.ORACLE,
+        "op7_quality_rules": quality.oracle(),
+        "op10_ngram_jaccard": jaccard.ORACLE,
+    }

@@ -315,3 +315,23 @@ def digest(docs: DataFrame, hot: int = HOT) -> DataFrame:
     return deduplicate(docs, hot).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# Every string of LENGTH bytes as two hexadecimal digits a byte, counted.
+ORACLE = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS MATERIALIZED (SELECT r, i, md5(substr(h, 2 * i + 1, 400)) AS m
+      FROM (SELECT r, h, unnest(range(length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400) t),
+hit AS (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY m) > 1),
+edge AS (SELECT *, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM hit),
+run AS (SELECT r, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END)
+                     OVER (PARTITION BY r ORDER BY i) AS n FROM edge),
+span AS (SELECT r, n, min(i) AS a, max(i) + 200 AS b FROM run GROUP BY r, n),
+piece AS (SELECT d.r, n, a, b, substr(h, 2 * lag(b, 1, 0) OVER (PARTITION BY d.r ORDER BY n) + 1,
+                                      2 * (a - lag(b, 1, 0) OVER (PARTITION BY d.r ORDER BY n))) AS part
+          FROM span JOIN d USING (r)),
+kept AS (SELECT r, string_agg(part, '' ORDER BY n) AS part, max(b) AS last, count(*) AS n, sum(b - a) AS gone FROM piece GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN h ELSE concat(part, substr(h, 2 * last + 1)) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""

@@ -4,10 +4,11 @@ import math
 
 import brute
 import pytest
-from conftest import SF_SMALL
+from conftest import SF_MID, SF_SMALL
 from pyspark.sql import functions as F
+from tools.compare import compare, duck
 
-from terrace.llm import quality
+from terrace.llm import quality, queries
 
 ODD = ["", None, " \n\t ", "a b " * 5000, "x\ny\nx\n \n x\nx", "a b c d e f g h a b c d e f g h i \u00e9 \x0b z", "w" * 100_000]
 
@@ -81,3 +82,9 @@ def test_keep_returns_the_columns(spark):
     out = quality.keep(docs, labels)
     assert out.columns == docs.columns and out.count() == 30
     assert quality.keep(docs.limit(0), labels).count() == 0
+
+
+@pytest.mark.parametrize("sf_dir", [SF_SMALL, SF_MID])
+def test_query_matches_sql(spark, sf_dir):
+    r = compare(spark, "op7", queries.op7_quality_rules, queries.oracle_sql()["op7_quality_rules"], sf_dir, duck(sf_dir))
+    assert r["status"] == "MATCH" and not r["types"], r

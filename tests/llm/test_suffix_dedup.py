@@ -5,8 +5,10 @@ import random
 import brute
 import pytest
 from conftest import SF_SMALL
+from tools.compare import compare as compare_sql
+from tools.compare import duck
 
-from terrace.llm import suffix_dedup
+from terrace.llm import queries, suffix_dedup
 
 
 def odd_texts():
@@ -69,3 +71,8 @@ def test_spans_are_the_removed_bytes(spark):
             left += raw[at:s.start]
             at = s.end
         assert left + raw[at:] == bytes(r.kept)
+
+
+def test_query_matches_sql(spark):
+    r = compare_sql(spark, "op4", queries.op4_suffix_dedup, queries.oracle_sql()["op4_suffix_dedup"], SF_SMALL, duck(SF_SMALL))
+    assert r["status"] == "MATCH" and not r["types"], r
