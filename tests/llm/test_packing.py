@@ -62,13 +62,27 @@ def test_repeated_rows_and_null_ids(spark):
     assert len({(r.sequence_id, r.offset) for r in rows}) == 5
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="ab'sé  \n\t\r1_-.\U0001F600", max_size=60))
-def test_remembered_chunks_give_the_same_ids(tokenizer, text):
-    encoder = packing.Encoder(packing.default_tokenizer())
+@pytest.fixture(scope="module")
+def encoder():
+    return packing.Encoder(packing.default_tokenizer())
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.text(alphabet="ab'sé  \n\t\r1_-.\x0b\x85\u2028\U0001F600", max_size=60), st.text(max_size=60),
+                 st.text(alphabet=st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]), max_size=80)))
+def test_both_ways_of_encoding_agree(tokenizer, encoder, text):
     want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    assert encoder.encode([text, "other text", text]) [0] == want
-    assert encoder.encode([text])[0] == want
+    assert encoder.encode(text) == want
+
+
+def test_every_plain_character_is_encoded_alike(tokenizer, encoder):
+    plain = [chr(c) for c in range(0x20AD) if not encoder.NOT_PLAIN.search(chr(c))]
+    text = " ".join(a + b for a in plain for b in "a1 .")
+    assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_special_strings_are_ordinary_text(encoder):
+    assert len(encoder.encode("<|endoftext|>")) > 4
 
 
 @settings(max_examples=40, deadline=None)
