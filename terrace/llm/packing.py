@@ -24,7 +24,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -205,19 +204,21 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, step: int = STEP) -> Dat
     holders = {c: [(j, p[c]) for j, (p, _) in enumerate(chosen) if c in p] for c in histogram}
     before = {c: np.cumsum([0, *[a * chosen[j][1] for j, a in held]]) for c, held in holders.items()}
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            rows["sequence_id"] = np.zeros(len(rows), dtype=np.int64)
-            for c, part in rows.groupby("_class"):
-                rank = part["_rank"].to_numpy()
-                held = np.searchsorted(before[c], rank, side="right") - 1
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes, ranks = batch["_class"].to_numpy(), batch["_rank"].to_numpy()
+            sequence = np.zeros(len(batch), dtype=np.int64)
+            for c in np.unique(classes):
+                mine = classes == c
+                held = np.searchsorted(before[c], ranks[mine], side="right") - 1
                 pattern, pieces_each = np.array(holders[c]).T[:, held]
-                rows.loc[part.index, "sequence_id"] = first[pattern] + (rank - before[c][held]) // pieces_each
-            yield rows.drop(columns=["_rank"])
+                sequence[mine] = first[pattern] + (ranks[mine] - before[c][held]) // pieces_each
+            names = [n for n in batch.schema.names if n != "_rank"]
+            yield pa.RecordBatch.from_arrays([*[batch[n] for n in names], pa.array(sequence)], [*names, "sequence_id"])
 
     ranked = with_offsets(classed.withColumn("_one", F.lit(1)), ["_class"], "_one",
                           ["doc_id", "start", "ids_crc32"], "_rank").drop("_one")
-    placed = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "_class", "_rank").mapInPandas(
+    placed = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "_class", "_rank").mapInArrow(
         place, f"{PIECES}, _class long, sequence_id long")
     inside = (Window.partitionBy("sequence_id").orderBy(F.desc("_class"), "doc_id", "start", "ids_crc32")
               .rowsBetween(Window.unboundedPreceding, -1))

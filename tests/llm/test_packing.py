@@ -56,9 +56,10 @@ def test_packing(spark, tokenizer):
 
 
 def test_repeated_rows_and_null_ids(spark):
-    docs = spark.createDataFrame([(1, "a b c")] * 3 + [(None, "x")] * 2, "doc_id long, text string")
+    large = 2 ** 53 + 1
+    docs = spark.createDataFrame([(large, "a b c")] * 3 + [(None, "x")] * 2, "doc_id long, text string")
     rows = packing.pack(docs).collect()
-    assert Counter(r.doc_id for r in rows) == {1: 3, None: 2}
+    assert Counter(r.doc_id for r in rows) == {large: 3, None: 2}
     assert len({(r.sequence_id, r.offset) for r in rows}) == 5
 
 
