@@ -51,9 +51,9 @@ def main(sf_dir: str) -> None:
         "user_id", F.col("event_id").alias("first_event_id"), "event_id", "ts", "event_type", "value", "props")
     cut = ev.agg(F.max("event_id")).first()[0] // 2
     cur = ev.where(F.col("event_id") <= cut)
-    section("Keyed upsert, small batch",
-            "Batch collapsed per key by partial max_by/min_by; the table streams past the broadcast "
-            "batch (no shuffle of the table); new keys found by a semi/anti join of small sides.",
+    section("Keyed upsert",
+            "Table and batch in one aggregation by key: partial max_by/min_by before the exchange, "
+            "each input read once.",
             merge.keyed_upsert(cur, ev.where(F.col("event_id") > cut), "user_id", "event_id",
                                catalog.EVENT_UPDATE_COLUMNS))
     from terrace.operators import refcount
