@@ -257,18 +257,35 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     tested = asked.orderBy(F.xxhash64("cid"), "cid").limit(CALIBRATION).toPandas()
     visits = calibrate(tree, index, tested, norm, width, k, recall)
 
-    shared = spark.sparkContext.broadcast(tree)
+    # At most 2 * SAMPLE vectors, with the leaf of each.
+    shared = spark.sparkContext.broadcast((tree, sample[:, :width], descend(tree, sample)))
+
+    def floor(q: np.ndarray, found: list[list[int]]) -> np.ndarray:
+        """A score that each query's last wanted class reaches: the sample holds
+        that many classes, in the visited leaves, that do."""
+        _, vectors, leaf = shared.value
+        if len(vectors) <= k:
+            return np.full(len(q), -np.inf)
+        visited = np.zeros((len(q), int(leaf.max()) + 1), dtype=bool)
+        for row, leaves in enumerate(found):
+            visited[row, [n for n in leaves if n < visited.shape[1]]] = True
+        scores = np.where(visited[:, leaf], q @ vectors.T, -np.inf)
+        least = np.partition(scores, len(vectors) - k - 1, axis=1)[:, len(vectors) - k - 1]
+        # The same sum may round otherwise elsewhere.
+        return np.where(np.isfinite(least), least - 1e-9 * (1 + np.abs(least)), -np.inf)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 1000):
-                part = b.iloc[at:at + 1000]
-                found = best_bins(shared.value, _as_query(_matrix(part["v"], width), norm), visits)
+            for at in range(0, len(b), 256):
+                part = b.iloc[at:at + 256]
+                q = _matrix(part["v"], width)
+                found = best_bins(shared.value[0], _as_query(q, norm), visits)
                 sizes = [len(f) for f in found]
                 yield pd.DataFrame({"cid": np.repeat(part["cid"].to_numpy(), sizes),
-                                    "v": np.repeat(part["v"].to_numpy(), sizes), "leaf": np.concatenate(found)})
+                                    "v": np.repeat(part["v"].to_numpy(), sizes),
+                                    "floor": np.repeat(floor(q, found), sizes), "leaf": np.concatenate(found)})
 
-    probes = asked.mapInPandas(walk, "cid long, v binary, leaf long")
+    probes = asked.mapInPandas(walk, "cid long, v binary, floor double, leaf long")
     sizes = (index.groupBy("leaf").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
              .join(probes.select("leaf").groupBy("leaf").agg(F.ceil(F.count("*") / QUERY_CHUNK).alias("parts")), "leaf"))
     sizes = F.broadcast(sizes)  # one row per leaf
@@ -277,7 +294,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
             .select("leaf", "chunk", "part", "cid", "v", "least"))
     right = (probes.join(sizes, "leaf").withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")))
              .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-             .select("leaf", "chunk", "part", F.col("cid").alias("qid"), F.col("v").alias("qv")))
+             .select("leaf", "chunk", "part", F.col("cid").alias("qid"), F.col("v").alias("qv"), "floor"))
 
     def compare(members: pd.DataFrame, visitors: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -288,9 +305,11 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
                 part = visitors.iloc[at:at + 256]
                 scores = _matrix(part["qv"], width) @ m.T
                 top = _top(scores, k + 1)
-                out.append(pd.DataFrame({
-                    "qid": np.repeat(part["qid"].to_numpy(), top.shape[1]), "cid": cid[top].ravel(),
-                    "least": least[top].ravel(), "score": scores[np.arange(len(part))[:, None], top].ravel()}))
+                best = scores[np.arange(len(part))[:, None], top]
+                row, column = np.nonzero(best >= part["floor"].to_numpy()[:, None])
+                mine = top[row, column]
+                out.append(pd.DataFrame({"qid": part["qid"].to_numpy()[row], "cid": cid[mine],
+                                         "least": least[mine], "score": best[row, column]}))
         return pd.concat(out) if out else pd.DataFrame({"qid": [], "cid": [], "least": [], "score": []})
 
     key = ["leaf", "chunk", "part"]
