@@ -386,8 +386,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component: the smallest id's (null last)."""
-    rows = _numbered(tables.packed(docs, "doc_id", text_or_empty().alias("text")))
-    linked = link(rows.select("row", "doc_id", "text"))
+    rows = _numbered(tables.packed(docs))
+    linked = link(rows.select("row", F.col("_doc.doc_id").alias("doc_id"),
+                              F.coalesce("_doc.text", F.lit("")).alias("text")))
     kept = linked.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("row"))
     return rows.join(kept.select("row"), "row", "left_semi").select("_doc.*")
