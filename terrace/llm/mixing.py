@@ -142,10 +142,11 @@ def pieces(sized: DataFrame, plan: DataFrame, block_words: int = BLOCK_WORDS) ->
 
 def with_size(docs: DataFrame) -> DataFrame:
     """Documents with ``size``, ``text_hash`` and ``row``, an id that is fixed
-    by writing them.  Draws depend on the former only, so on no row order."""
+    by writing them, instead of ``text``.  Draws depend on the former two and
+    the document's id only, so on no row order."""
     return tables.materialize(docs.withColumn("size", word_count(text_or_empty()))
                               .withColumn("text_hash", F.xxhash64(text_or_empty()))
-                              .withColumn("row", F.monotonically_increasing_id()), "sized")
+                              .withColumn("row", F.monotonically_increasing_id()).drop("text"), "sized")
 
 
 def mix(sized: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
@@ -156,7 +157,7 @@ def mix(sized: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
 
 def digest(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """Per document: its size, its source's size and target, the words taken."""
-    sized = with_size(docs.select("doc_id", "source", "text")).drop("text")
+    sized = with_size(docs.select("doc_id", "source", "text"))
     plan = targets(sized)
     taken = mix(sized, plan, seed).groupBy("row").agg(F.sum("length").alias("taken"))
     return (sized.join(plan.withColumnRenamed("source", "_source"),
@@ -195,7 +196,7 @@ def _cut(text: str, size: int, runs: list[tuple[int, int]]) -> list[str]:
 def mixed_documents(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """The mixture as documents: a row per epoch and run of consecutive words
     that the mix takes, with the columns of ``docs`` (``n_chars`` is the new length)."""
-    sized = with_size(tables.packed(docs, "doc_id", "source", "text")).drop("text")
+    sized = with_size(tables.packed(docs, "doc_id", "source", "text"))
     got = (mix(sized.drop("_doc"), targets(sized), seed).groupBy("row")
            .agg(F.array_sort(F.collect_list(F.struct("epoch", "start", "length"))).alias("found")))
     columns = docs.columns
