@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from terrace.llm import tables
 from terrace.llm.components import components
 from terrace.llm.tables import text_or_empty
+from terrace.operators.joins import checked_broadcast
 
 WORDS = 4
 SHARE = 85
@@ -174,8 +175,10 @@ def with_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [part["cid"], pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "tokens"])
 
+    # Ids measured to be few go to the texts; else both sides are shuffled.
+    side, _ = checked_broadcast(wanted)
     return tables.materialize(
-        texts.select(F.col("row").alias("cid"), "text").join(wanted, "cid").mapInArrow(run, "cid long, tokens binary"),
+        texts.select(F.col("row").alias("cid"), "text").join(side, "cid").mapInArrow(run, "cid long, tokens binary"),
         "tokens")
 
 
