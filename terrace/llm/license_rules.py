@@ -2,6 +2,7 @@
 
 The text they run on has lower-case words parted by one space, nothing else.
 One rule a line: label ; priority ; keywords that must all occur ; expression.
+Keywords are whole words that every match of the expression holds.
 Priority 1 is a reference with version or an unmistakable sentence, 2 a name
 without version, 3 a hint.  Order matters: of detections of equal rank over
 the same words the earlier rule wins.  A trailing ``base`` marks the
@@ -154,7 +155,7 @@ prosperity-3.0 ; 2 ; prosperity ; prosperity public licen[sc]e(?: 3 0 0)?
 unlicense ; 1 ; unlicense ; unlicense
 unlicense ; 1 ; unencumbered ; this is free and unencumbered software released into the public domain
 wtfpl ; 1 ; wtfpl ; wtfpl
-wtfpl ; 1 ; fuck public ; do what the fuck you want to(?: public license)?
+wtfpl ; 1 ; fuck want ; do what the fuck you want to(?: public license)?
 zlib ; 2 ; zlib ; zlib(?: libpng)? licen[sc]e
 zlib ; 1 ; misrepresented ; the origin of this software must not be misrepresented
 libpng ; 2 ; libpng ; libpng licen[sc]e(?: version 2)?
@@ -181,7 +182,7 @@ postgresql ; 2 ; postgresql ; postgresql licen[sc]e
 tcl ; 2 ; tcl ; tcl tk licen[sc]e
 vim ; 2 ; vim ; vim licen[sc]e
 sleepycat ; 2 ; sleepycat ; sleepycat licen[sc]e
-qpl-1.0 ; 1 ; public qpl ; q public licen[sc]e(?: version 1 0)?
+qpl-1.0 ; 1 ; q public ; q public licen[sc]e(?: version 1 0)?
 qpl-1.0 ; 2 ; qpl ; qpl(?: 1 0)?
 nokia ; 2 ; nokia ; nokia open source licen[sc]e
 zpl-1.1 ; 1 ; zope ; zope public licen[sc]e (?:zpl )?(?:version |v )?1 1
@@ -212,7 +213,7 @@ upl-1.0 ; 2 ; universal permissive ; universal permissive licen[sc]e(?: (?:versi
 nasa-1.3 ; 2 ; nasa ; nasa open source agreement(?: version 1 3)?
 rpl-1.5 ; 2 ; reciprocal ; reciprocal public licen[sc]e(?: 1 5)?
 ecl-2.0 ; 2 ; educational community ; educational community licen[sc]e(?: version 2 0)?
-jsr-spec ; 2 ; specification jcp ; java community process specification licen[sc]e
+jsr-spec ; 2 ; java community specification ; java community process specification licen[sc]e
 json ; 1 ; good evil ; the software shall be used for good not evil
 beerware ; 1 ; beer ; beer ware licen[sc]e
 beerware ; 1 ; buy beer ; you can buy me a beer in return
@@ -222,7 +223,7 @@ hippocratic ; 2 ; hippocratic ; hippocratic licen[sc]e(?: (?:version |v )?[123])
 odbl-1.0 ; 1 ; odbl ; odbl(?: (?:version |v )?1 0)?
 odbl-1.0 ; 2 ; open database ; open database licen[sc]e
 odc-by-1.0 ; 2 ; open data attribution ; open data commons attribution licen[sc]e
-pddl-1.0 ; 2 ; open data dedication ; (?:open data commons )?public domain dedication and licen[sc]e
+pddl-1.0 ; 2 ; domain dedication ; (?:open data commons )?public domain dedication and licen[sc]e
 ogl-uk-3.0 ; 1 ; open government ; open government licen[sc]e (?:version |v )?3 0
 ogl-uk ; 2 ; open government ; open government licen[sc]e
 etalab-2.0 ; 2 ; etalab ; (?:licence ouverte )?etalab(?: licence)?(?: 2 0)?
@@ -258,7 +259,8 @@ cc-by ; 3 ; cc by ; cc by
 cc-by-4.0 ; 1 ; creative attribution ; creative commons attribution 4 0(?: international)?
 cc-by-3.0 ; 1 ; creative attribution ; creative commons attribution 3 0(?: unported)?
 cc-by-sa-4.0 ; 1 ; creative sharealike ; creative commons attribution sharealike 4 0(?: international)?
-cc-by-sa ; 2 ; creative alike ; creative commons attribution share ?alike
+cc-by-sa ; 2 ; creative alike ; creative commons attribution share alike
+cc-by-sa ; 2 ; creative sharealike ; creative commons attribution sharealike
 cc-by-nc ; 2 ; creative attribution ; creative commons attribution non ?commercial
 cc-by-nc-sa ; 1 ; creative attribution ; creative commons attribution non ?commercial share ?alike
 cc-by-nc-nd ; 1 ; creative attribution ; creative commons attribution non ?commercial no ?deriv(?:ative)?s?
@@ -272,11 +274,12 @@ proprietary ; 2 ; confidential proprietary ; (?:proprietary and confidential|con
 proprietary ; 2 ; unauthorized copying ; unauthorized copying of this (?:file|software|document)
 proprietary ; 3 ; rights reserved ; all rights reserved
 proprietary ; 3 ; internal use only ; for internal use only
-non-commercial ; 2 ; commercial ; for non ?commercial (?:use|purposes)(?: only)?
+non-commercial ; 2 ; non commercial ; for non commercial (?:use|purposes)(?: only)?
+non-commercial ; 2 ; noncommercial ; for noncommercial (?:use|purposes)(?: only)?
 non-commercial ; 2 ; personal use only ; for personal use only
 no-derivatives ; 3 ; derivative permitted ; no derivative works (?:are )?permitted
 attribution-required ; 3 ; attribution required ; attribution is required
-unspecified ; 3 ; see license ; see (?:the )?licen[sc]e(?: file)? for (?:more )?details
+unspecified ; 3 ; see details ; see (?:the )?licen[sc]e(?: file)? for (?:more )?details
 unspecified ; 3 ; licensed under terms ; licensed under the terms
 unspecified ; 3 ; released under terms ; released under the terms
 unspecified ; 3 ; distributed terms ; distributed under the terms of

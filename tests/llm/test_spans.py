@@ -81,6 +81,51 @@ def test_licence_rules_are_many_and_match_their_keywords():
         assert r.priority in licenses.PRIORITIES and r.keywords and r.pattern == r.pattern.lower()
 
 
+def plain_matches(tree):
+    """A plain match of each choice of an expression's optional parts and branches."""
+    from re import _constants as K
+    found = [""]
+    for op, value in tree:
+        if op is K.LITERAL:
+            more = [chr(value)]
+        elif op is K.IN:
+            more = [chr(v if o is K.LITERAL else v[0]) for o, v in value]
+        elif op is K.ANY:
+            more = ["x"]
+        elif op is K.BRANCH:
+            more = [m for branch in value[1] for m in plain_matches(branch)]
+        elif op is K.SUBPATTERN:
+            more = plain_matches(value[3])
+        else:
+            assert op in (K.MAX_REPEAT, K.MIN_REPEAT), op
+            inner = plain_matches(value[2])
+            more = [m * max(value[0], 1) for m in inner] + ([""] if value[0] == 0 else [])
+        found = [a + b for a in found for b in more]
+    return found
+
+
+def test_licence_gates_hold_for_every_branch():
+    import re
+    for r in licenses.RULES:
+        shown = {" ".join(m.split()) for m in plain_matches(re._parser.parse(r.pattern))}
+        shown = {m for m in shown if re.fullmatch(r.pattern, m)}
+        assert shown, r
+        for match in shown:
+            assert set(r.keywords) <= set(match.split()), (r, match)
+
+
+def test_licence_gates_let_real_names_through(spark):
+    shown = {"Creative Commons Attribution-ShareAlike 3.0": "cc-by-sa", "for noncommercial use": "non-commercial",
+             "for non-commercial purposes only": "non-commercial", "Q Public License": "qpl-1.0",
+             "Java Community Process Specification License": "jsr-spec",
+             "Public Domain Dedication and License": "pddl-1.0", "do what the fuck you want to": "wtfpl",
+             "see the licence for details": "unspecified"}
+    got = by_text(licenses.digest(table(spark, ["", *shown])), ["", *shown])
+    for i, (text, label) in enumerate(shown.items(), 1):
+        assert label in got[i]["labels"].split(","), (text, got[i]["labels"])
+    assert "cc-by" not in got[1]["labels"].split(",")
+
+
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]{32,}") is None
     assert secrets.trigram_query("ab") is None
