@@ -51,6 +51,18 @@ def _assigned_value_is_long(match: Column) -> Column:
     return F.length(F.regexp_extract(match, ASSIGN, 2)) >= 8
 
 
+# A private key from its BEGIN line to its END line.  Without one: the header
+# lines of an encrypted key and the base64 lines, the last of any length.  Five
+# dashes end a key in any case, and the repeats are possessive, so markers
+# without a partner cost one pass, however long the text.
+_KEY = r"[A-Z0-9 ]{0,40}PRIVATE KEY-----"
+PEM = (rf"-----BEGIN {_KEY}"
+       rf"(?:(?:[^-]++|-(?!----))*+-----END {_KEY}"
+       r"|(?:[\s\\nr]*+(?:Proc-Type|DEK-Info): [^\n\\]*+)*+"
+       r"""(?:[\s"',>#*|]*+[A-Za-z0-9+/\\]{16,}+={0,2}+"""
+       r"""|[\x20\t\r"',]*+\n[\x20\t"'>#*|]*+[A-Za-z0-9+/\\]++={0,2}+(?=[\x20\t\r"',]*+(?:\n|\Z)))*+)""")
+
+
 # Base kinds first, in the order in which ties of place are listed.  A run of
 # access or hex characters shorter than the limit holds no longer one, so the
 # limit may stand in the expression.
@@ -58,7 +70,7 @@ RULES = (
     Rule("assign", ASSIGN, _assigned_value_is_long, base=True),
     Rule("access", r"AKIA[A-Z0-9]{12,}", base=True),
     Rule("hex", r"(?<![0-9a-f])[0-9a-f]{32,}", base=True),
-    Rule("pem", r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"),
+    Rule("pem", PEM),
     Rule("github", r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("github-pat", r"github_pat_[A-Za-z0-9_]{22,}"),
     Rule("gitlab", r"glpat-[A-Za-z0-9_-]{20,}"),
@@ -69,7 +81,7 @@ RULES = (
     Rule("npm", r"(?<![A-Za-z0-9_])npm_[A-Za-z0-9]{36}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
     Rule("bearer", r"(?i:bearer) [A-Za-z0-9._~+/=-]{20,}"),
-    Rule("basic-auth", r"://[^\s:@/]{1,64}:[^\s:@/]{3,64}@"),
+    Rule("basic-auth", r"://[^\s:@/]++:[^\s:@/]{3,}+@"),
 )
 
 

@@ -1,6 +1,7 @@
 """Licences, secrets and personal data against plain versions."""
 
 import math
+import random
 
 import brute
 import pytest
@@ -159,6 +160,48 @@ def test_redact(spark):
     assert got == {0: "x", 1: "my [SECRET] and [SECRET] end", 2: None, 3: "clean"}
 
 
+def key_texts():
+    """(text, what must be left of it) around private keys."""
+    rng = random.Random(3)
+    line = lambda n: "".join(rng.choice("ABCDEFGHIJabcdefghij0123456789+/") for _ in range(n))
+    body = [line(64) for _ in range(24)] + [line(6) + "=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF\n\n"
+    out = [("\n".join([begin, *body, end]), ""), ("\r\n".join([begin, *body, end]), ""),
+           ("\\n".join([begin, *body, end]), ""), (" ".join([begin, *body, end]), ""),
+           ("\n    ".join([begin, *body, end]), ""), (begin + "\n" + head + "\n".join([*body, end]), ""),
+           (begin + "".join(body) + end, "")]
+    # Without an END line only the base64 lines go.
+    out += [("\n".join([begin, *body]), ""), ("\n".join([begin, *body, "That was the key."]), "\nThat was the key."),
+            ("\n  ".join([begin, *body, "that was it"]), "\n  that was it"),
+            (begin + "\n" + head + "\n".join([*body, "and more text"]), "\nand more text"),
+            (begin + " is a header, as you know", " is a header, as you know")]
+    out.append(("\n".join([begin, *body, begin, *body, end]), "\n[SECRET]"))
+    return [(f"see {t}", f"see [SECRET]{rest}") for t, rest in out] + [
+        ("\n".join([begin, *body, end, "mid", begin, *body, end]) + " z", "[SECRET]\nmid\n[SECRET] z")]
+
+
+def test_redact_leaves_no_key_body(spark):
+    shown = [("x", "x"), *key_texts()]
+    got = {r.doc_id or 0: r.text for r in secrets.redact(table(spark, [t for t, _ in shown])).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(shown)}
+
+
+def test_long_passwords_of_urls(spark):
+    texts = ["x", f"https://user:{'p' * 300}@host/x", f"https://{'u' * 300}:secret1@host"]
+    got = {r.doc_id or 0: r.text for r in secrets.redact(table(spark, texts)).collect()}
+    assert got == {0: "x", 1: "https[SECRET]host/x", 2: "https[SECRET]host"}
+
+
+def test_key_rule_takes_long_texts(spark):
+    begin = "-----BEGIN PRIVATE KEY-----"
+    texts = ["x", begin + "a-" * 200_000, begin * 300, begin + "\n" + ("A" * 64 + "\n") * 3_000,
+             begin + ("A" * 64 + "\n") * 3_000 + "-----END PRIVATE KEY-----", "://" + "u" * 200_000 + ":" + "v" * 200_000]
+    got = {r.doc_id or 0: r.text for r in secrets.redact(table(spark, texts)).collect()}
+    assert got == {0: "x", 1: "[SECRET]" + "a-" * 200_000, 2: "[SECRET]" * 300, 3: "[SECRET]\n", 4: "[SECRET]",
+                   5: texts[5]}
+
+
 def test_checksums_and_context(spark):
     text = ("IBAN GB82 WEST 1234 5698 7654 32 and GB82 WEST 1234 5698 7654 33; my SSN is 123-45-6789; "
             "further on in the very same text, a good way off, part 123-45-6780 is listed without a word of what it is")
