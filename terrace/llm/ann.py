@@ -9,7 +9,8 @@
    seen, nearest first, and hands out leaves.
 4. How many leaves to visit is calibrated: for ``CALIBRATION`` queries the true
    neighbours are found by brute force over all rows, and the visits widen
-   until ``recall`` of them lie in visited leaves.
+   until ``recall`` of them lie in visited leaves.  A walk goes on past them
+   until its leaves hold as many classes as are asked for.
 5. Queries and leaves meet in blocks; leaves and the queries of a leaf are cut
    into parts of bounded size.
 
@@ -101,20 +102,24 @@ def descend(tree: Tree, x: np.ndarray) -> np.ndarray:
     return out
 
 
-def best_bins(tree: Tree, q: np.ndarray, visits: int) -> list[list[int]]:
-    """Per query the first ``visits`` leaves, best bin first."""
+def best_bins(tree: Tree, q: np.ndarray, visits: int, held: np.ndarray | None = None,
+              need: int = 0) -> list[list[int]]:
+    """Per query the first ``visits`` leaves, best bin first; more of them
+    until they hold ``need`` classes (``held``: classes per leaf)."""
     centres, children, leaves = tree
     out = []
     for far in (centres ** 2).sum(1) - 2 * q @ centres.T:
         queue = [(far[0], 0)]
         found: list[int] = []
-        while queue and len(found) < visits:
+        rows = 0
+        while queue and (len(found) < visits or rows < need):
             _, node = heapq.heappop(queue)
             if children[node]:
                 for child in children[node]:
                     heapq.heappush(queue, (far[child], child))
             else:
                 found.append(int(leaves[node]))
+                rows += int(held[leaves[node]]) if held is not None else 0
         out.append(found)
     return out
 
@@ -257,13 +262,16 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
     tested = asked.orderBy(F.xxhash64("cid"), "cid").limit(CALIBRATION).toPandas()
     visits = calibrate(tree, index, tested, norm, width, k, recall)
 
+    counted = index.groupBy("leaf").count().toPandas()  # one row per leaf
+    held = np.zeros(int(tree[2].max()) + 1, dtype=np.int64)
+    held[counted["leaf"]] = counted["count"]
     # At most 2 * SAMPLE vectors, with the leaf of each.
-    shared = spark.sparkContext.broadcast((tree, sample[:, :width], descend(tree, sample)))
+    shared = spark.sparkContext.broadcast((tree, sample[:, :width], descend(tree, sample), held))
 
     def floor(q: np.ndarray, found: list[list[int]]) -> np.ndarray:
         """A score that each query's last wanted class reaches: the sample holds
         that many classes, in the visited leaves, that do."""
-        _, vectors, leaf = shared.value
+        _, vectors, leaf, _ = shared.value
         if len(vectors) <= k:
             return np.full(len(q), -np.inf)
         visited = np.zeros((len(q), int(leaf.max()) + 1), dtype=bool)
@@ -279,7 +287,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
             for at in range(0, len(b), 256):
                 part = b.iloc[at:at + 256]
                 q = _matrix(part["v"], width)
-                found = best_bins(shared.value[0], _as_query(q, norm), visits)
+                found = best_bins(shared.value[0], _as_query(q, norm), visits, shared.value[3], k + 1)
                 sizes = [len(f) for f in found]
                 yield pd.DataFrame({"cid": np.repeat(part["cid"].to_numpy(), sizes),
                                     "v": np.repeat(part["v"].to_numpy(), sizes),

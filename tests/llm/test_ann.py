@@ -55,6 +55,19 @@ def test_recall_over_a_deep_tree(spark, monkeypatch):
     assert queries == 100 and recall >= 0.9
 
 
+def test_far_outliers_find_all_their_neighbours(spark, monkeypatch):
+    """Leaves of a few rows: the visits that serve most queries hold too few."""
+    monkeypatch.setattr(ann, "LEAF_ROWS", 32)
+    monkeypatch.setattr(ann, "calibrate", lambda *args: 1)
+    rng = np.random.default_rng(2)
+    vectors = (rng.normal(size=(8, 16))[rng.integers(0, 8, 800)] + rng.normal(size=(800, 16)) * 0.05).astype(np.float32)
+    vectors[[0, 20, 40, 60, 80]] = np.float32(50) * np.eye(16, dtype=np.float32)[0] + vectors[[0, 20, 40, 60, 80]]
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], SCHEMA)
+    got = ann.search(docs, docs.where("vec_id % 20 = 0")).collect()
+    queries, _ = check(got, list(range(800)), vectors.astype(np.float64))
+    assert queries == 40 and len(got) == 40 * 20
+
+
 def test_hot_vector_ties_and_few_rows(spark):
     rows = [(i, [1.0, 2.0]) for i in range(0, 300)] + [(1000, [-1.0, 0.5]), (1001, [-1.0, 0.5]), (1000, [-1.0, 0.5])]
     docs = spark.createDataFrame(rows, SCHEMA)
