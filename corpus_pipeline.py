@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
-    return jaccard.keep_one(docs)
+    """Keep one document of each group of near copies: shingles of five words, similarity 0.8."""
+    return jaccard.keep_one(docs, words=5, share=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """Shingle-set similarity join through a token-group matrix.
 
 Documents with the same shingle set are one class.  Two classes link when the
-Jaccard similarity of their sets is at least ``SHARE`` percent.
+Jaccard similarity of their sets is at least ``share`` percent; shingles have
+``words`` words.  The defaults ``WORDS`` and ``SHARE`` are those of the op10 query.
 
 1. Tokens (hashes of shingles) are ordered, frequent ones last.  A link's sets
-   share a token among each other's first ``n - ceil(n * SHARE / 100) + 1``:
+   share a token among each other's first ``n - ceil(n * share / 100) + 1``:
    the prefix.
 2. Similar classes are gathered by two minimum hashes and compared with a few
    pivots, the most central of their gathering; verified links make the first
@@ -70,7 +71,7 @@ class _WordIds(dict):
         return value
 
 
-def token_set(text: str, ids: dict, words: int = WORDS) -> np.ndarray:
+def token_set(text: str, ids: dict, words: int) -> np.ndarray:
     """Sorted distinct shingle hashes (62 bits) of a text."""
     found = text.encode().translate(_LOWER).split()
     if not found:
@@ -88,11 +89,11 @@ def token_set(text: str, ids: dict, words: int = WORDS) -> np.ndarray:
     return np.unique((h >> np.uint64(2)).astype(np.int64))
 
 
-def _prefix_size(n: np.ndarray | int):
-    return n - (SHARE * n + 99) // 100 + 1
+def _prefix_size(n: np.ndarray | int, share: int):
+    return n - (share * n + 99) // 100 + 1
 
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches with the token set of each row's text."""
     ids = _WordIds()
     for batch in batches:
@@ -100,10 +101,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
             part = batch.slice(at, 1000)
             if len(ids) > CACHE_WORDS:
                 ids.clear()
-            yield part, [token_set(t, ids) for t in part["text"].to_pylist()]
+            yield part, [token_set(t, ids, words) for t in part["text"].to_pylist()]
 
 
-def frequent_tokens(texts: DataFrame) -> np.ndarray:
+def frequent_tokens(texts: DataFrame, words: int, share: int) -> np.ndarray:
     """The tokens that come last in the order.
 
     Without those beyond the prefixes, moving a frequent token back would let
@@ -111,8 +112,8 @@ def frequent_tokens(texts: DataFrame) -> np.ndarray:
     """
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _sets(batches):
-            sizes = [_prefix_size(len(s)) for s in sets]
+        for _, sets in _sets(batches, words):
+            sizes = [_prefix_size(len(s), share) for s in sets]
             none = [np.zeros(0, np.int64)]
             token, n = np.unique(np.concatenate(none + [s[:k] for s, k in zip(sets, sizes)]), return_counts=True)
             later, m = np.unique(np.concatenate(none + [s[k:] for s, k in zip(sets, sizes)]), return_counts=True)
@@ -132,13 +133,14 @@ def frequent_tokens(texts: DataFrame) -> np.ndarray:
     return np.sort(found.astype(np.int64))
 
 
-def signatures(texts: DataFrame) -> DataFrame:
+def signatures(texts: DataFrame, words: int, share: int) -> DataFrame:
     """Per document: class key, set size, prefix (in order), place of the last
     prefix token in the order, minimum hashes."""
-    frequent = texts.sparkSession.sparkContext.broadcast(frequent_tokens(texts))  # at most MAX_FREQUENT
+    # At most MAX_FREQUENT.
+    frequent = texts.sparkSession.sparkContext.broadcast(frequent_tokens(texts, words, share))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, sets in _sets(batches):
+        for part, sets in _sets(batches, words):
             rows = []
             for tokens in sets:
                 n = len(tokens)
@@ -146,7 +148,7 @@ def signatures(texts: DataFrame) -> DataFrame:
                     rows.append((None, None, 0, [], None, []))
                     continue
                 common = np.isin(tokens, frequent.value, assume_unique=True)
-                order = np.concatenate([tokens[~common], tokens[common]])[:_prefix_size(n)]
+                order = np.concatenate([tokens[~common], tokens[common]])[:_prefix_size(n, share)]
                 rare = n - int(common.sum())
                 last = int(order[-1]) | (1 << 62 if len(order) > rare else 0)
                 raw = tokens.tobytes()
@@ -167,11 +169,11 @@ def signatures(texts: DataFrame) -> DataFrame:
         "signatures")
 
 
-def with_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+def with_tokens(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``wanted`` (cid: distinct) with the token sets of those rows, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, sets in _sets(batches):
+        for part, sets in _sets(batches, words):
             yield pa.RecordBatch.from_arrays(
                 [part["cid"], pa.array([s.tobytes() for s in sets], pa.binary())], ["cid", "tokens"])
 
@@ -182,12 +184,12 @@ def with_tokens(texts: DataFrame, wanted: DataFrame) -> DataFrame:
         "tokens")
 
 
-def _linked(a: np.ndarray, b: np.ndarray) -> bool:
+def _linked(a: np.ndarray, b: np.ndarray, share: int) -> bool:
     small, large = sorted((len(a), len(b)))
-    if 100 * small < SHARE * large:
+    if 100 * small < share * large:
         return False
     both = len(np.intersect1d(a, b, assume_unique=True))
-    return 100 * both >= SHARE * (len(a) + len(b) - both)
+    return 100 * both >= share * (len(a) + len(b) - both)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[bool, dict]]:
@@ -202,7 +204,7 @@ def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple
 
 # --- groups ----------------------------------------------------------------------
 
-def _pivots(cids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def _pivots(cids: list[int], sets: list[np.ndarray], share: int) -> list[tuple[int, int]]:
     """Links to pivots: of the sets that are left, the one whose tokens most of
     the others hold is compared with all of them, a few times over."""
     cid = np.array(cids)
@@ -216,7 +218,7 @@ def _pivots(cids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
         _, where, held = np.unique(tokens, return_inverse=True, return_counts=True)
         pivot = int((np.bincount(owner, held[where]) / size).argmax())
         both = np.bincount(owner[np.isin(tokens, sets[pivot])], minlength=len(sets))
-        linked = 100 * both >= SHARE * (size + size[pivot] - both)
+        linked = 100 * both >= share * (size + size[pivot] - both)
         links += [(int(c), int(cid[pivot])) for c in cid[linked] if c != cid[pivot]]
         linked[pivot] = True
         sets = [s for s, gone in zip(sets, linked) if not gone]
@@ -224,7 +226,7 @@ def _pivots(cids: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
     return links
 
 
-def pivot_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def pivot_links(texts: DataFrame, classes: DataFrame, words: int, share: int) -> DataFrame:
     """Verified links (a, b) of classes to a pivot of their gathering.
 
     A gathering is taken in parts of bounded numbers of members and tokens.
@@ -237,14 +239,14 @@ def pivot_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
         keyed.join(sizes, ["turn", "one", "two"])
         .withColumn("part", F.pmod(F.xxhash64("cid"), F.ceil(F.col("members") / GATHERING_PART)))
         .select("turn", "one", "two", "part", "cid"), "gatherings")
-    tokens = with_tokens(texts, gathered.select("cid").distinct())
+    tokens = with_tokens(texts, gathered.select("cid").distinct(), words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cids: list[int] = []
         sets: list[np.ndarray] = []
 
         def flush() -> pa.RecordBatch:
-            links = _pivots(cids, sets)
+            links = _pivots(cids, sets, share)
             cids.clear()
             sets.clear()
             a, b = zip(*links) if links else ((), ())
@@ -265,22 +267,22 @@ def pivot_links(texts: DataFrame, classes: DataFrame) -> DataFrame:
     return found
 
 
-def _qualifies():
+def _qualifies(share: int):
     """Whether a class could link with a member of the group it overlaps.
 
     Sizes must fit some member.  For a group of one, all of the shorter-lasting
     prefix is known, so its unshared tokens must not exceed what a link allows.
     """
     nx, ny, held = F.col("n"), F.col("n_least"), F.col("held")
-    fits = (100 * F.col("n_most") >= SHARE * nx) & (100 * nx >= SHARE * ny)
-    overlap = F.ceil(SHARE * (nx + ny) / (100.0 + SHARE) - 1e-9)
-    need = lambda n: n - F.ceil(SHARE * n / 100.0 - 1e-9) + 1 - n + overlap
+    fits = (100 * F.col("n_most") >= share * nx) & (100 * nx >= share * ny)
+    overlap = F.ceil(share * (nx + ny) / (100.0 + share) - 1e-9)
+    need = lambda n: n - F.ceil(share * n / 100.0 - 1e-9) + 1 - n + overlap
     least = (F.when(F.col("last") < F.col("last_least"), need(nx))
              .when(F.col("last") > F.col("last_least"), need(ny)).otherwise(F.least(need(nx), need(ny))))
     return fits & ((F.col("size") > 1) | (held >= least))
 
 
-def qualifying(classes: DataFrame) -> DataFrame:
+def qualifying(classes: DataFrame, share: int) -> DataFrame:
     """(cid, group): the groups that each class has to be compared with.
 
     ``classes`` holds cid, n, prefix, last, group.
@@ -297,14 +299,14 @@ def qualifying(classes: DataFrame) -> DataFrame:
     matrix = asking.select("token", F.col("group").alias("other")).distinct().join(
         about.withColumnRenamed("group", "other").withColumnRenamed("size", "other_size"), "other")
     ranks = F.struct(F.col("other_size"), F.col("other")) > F.struct(F.col("size"), F.col("group"))
-    fits = (100 * F.col("n_most") >= SHARE * F.col("n")) & (100 * F.col("n") >= SHARE * F.col("n_least"))
+    fits = (100 * F.col("n_most") >= share * F.col("n")) & (100 * F.col("n") >= share * F.col("n_least"))
     held = (asking.join(matrix, "token").where(ranks & fits)
             .groupBy("cid", "n", "last", "other", "other_size", "n_least", "n_most", "last_least")
             .agg(F.count("*").alias("held")))
-    return held.withColumn("size", F.col("other_size")).where(_qualifies()).select("cid", F.col("other").alias("group"))
+    return held.withColumn("size", F.col("other_size")).where(_qualifies(share)).select("cid", F.col("other").alias("group"))
 
 
-def group_links(texts: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
+def group_links(texts: DataFrame, classes: DataFrame, asked: DataFrame, words: int, share: int) -> DataFrame:
     """Links (a, b) found by opening the qualifying groups."""
     asked = tables.materialize(asked, "qualifying")
     parts = classes.join(asked.select("group").distinct(), "group").select("group", "cid")
@@ -315,7 +317,7 @@ def group_links(texts: DataFrame, classes: DataFrame, asked: DataFrame) -> DataF
                 .select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                         F.lit(1).alias("visits"), "cid"))
     rows = members.unionByName(visitors)
-    tokens = with_tokens(texts, rows.select("cid").distinct())
+    tokens = with_tokens(texts, rows.select("cid").distinct(), words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inside: list[tuple[int, np.ndarray]] = []
@@ -326,7 +328,7 @@ def group_links(texts: DataFrame, classes: DataFrame, asked: DataFrame) -> DataF
             if not row["visits"]:
                 inside.append((row["cid"], mine))
                 continue
-            other = next((c for c, t in inside if _linked(mine, t)), None)
+            other = next((c for c, t in inside if _linked(mine, t, share)), None)
             if other is not None:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([row["cid"]]), "b": pa.array([other])})
 
@@ -346,14 +348,14 @@ def _grouped(classes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
 
 # --- the operator ----------------------------------------------------------------
 
-def link(texts: DataFrame) -> DataFrame:
+def link(texts: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """``row, doc_id, n_shingles, component, component_id`` of every document.
 
     ``texts`` is a written table with ``row`` (an id that tells documents with
     one ``doc_id`` apart), ``doc_id`` and ``text`` (not null); ``component`` is
     a ``row`` of the component.
     """
-    signed = signatures(texts)
+    signed = signatures(texts, words, share)
     filled = signed.where("n > 0")
     classes = tables.materialize(
         filled.groupBy("k1", "k2").agg(
@@ -362,9 +364,9 @@ def link(texts: DataFrame) -> DataFrame:
         "classes")
     docs = tables.materialize(signed.select("row", "doc_id", "n", "k1", "k2"), "classes-of-documents")
     tables.discard(signed)
-    first = pivot_links(texts, classes)
+    first = pivot_links(texts, classes, words, share)
     grouped = tables.materialize(_grouped(classes.select("cid", "n", "prefix", "last"), first, "group"), "groups")
-    second = group_links(texts, grouped, qualifying(grouped))
+    second = group_links(texts, grouped, qualifying(grouped, share), words, share)
     tables.discard(grouped)
     final = _grouped(classes.select("k1", "k2", "cid", "least_doc"), first.unionByName(second), "component")
     named = final.groupBy("component").agg(F.min("least_doc").alias("component_id"))
@@ -387,11 +389,11 @@ def digest(docs: DataFrame) -> DataFrame:
     return link(texts).select("doc_id", "n_shingles", "component_id")
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """``docs`` with one document of each component: the smallest id's (null last)."""
     rows = _numbered(tables.packed(docs))
     linked = link(rows.select("row", F.col("_doc.doc_id").alias("doc_id"),
-                              F.coalesce("_doc.text", F.lit("")).alias("text")))
+                              F.coalesce("_doc.text", F.lit("")).alias("text")), words, share)
     kept = linked.groupBy("component").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"].alias("row"))
     return rows.join(kept.select("row"), "row", "left_semi").select("_doc.*")

@@ -71,6 +71,41 @@ def test_keep_one(spark):
     assert jaccard.digest(same.limit(0)).count() == 0
 
 
+def plain_kept(texts, words, share):
+    """Positions of the first text of each component, by all pairs."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i:i + words]) for i in range(max(1, len(w) - words + 1))} if w else set())
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= share * (len(a) + len(sets[j]) - both) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    return {i for i, r in enumerate(root) if r == i}
+
+
+@pytest.mark.parametrize("words,share", [(5, 80), (4, 85)])
+def test_keep_one_with_words_and_share(spark, words, share):
+    texts = near_copies(4)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r.doc_id for r in jaccard.keep_one(docs, words, share).collect()} == plain_kept(texts, words, share)
+
+
+def test_pipeline_drops_copies_with_two_percent_of_edits(spark):
+    """Similarity 0.80 over five words, 0.84 over four."""
+    import corpus_pipeline
+    base = [f"w{i}" for i in range(1000)]
+    copy = [f"x{i}" if i % 46 == 20 else w for i, w in enumerate(base)]
+    texts = [" ".join(base), " ".join(copy)]
+    assert (len(plain_kept(texts, 5, 80)), len(plain_kept(texts, 4, 85))) == (1, 2)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()] == [0]
+    assert jaccard.keep_one(docs).count() == 2
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100 + rng.randrange(80), 100 + rng.randrange(80)) for _ in range(60)]
