@@ -145,6 +145,20 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
     return np.argpartition(-scores, k - 1, axis=1)[:, :k]
 
 
+def _top_ties(scores: np.ndarray, least: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, columns) of the k best scores of each row that reach its floor;
+    of equal scores those with the smallest ``least``."""
+    if scores.shape[1] > k:
+        at = scores.shape[1] - k
+        floor = np.maximum(floor, np.partition(scores, at, axis=1)[:, at])
+    row, column = np.nonzero(scores >= floor[:, None])
+    order = np.lexsort((least[column], -scores[row, column], row))
+    row, column = row[order], column[order]
+    held = np.bincount(row, minlength=len(scores))
+    place = np.arange(len(row)) - np.repeat(np.cumsum(held) - held, held)
+    return row[place < k], column[place < k]
+
+
 # --- the steps ------------------------------------------------------------------
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -312,12 +326,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, recall: float =
             for at in range(0, len(visitors), 256):
                 part = visitors.iloc[at:at + 256]
                 scores = _matrix(part["qv"], width) @ m.T
-                top = _top(scores, k + 1)
-                best = scores[np.arange(len(part))[:, None], top]
-                row, column = np.nonzero(best >= part["floor"].to_numpy()[:, None])
-                mine = top[row, column]
+                row, mine = _top_ties(scores, least, part["floor"].to_numpy(), k + 1)
                 out.append(pd.DataFrame({"qid": part["qid"].to_numpy()[row], "cid": cid[mine],
-                                         "least": least[mine], "score": best[row, column]}))
+                                         "least": least[mine], "score": scores[row, mine]}))
         return pd.concat(out) if out else pd.DataFrame({"qid": [], "cid": [], "least": [], "score": []})
 
     key = ["leaf", "chunk", "part"]

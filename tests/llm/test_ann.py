@@ -68,6 +68,20 @@ def test_far_outliers_find_all_their_neighbours(spark, monkeypatch):
     assert queries == 40 and len(got) == 40 * 20
 
 
+def test_ties_at_the_edge_go_to_the_smallest_ids(spark):
+    """Different vectors of one score: whole numbers, one component that tells them apart."""
+    rng = np.random.default_rng(4)
+    vectors = np.zeros((400, 10), dtype=np.float32)
+    vectors[:, 0] = 1
+    vectors[np.arange(400) % 20 != 0, 1:] = ((np.arange(400)[:, None] >> np.arange(9)) & 1)[np.arange(400) % 20 != 0]
+    ids = rng.permutation(400)
+    docs = spark.createDataFrame([(int(i), vectors[i].tolist()) for i in ids], SCHEMA)
+    got = {}
+    for r in ann.search(docs, docs.where("vec_id = 0")).collect():
+        got[r.rank] = (r.vec_id, r.score)
+    assert [got[n] for n in range(1, 21)] == [(i, 1.0) for i in range(1, 21)]
+
+
 def test_hot_vector_ties_and_few_rows(spark):
     rows = [(i, [1.0, 2.0]) for i in range(0, 300)] + [(1000, [-1.0, 0.5]), (1001, [-1.0, 0.5]), (1000, [-1.0, 0.5])]
     docs = spark.createDataFrame(rows, SCHEMA)
