@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import ann, jaccard, lexical, licenses, mixing, packing, pii, quality, secrets, suffix_dedup, url_filter
+from terrace.llm import (ann, cover_tree, jaccard, lexical, licenses, mixing, packing, pii, quality, secrets,
+                         suffix_dedup, url_filter)
 from terrace.llm.tables import read
 
 
@@ -51,6 +52,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.digest(read(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cover_tree.relabelled(read(spark, sf_dir, "embeddings"))
+    return cover_tree.mine(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -58,7 +64,8 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_nearest_neighbours,
                                    op4_suffix_dedup, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
-                                   op9_sequence_packing, op10_ngram_jaccard, op13_lexical_search)}
+                                   op9_sequence_packing, op10_ngram_jaccard, op11_hard_negatives,
+                                   op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -67,5 +74,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": url_filter.ORACLE,
         "op7_quality_rules": quality.oracle(),
         "op10_ngram_jaccard": jaccard.ORACLE,
+        "op11_hard_negatives": cover_tree.ORACLE,
         "op13_lexical_search": lexical.ORACLE,
     }
