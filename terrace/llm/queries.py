@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import (ann, cover_tree, jaccard, lexical, licenses, mixing, packing, pii, quality, secrets,
+from terrace.llm import (ann, attention, cover_tree, jaccard, lexical, licenses, mixing, packing, pii, quality, secrets,
                          suffix_dedup, url_filter)
 from terrace.llm.tables import read
 
@@ -57,6 +57,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.mine(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op12_attention_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention.score(read(spark, sf_dir, "documents"))
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -65,7 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_license_scan, op2_secret_scan, op3_nearest_neighbours,
                                    op4_suffix_dedup, op5_pii, op6_url_filter, op7_quality_rules, op8_source_mix,
                                    op9_sequence_packing, op10_ngram_jaccard, op11_hard_negatives,
-                                   op13_lexical_search)}
+                                   op12_attention_scores, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:
