@@ -47,7 +47,7 @@ LEAST = 8
 BASE = 1.3
 SAMPLE = 4096
 MAX_DEPTH = 9
-BEAM = 4
+BEAM = 16
 PART = 4096
 ASKING = 8192
 # Whole numbers up to this are exact in doubles, so matrix products are too.
@@ -253,6 +253,15 @@ def walk(asking: DataFrame, levels: list[DataFrame], norm2: int, turns: int, bea
     return front
 
 
+def _padded(values: list[bytes], none: int) -> np.ndarray:
+    """Packed lists of longs as rows of one length, filled up with ``none``."""
+    rows = [np.frombuffer(v, "<i8") for v in values]
+    out = np.full((len(rows), max(1, max(map(len, rows)))), none, np.int64)
+    for place, row in enumerate(rows):
+        out[place, :len(row)] = row
+    return out
+
+
 def verify(front: DataFrame, placed: DataFrame, turns: int, k: int) -> DataFrame:
     """(qid, window, cid, least, score): the ``k`` best classes of each window
     in the leaves of ``front``, exactly."""
@@ -269,16 +278,20 @@ def verify(front: DataFrame, placed: DataFrame, turns: int, k: int) -> DataFrame
             for at in range(0, len(asked), 256):
                 part = asked.slice(at, 256)
                 scores = _matrix(part["v"].to_pylist(), kind) @ x.T
-                for row, one in enumerate(part.select(["qid", "label", "same", "lows", "highs"]).to_pylist()):
-                    wanted = (label == one["label"]) == one["same"]
-                    for window, (a, b) in enumerate(zip(np.frombuffer(one["lows"], "<i8"), np.frombuffer(one["highs"], "<i8"))):
-                        good = np.flatnonzero(wanted & (scores[row] >= a) & (scores[row] <= b))
-                        if len(good) > k:
-                            edge = np.partition(scores[row, good], len(good) - k)[len(good) - k]
-                            good = good[scores[row, good] >= edge]
-                        good = good[np.argsort(-scores[row, good], kind="stable")][:k]
-                        out.append((np.full(len(good), one["qid"]), np.full(len(good), window), cid[good], least[good],
-                                    scores[row, good].astype(np.int64)))
+                qid, mine, same = (part[c].to_numpy() for c in ("qid", "label", "same"))
+                lows, highs = (_padded(part[c].to_pylist(), none) for c, none in (("lows", LARGEST), ("highs", -LARGEST)))
+                near = (scores >= lows.min(1)[:, None]) & (scores <= highs.max(1)[:, None])
+                row, column = np.nonzero(near & ((label == mine[:, None]) == same[:, None]))
+                score = scores[row, column].astype(np.int64)
+                for window in range(lows.shape[1]):
+                    inside = np.flatnonzero((score >= lows[row, window]) & (score <= highs[row, window]))
+                    # Columns ascend by id, so equal scores stay in that order.
+                    inside = inside[np.lexsort((column[inside], -score[inside], row[inside]))]
+                    held = np.bincount(row[inside], minlength=len(part))
+                    place = np.arange(len(inside)) - np.repeat(np.cumsum(held) - held, held)
+                    inside = inside[place < k]
+                    out.append((qid[row[inside]], np.full(len(inside), window), cid[column[inside]],
+                                least[column[inside]], score[inside]))
         columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 5
         return pa.table(dict(zip(("qid", "window", "cid", "least", "score"), columns)))
 
