@@ -55,7 +55,8 @@ class Encoder:
     Plain texts go through tiktoken's matcher, loaded with the same file's
     vocabulary, which gives the same ids several times as fast.  Texts with
     characters beyond the ranges below, where the two libraries' tables of
-    letters and blanks might differ, are encoded by ``tokenizers`` itself.
+    letters and blanks might differ, and texts that hold an added token (such
+    as the end of a text) are encoded by ``tokenizers`` itself.
     """
 
     NOT_PLAIN = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa0-\\u024f\\u1e00-\\u1eff\\u2010-\\u2027\\u20ac]")
@@ -67,16 +68,16 @@ class Encoder:
         import tiktoken
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         byte_of = _byte_of()
-        special = set(self.tokenizer.get_added_tokens_decoder())
+        special = self.tokenizer.get_added_tokens_decoder()
+        self.added = tuple(token.content for token in special.values())
         ranks = {bytes(map(byte_of.__getitem__, token)): rank
                  for token, rank in self.tokenizer.get_vocab(with_added_tokens=False).items() if rank not in special}
         self.fast = tiktoken.Encoding("bytes", pat_str=self.SPLITTER, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit values."""
-        if self.NOT_PLAIN.search(text):
+        if self.NOT_PLAIN.search(text) or any(token in text for token in self.added):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(text)

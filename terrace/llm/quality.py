@@ -170,20 +170,20 @@ def calibrate(featured: DataFrame, labels: DataFrame, limit: float = 0.01, alpha
 def judge(featured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """``featured`` with ``_base_failed`` and ``_kept``.
 
+    A stratum without a certificate of its own (too few labels, or none) is
+    judged by the base rule only: cutoffs of other strata bound nothing there.
     ``cutoffs`` has a row per language; Spark broadcasts it while it is small.
     """
     names = [r.name for r in RULES]
     own = cutoffs.where(~F.col("pooled") & (F.col("allowed") >= 0)).select(
-        F.col("stratum").alias("_stratum"), F.lit(True).alias("_own"), *[F.col(n).alias(f"_own_{n}") for n in names])
-    pooled = cutoffs.where("pooled").select(*[F.col(n).alias(f"_all_{n}") for n in names])
-    rows = featured.join(own, F.col("lang").eqNullSafe(F.col("_stratum")), "left").join(F.broadcast(pooled), how="left")
+        F.col("stratum").alias("_stratum"), *[F.col(n).alias(f"_own_{n}") for n in names])
+    rows = featured.join(own, F.col("lang").eqNullSafe(F.col("_stratum")), "left")
     rejected = F.lit(False)
     for r in RULES:
-        cutoff = F.when(F.col("_own"), F.col(f"_own_{r.name}")).otherwise(F.col(f"_all_{r.name}"))
-        rejected = rejected | F.coalesce(_beyond(r, cutoff), F.lit(False))
+        rejected = rejected | F.coalesce(_beyond(r, F.col(f"_own_{r.name}")), F.lit(False))
     return (rows.withColumn("_base_failed", base_failed())
             .withColumn("_kept", F.when(F.col("_base_failed"), F.lit(False)).otherwise(~rejected))
-            .drop("_stratum", "_own", *[f"_own_{n}" for n in names], *[f"_all_{n}" for n in names]))
+            .drop("_stratum", *[f"_own_{n}" for n in names]))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,7 +212,7 @@ def oracle(limit: float = 0.01, alpha: float = 0.05) -> str:
         cases = " ".join(f"WHEN c{n} <= allowed THEN {c}" for n, c in reversed(steps))
         picked.append(f"CASE {cases} END AS cut_{r.name}")
     fails = " OR ".join(
-        f"coalesce({r.name} {'<' if r.low else '>'} CASE WHEN own.allowed >= 0 THEN own.cut_{r.name} ELSE al.cut_{r.name} END, FALSE)"
+        f"coalesce({r.name} {'<' if r.low else '>'} own.cut_{r.name}, FALSE)"
         for r in RULES)
     blank = r"[\x20\x09-\x0D]"
     return rf"""
@@ -249,6 +249,5 @@ q AS (SELECT c.lang, c.pooled, allowed, {", ".join(picked)}
       FROM c JOIN b ON c.lang IS NOT DISTINCT FROM b.lang AND c.pooled = b.pooled)
 SELECT s.doc_id, s.n_words, s.word_chars, s.n_symbols, s.n_dup_lines, s.n_repeat_words, s.base_failed,
        NOT (s.base_failed OR {fails}) AS kept
-FROM s LEFT JOIN (SELECT * FROM q WHERE NOT pooled) own ON own.lang IS NOT DISTINCT FROM s.lang
-LEFT JOIN (SELECT * FROM q WHERE pooled) al ON TRUE
+FROM s LEFT JOIN (SELECT * FROM q WHERE NOT pooled AND allowed >= 0) own ON own.lang IS NOT DISTINCT FROM s.lang
 """

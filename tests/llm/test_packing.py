@@ -82,8 +82,11 @@ def test_every_plain_character_is_encoded_alike(tokenizer, encoder):
     assert encoder.encode(text) == np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-def test_special_strings_are_ordinary_text(encoder):
-    assert len(encoder.encode("<|endoftext|>")) > 4
+@pytest.mark.parametrize("text", ["<|endoftext|>", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>\n é", "<|endoftext|", "\u4e00<|endoftext|>"])
+def test_added_tokens_are_encoded_as_a_plain_encode_does(tokenizer, encoder, text):
+    want = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+    assert encoder.encode(text) == want.tobytes()
+    assert (50256 in want) == ("<|endoftext|>" in text)
 
 
 @settings(max_examples=40, deadline=None)

@@ -63,8 +63,18 @@ def test_certified_cutoffs_reject_junk_and_keep_clean(spark):
     out = {r.doc_id: r.kept for r in quality.digest(docs.union(junk).union(few), labels).collect()}
     assert all(out[i] for i in range(900))
     assert not any(out[10_000 + i] for i in range(5))
-    # A stratum without labels uses the pooled cutoffs.
-    assert not out[20_000] and not out[20_001]
+    # A stratum without labels has no bound of its own: the base rule alone rejects.
+    assert out[20_000] and out[20_001]
+
+
+def test_a_small_stratum_beyond_the_large_ones_cutoffs_is_kept(spark):
+    """Good documents of a small stratum that all look like another's junk."""
+    docs = labelled(spark, 900)
+    small = spark.createDataFrame([(30_000 + i, " ".join(f"{j}$$$###" for j in range(40 + i)), "xx") for i in range(30)],
+                                  docs.schema)
+    labels = docs.union(small).select("doc_id", F.lit(1).alias("quality"))
+    out = quality.digest(docs.union(small), labels).collect()
+    assert all(r.kept for r in out)
 
 
 def test_cutoffs_bound_the_rejected_share(spark):
