@@ -29,6 +29,25 @@ def high_water_mark(current: DataFrame | None, column: str, default):
     return default if value is None else value
 
 
+def past_mark(source: DataFrame, path: str, column: str, default) -> DataFrame:
+    """Rows strictly past the newest ``column`` of the Parquet table at ``path``.
+
+    The mark is a scalar subquery of the plan, not a round trip through the
+    driver; with ``spark.sql.parquet.aggregatePushdown`` the maximum comes from
+    the files' footers alone.
+    """
+    spark = source.sparkSession
+    lists = spark.conf.get("spark.sql.sources.useV1SourceList")
+    # Only the newer file reader answers aggregates from footers.
+    spark.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in lists.split(",") if x != "parquet"))
+    try:
+        current = spark.read.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.sources.useV1SourceList", lists)
+    mark = current.agg(F.max(column).alias("m")).scalar()
+    return source.where(F.col(column) > F.coalesce(mark, F.lit(default)))
+
+
 def newer_than(source: DataFrame, column: str, mark) -> DataFrame:
     """Rows strictly past the mark."""
     return source.where(F.col(column) > F.lit(mark))

@@ -8,6 +8,7 @@ equality key); adaptive execution then splits skewed key partitions.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -110,6 +111,37 @@ def _interval(facts: DataFrame, side: DataFrame, fact_key: str, version_key: str
             & (facts[fact_date] <= side[valid_to]))
 
 
+def salted_key(facts: DataFrame, fact_key: str) -> Column:
+    """The join key of facts.  A blank or missing one matches no version, but
+    shuffled or bucketed as it is, it would bring all such facts to one task;
+    so it becomes one of many keys that no version has (normalised postcodes
+    hold neither space nor small letter)."""
+    return F.when(F.length(fact_key) > 0, F.col(fact_key)).otherwise(
+        F.concat(F.lit("~blank "), F.pmod(F.xxhash64(*facts.columns), F.lit(BLANK_SALTS)).cast("string")))
+
+
+def bucketed(df: DataFrame, key: str, path: str, buckets: int) -> DataFrame:
+    """``df`` as a catalog table at ``path``, hashed into ``buckets`` by ``key``
+    and sorted by it.  Tables of one bucket count join on their keys without an
+    exchange, each time they are joined again."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    # One task a bucket, so that a bucket is one file and its order is kept.
+    (df.repartition(buckets, key).write.option("path", path).bucketBy(buckets, key).sortBy(key)
+     .format("parquet").saveAsTable(name))
+    return spark.table(name)
+
+
+def bucketed_validity_join(facts: DataFrame, versions: DataFrame, key: str, fact_date: str,
+                           valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "left") -> DataFrame:
+    """``validity_join`` of two ``bucketed`` tables on their common bucket column:
+    a merge of sorted buckets, with the interval as residual condition."""
+    f, v = facts.alias("f"), versions.hint("merge").alias("v")
+    on = ((F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col(f"f.{fact_date}") >= F.col(f"v.{valid_from}"))
+          & (F.col(f"f.{fact_date}") <= F.col(f"v.{valid_to}")))
+    return f.join(v, on, how).select("f.*", *[F.col(f"v.{c}").alias(c) for c in versions.columns if c != key])
+
+
 def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_key: str,
                   fact_date: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
                   how: str = "left", limit: int | None = None, memo: dict | None = None,
@@ -136,11 +168,7 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
     side, size = checked_broadcast(versions, limit, memo=memo, memo_key=memo_key, bound_by=bound_by)
     if size.broadcast:
         return facts.join(side, _interval(facts, side, fact_key, version_key, fact_date, valid_from, valid_to), how)
-    # A blank or missing key matches no version.  Shuffled as it is, it would
-    # bring all such facts to one task; so it is replaced by a salted key that
-    # no version has (normalised postcodes hold neither space nor small letter).
-    salted = facts.withColumn("_key", F.when(F.length(fact_key) > 0, F.col(fact_key)).otherwise(
-        F.concat(F.lit("~blank "), F.pmod(F.xxhash64(*facts.columns), F.lit(BLANK_SALTS)).cast("string"))))
+    salted = facts.withColumn("_key", salted_key(facts, fact_key))
     plain = salted.join(side, _interval(salted, side, "_key", version_key, fact_date, valid_from, valid_to),
                         how).drop("_key")
     if not split_hot_keys or how not in ("left", "inner"):
@@ -163,6 +191,34 @@ def validity_join(facts: DataFrame, versions: DataFrame, fact_key: str, version_
     return hot_part.unionByName(cold_part)
 
 
+def interval_lists(versions: DataFrame, version_key: str, valid_from: str = "valid_from",
+                   valid_to: str = "valid_to") -> DataFrame:
+    """One row per key: ``_versions``, its versions in order of their interval.
+
+    A list holds one key's versions (of a postcode, a handful); the key must be
+    one whose versions fit a row, whatever the number of facts that ask for it.
+    """
+    rest = [c for c in versions.columns if c not in (version_key, valid_from, valid_to)]
+    return (versions.where(F.col(version_key).isNotNull()).groupBy(version_key)
+            .agg(F.array_sort(F.collect_list(F.struct(valid_from, valid_to, *rest))).alias("_versions")))
+
+
+def interval_list_join(facts: DataFrame, lists: DataFrame, fact_key: str, version_key: str, fact_date: str,
+                       valid_from: str = "valid_from", valid_to: str = "valid_to", how: str = "left") -> DataFrame:
+    """``validity_join`` over ``interval_lists``.
+
+    Each fact meets at most one row, so no key fans out in the join, however hot
+    it is; the versions valid on the fact's date unfold from the list afterwards.
+    """
+    joined = facts.join(lists, F.col(fact_key) == F.col(version_key), "left" if how == "left" else "inner")
+    valid = F.filter("_versions", lambda v: (v[valid_from] <= F.col(fact_date)) & (F.col(fact_date) <= v[valid_to]))
+    unfold = F.explode_outer if how == "left" else F.explode
+    names = lists.schema["_versions"].dataType.elementType.names
+    return (joined.select(*facts.columns, version_key, unfold(valid).alias("_version"))
+            .select(*facts.columns, F.when(F.col("_version").isNotNull(), F.col(version_key)).alias(version_key),
+                    *[F.col(f"_version.{n}").alias(n) for n in names]))
+
+
 def unresolved_count(rows: DataFrame, lookup: DataFrame, key: str) -> DataFrame:
     """How many ``rows`` find no ``lookup`` row on ``key`` (NULL keys never do).
 

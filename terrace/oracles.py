@@ -171,18 +171,12 @@ def _silver_imd() -> str:
 
 
 def _dim_geography() -> str:
-    """Lookups first, each as one row per area; then the postcode versions."""
-    measures = [f"{p}_{kind}" for p, *_ in schemas.IMD_DOMAINS for kind in ("score", "decile")]
-    packed = ", ".join(f"{m} := {m}" for m in measures)
-    spread = ", ".join(f"imd.{m} AS {m}" for m in measures)
+    measures = ", ".join(f"i.{p}_{kind}" for p, *_ in schemas.IMD_DOMAINS for kind in ("score", "decile"))
     return f"""
-WITH area AS (SELECT lsoa21cd AS code, struct_pack(c := ruc21cd, n := ruc21nm, f := urban_rural_flag) AS ruc FROM silver_ruc),
-     score AS (SELECT lsoa11cd AS code, struct_pack({packed}) AS imd FROM silver_imd),
-     placed AS (SELECT v.*, ruc FROM silver_onspd v LEFT JOIN area ON area.code = v.lsoa21cd),
-     scored AS (SELECT p.*, imd FROM placed p LEFT JOIN score ON score.code = p.lsoa11cd)
-SELECT * EXCLUDE (onspd_key, ruc, imd), onspd_key AS geography_key,
-       ruc.c AS ruc21cd, ruc.n AS ruc21nm, ruc.f AS urban_rural_flag, {spread}
-FROM scored"""
+SELECT o.onspd_key AS geography_key, o.* EXCLUDE (onspd_key), r.ruc21cd, r.ruc21nm, r.urban_rural_flag, {measures}
+FROM silver_onspd o
+LEFT JOIN silver_ruc r ON o.lsoa21cd = r.lsoa21cd
+LEFT JOIN silver_imd i ON o.lsoa11cd = i.lsoa11cd"""
 
 
 def dim_property_sql(src: str = "silver_ppd") -> str:
@@ -230,15 +224,22 @@ FROM dated LEFT JOIN kinds USING (property_key)
 LEFT JOIN (SELECT normalized_postcode AS code, geo AS place FROM dim_geography geo) v
        ON code = dated.normalized_postcode AND day.d BETWEEN place.valid_from AND place.valid_to"""
 
+# The mart's measures, in the declared order.
+MEASURES = {
+    "total_transactions": "count(*)",
+    "total_sales_volume": "cast(sum(price) AS DECIMAL(22,2))",
+    "average_price": _mean("price"),
+    "min_price": "min(price)",
+    "max_price": "max(price)",
+    "avg_imd_score": _mean("place.imd_score"),
+    "avg_crime_score": _mean("place.crime_score"),
+    "avg_education_score": _mean("place.education_score"),
+}
+
 MART = f"""
-WITH per_sale AS (SELECT sold_in AS sale_year, place.urban_rural_flag AS urban_rural_flag, kind AS property_type,
-                         fresh AS new_build, price, place.imd_score AS imd, place.crime_score AS crime,
-                         place.education_score AS education FROM sales)
-SELECT sale_year, urban_rural_flag, property_type, new_build,
-       max(price) AS max_price, min(price) AS min_price, {_mean('price')} AS average_price,
-       cast(sum(price) AS DECIMAL(22,2)) AS total_sales_volume, count(*) AS total_transactions,
-       {_mean('education')} AS avg_education_score, {_mean('crime')} AS avg_crime_score, {_mean('imd')} AS avg_imd_score
-FROM per_sale GROUP BY ALL"""
+SELECT sold_in AS sale_year, place.urban_rural_flag AS urban_rural_flag, kind AS property_type, fresh AS new_build,
+       {", ".join(f"{sql} AS {name}" for name, sql in MEASURES.items())}
+FROM sales GROUP BY ALL"""
 
 
 def base_ctes(dirty: bool = False) -> list[tuple[str, str]]:

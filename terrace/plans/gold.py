@@ -62,6 +62,23 @@ def dim_geography(onspd: DataFrame, ruc: DataFrame, imd: DataFrame) -> DataFrame
     return j.select(*cols)
 
 
+# The folder column of a fact table written by year of sale.
+YEAR_FOLDER = "sale_year_folder"
+
+
+def write_by_year(fact: DataFrame, path: str) -> DataFrame:
+    """``fact`` written to ``path`` in one folder per year of sale, and read back.
+
+    A year is dealt over tasks by its keys' hash, so that a year that holds a
+    third of the rows is no single task's.
+    """
+    year = F.floor(F.col("date_key") / 10000).cast("int")
+    (fact.withColumn(YEAR_FOLDER, year)
+     .repartition(F.col(YEAR_FOLDER), F.pmod(F.xxhash64("transaction_id"), F.lit(16)))
+     .write.partitionBy(YEAR_FOLDER).parquet(path))
+    return fact.sparkSession.read.parquet(path)
+
+
 def property_key():
     """MD5 key of the four property attributes (dimension and fact agree)."""
     return md5_key(*schemas.PROPERTY_COLUMNS)

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from terrace.functions import mean, round_half_up
 from terrace.operators.joins import checked_broadcast, validity_join
+from terrace.plans import gold
 from terrace.plans.gold import DATE_SPINE_ROWS
 
 
-def _date_side(dim_date: DataFrame, *cols: str) -> DataFrame:
+def _date_side(dim_date: DataFrame, *cols: str | Column) -> DataFrame:
     """The calendar is bounded by construction (a fixed spine): broadcast it."""
     side, _ = checked_broadcast(dim_date.select(*cols), bounded_rows=DATE_SPINE_ROWS)
     return side
@@ -37,6 +38,22 @@ def _year_key_range(year_from: int, year_to: int) -> Column:
     return F.col("date_key").between(year_from * 10000 + 101, year_to * 10000 + 1231)
 
 
+def _sold_in(fact: DataFrame, dim_date: DataFrame, year: int, *cols: str) -> DataFrame:
+    """Sales of ``year`` with their ``date_key`` and ``full_date``.
+
+    A fact table in folders by year also joins the folder to the calendar's
+    year, so Spark prunes the folders by the filtered calendar at run time;
+    any other is pruned by the range of its date keys.
+    """
+    days = dim_date.where(F.col("full_date").between(F.make_date(F.lit(year), F.lit(1), F.lit(1)),
+                                                     F.make_date(F.lit(year), F.lit(12), F.lit(31))))
+    if gold.YEAR_FOLDER in fact.columns:
+        d = _date_side(days, "date_key", "full_date", F.col("year").alias(gold.YEAR_FOLDER))
+        return fact.select(*cols, "date_key", gold.YEAR_FOLDER).join(d, ["date_key", gold.YEAR_FOLDER]).drop(gold.YEAR_FOLDER)
+    d = _date_side(days, "date_key", "full_date")
+    return fact.where(_year_key_range(year, year)).select(*cols, "date_key").join(d, "date_key")
+
+
 def mart_rural_urban(fact: DataFrame, dim_date: DataFrame, dim_geo: DataFrame,
                      dim_prop: DataFrame, memo: dict | None = None) -> DataFrame:
     """Sales by year, rural/urban class, property type and new-build flag.
@@ -90,10 +107,7 @@ def top_deprived_areas(fact: DataFrame, dim_geo: DataFrame, dim_date: DataFrame,
                        max_decile: int = 2, k: int = 10, memo: dict | None = None) -> DataFrame:
     """Top-k districts/classes by mean deprivation score among the most
     deprived postcodes, for sales in ``year`` (inner validity join)."""
-    f = fact.where(_year_key_range(year, year)).select(
-        "transaction_id", "price", "date_key", "normalized_postcode")
-    d = _date_side(dim_date.where(F.col("year") == year), "date_key", "full_date")
-    fd = f.join(d, "date_key", "inner")
+    fd = _sold_in(fact, dim_date, year, "transaction_id", "price", "normalized_postcode")
     g = dim_geo.where(F.col("imd_decile") <= max_decile).select(
         F.col("normalized_postcode").alias("g_postcode"), "valid_from", "valid_to",
         "lad_code", "ruc21nm", "imd_score")
@@ -112,14 +126,13 @@ def detached_new_builds(fact: DataFrame, dim_date: DataFrame, dim_prop: DataFram
                         property_type_desc: str = "Detached", tenure_desc: str = "Freehold",
                         new_build: bool = True, k: int = 50, memo: dict | None = None) -> DataFrame:
     """Top-k sales by price of one property kind in ``year``."""
-    f = fact.where(_year_key_range(year, year)).select("transaction_id", "price", "date_key", "property_key")
-    d = _date_side(dim_date.where(F.col("year") == year), "date_key", "full_date")
+    fd = _sold_in(fact, dim_date, year, "transaction_id", "price", "property_key")
     p, _ = checked_broadcast(dim_prop.where(
         (F.col("property_type_desc") == property_type_desc) & (F.col("tenure_desc") == tenure_desc)
         & (F.col("new_build") == F.lit(new_build))).select(
         F.col("property_key").alias("p_key"), "property_type_desc", "tenure_desc"),
         memo=memo, memo_key="property", bound_by=property_bound(dim_prop))
-    j = f.join(d, "date_key", "inner").join(p, F.col("property_key") == F.col("p_key"), "inner")
+    j = fd.join(p, F.col("property_key") == F.col("p_key"), "inner")
     return (j.select("transaction_id", "price", F.col("full_date").alias("sale_date"),
                      "property_type_desc", "tenure_desc")
              .orderBy(F.desc_nulls_first("price"), F.asc("transaction_id"))

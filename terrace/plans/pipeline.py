@@ -58,8 +58,8 @@ def read(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
 
 
 def _archive(spark: SparkSession, paths: list[str], folder: str) -> None:
-    """Move landing files into ``folder`` (a new one per run, so a file that is
-    delivered again under its old name finds its place free)."""
+    """Move landing files and folders into ``folder`` (a new one per run, so
+    what is delivered again under its old name finds its place free)."""
     jvm = spark.sparkContext._jvm
     Path = jvm.org.apache.hadoop.fs.Path
     target = Path(folder)
@@ -88,7 +88,7 @@ def ingest_reference(spark: SparkSession, landing_dir: str, root: str, run_ts: _
         result.versions[f"raw_{name}"] = bronze.overwrite(rows)
         result.loaded[name] = bronze.read().count()
         result.superseded += found.superseded
-        _archive(spark, found.files + found.superseded, f"{archive}/{run_ts:%Y%m%dT%H%M%S%f}")
+        _archive(spark, found.entries, f"{archive}/{run_ts:%Y%m%dT%H%M%S%f}")
     return result
 
 

@@ -3,53 +3,88 @@
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.plans import gold, marts, silver
 
 
-@dataclass
+class Tables(Mapping):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class Star:
-    raw: dict[str, DataFrame]
-    silver_ppd: DataFrame
-    silver_onspd: DataFrame
-    silver_ruc: DataFrame
-    silver_imd: DataFrame
-    dim_geography: DataFrame
-    dim_property: DataFrame
-    dim_location: DataFrame
-    dim_date: DataFrame
-    fact_sales: DataFrame
-    # Broadcast-size measurements of dimension sides over these tables.
-    memo: dict = field(default_factory=dict)
-    _mart: DataFrame | None = None
+    """Every model over the bronze tables ``raw``, built when first asked for:
+    a query plans, and measures broadcast sides for, its own models only."""
+
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], run_ts: _dt.datetime | None = None):
+        self.spark = spark
+        self.raw = raw
+        self.run_ts = run_ts
+        # Broadcast-size measurements of dimension sides over these tables.
+        self.memo: dict = {}
+
+    @cached_property
+    def silver_ppd(self) -> DataFrame:
+        return silver.silver_ppd(self.raw["ppd"], self.run_ts)
+
+    @cached_property
+    def silver_onspd(self) -> DataFrame:
+        return silver.silver_onspd(self.raw["onspd"])
+
+    @cached_property
+    def silver_ruc(self) -> DataFrame:
+        return silver.silver_ruc(self.raw["ruc_lsoa_2021"])
+
+    @cached_property
+    def silver_imd(self) -> DataFrame:
+        return silver.silver_imd(self.raw["imd"])
+
+    @cached_property
+    def dim_geography(self) -> DataFrame:
+        return gold.dim_geography(self.silver_onspd, self.silver_ruc, self.silver_imd)
+
+    @cached_property
+    def dim_property(self) -> DataFrame:
+        return gold.dim_property(self.silver_ppd)
+
+    @cached_property
+    def dim_location(self) -> DataFrame:
+        return gold.dim_location(self.silver_ppd)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return gold.dim_date(self.spark)
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return gold.fact_sales(self.silver_ppd, self.run_ts)
+
+    @cached_property
+    def _mart(self) -> DataFrame:
+        return marts.mart_rural_urban(self.fact_sales, self.dim_date, self.dim_geography, self.dim_property, self.memo)
 
     def mart(self) -> DataFrame:
-        if self._mart is None:
-            self._mart = marts.mart_rural_urban(self.fact_sales, self.dim_date, self.dim_geography,
-                                                self.dim_property, self.memo)
         return self._mart
 
 
-def build_star(spark: SparkSession, raw: dict[str, DataFrame],
-               run_ts: _dt.datetime | None = None) -> Star:
-    """Lazy DataFrames for every model.  Jobs run here only to measure the
-    sides that are to be broadcast."""
-    s_ppd = silver.silver_ppd(raw["ppd"], run_ts)
-    s_onspd = silver.silver_onspd(raw["onspd"])
-    s_ruc = silver.silver_ruc(raw["ruc_lsoa_2021"])
-    s_imd = silver.silver_imd(raw["imd"])
-    return Star(
-        raw=raw,
-        silver_ppd=s_ppd,
-        silver_onspd=s_onspd,
-        silver_ruc=s_ruc,
-        silver_imd=s_imd,
-        dim_geography=gold.dim_geography(s_onspd, s_ruc, s_imd),
-        dim_property=gold.dim_property(s_ppd),
-        dim_location=gold.dim_location(s_ppd),
-        dim_date=gold.dim_date(spark),
-        fact_sales=gold.fact_sales(s_ppd, run_ts),
-    )
+def build_star(spark: SparkSession, raw: Mapping[str, DataFrame], run_ts: _dt.datetime | None = None) -> Star:
+    """Lazy DataFrames for every model."""
+    return Star(spark, raw, run_ts)

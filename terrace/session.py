@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     # Parquet scan split size; partitions stay well inside executor memory.
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,7 +34,9 @@ REFERENCE_SCHEMAS: dict[str, T.StructType | None] = {
 # an ordinary character.  A quoted empty cell is an empty string, an unquoted
 # one is missing (no cell of these files is the single control character).
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "nullValue": "\x01", "emptyValue": ""}
-CSV_WRITE_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""'}
+# Blanks around a cell are part of it (Spark's writer would cut them off).
+CSV_WRITE_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""',
+                     "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def read_ppd_text(spark: SparkSession, path: str) -> DataFrame:
@@ -97,45 +99,74 @@ def read_reference(spark: SparkSession, paths: str | list[str], table: str) -> D
                          for f in declared.fields])
 
 
-_PART = re.compile(r"[._-](?:part[._-]?)?\d{1,3}$", re.IGNORECASE)
+# A part of a delivery says so: ``..._part-7.csv``, ``..._part_00012.csv``, or
+# ``..._part-7-of-120.csv``.  A bare trailing number is a date or a version.
+_PART = re.compile(r"[._-]part[._-]?(\d+)(?:[._-]?of[._-]?(\d+))?$", re.IGNORECASE)
 
 
-def _delivery(name: str, prefix: str) -> str:
-    """Name of the delivery a file belongs to: files that differ only in a
-    trailing part number (``..._0.csv``, ``..._part-12.csv``) are one."""
-    return prefix + _PART.sub("", name[len(prefix):].removesuffix(".csv"))
+def _delivery(below: str) -> tuple[str, int | None, int | None]:
+    """(delivery, part, parts) of a file given by its path below the landing
+    folder.  A folder is one delivery with whatever files it holds (as Spark
+    writes them); a single file, or files that differ only in their part."""
+    if "/" in below:
+        return below.split("/", 1)[0], None, None
+    name = below.removesuffix(".csv")
+    part = _PART.search(name)
+    if not part:
+        return name, None, None
+    return name[:part.start()], int(part[1]), int(part[2]) if part[2] else None
 
 
 @dataclass
 class Landing:
-    """Files of a table's newest delivery, and files of older ones."""
+    """Files of a table's newest delivery, files of older ones, and what is to
+    be moved away once they are loaded (a delivery's folder, or its files)."""
     files: list[str]
     superseded: list[str]
+    entries: list[str] = field(default_factory=list)
+
+
+def _check_parts(table: str, name: str, found: list[tuple]) -> None:
+    """A delivery whose files say how many there are must be whole, and no
+    part may come twice."""
+    numbers = [part for _, _, part, _ in found if part is not None]
+    if len(numbers) != len(set(numbers)):
+        raise ValueError(f"delivery {name} for {table} holds a part twice")
+    stated = {parts for _, _, _, parts in found if parts is not None}
+    if stated and stated != {len(found)}:
+        raise ValueError(f"delivery {name} for {table} has {len(found)} of {max(stated)} parts")
 
 
 def landing_files(spark: SparkSession, landing_dir: str) -> dict[str, Landing]:
-    """Route landing ``*.csv`` files to bronze tables by file-name prefix.
+    """Route landing ``*.csv`` files to bronze tables by the prefix of their
+    delivery's name.
 
-    Only names and times are listed; unknown files are skipped.  Of several
-    deliveries for one table the newest counts, with all its parts; two that
-    are equally new cannot be told apart and raise.
+    Only names and times are listed; unknown deliveries are skipped.  Of several
+    deliveries for one table the newest counts, with all its files; two that
+    are equally new cannot be told apart and raise, as does one that is not whole.
     """
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
                .load(landing_dir).select("path", "modificationTime"))
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(landing_dir.rstrip("/")).toUri().getPath()
     routed: dict[str, dict[str, list]] = {}
+    entries: dict[tuple[str, str], set[str]] = {}
     for row in listing.collect():  # one row per file, not per record
-        name = row["path"].rsplit("/", 1)[-1]
+        base, below = row["path"].split(f"{root}/", 1)
+        delivery, part, parts = _delivery(below)
         for prefix, table in REFERENCE_MAP.items():
-            if name.startswith(prefix):
-                routed.setdefault(table, {}).setdefault(_delivery(name, prefix), []).append(
-                    (row["modificationTime"], row["path"]))
+            if delivery.startswith(prefix):
+                routed.setdefault(table, {}).setdefault(delivery, []).append(
+                    (row["modificationTime"], row["path"], part, parts))
+                entries.setdefault((table, delivery), set()).add(f"{base}{root}/{below.split('/', 1)[0]}")
                 break
     out = {}
     for table, deliveries in routed.items():
-        times = {name: max(t for t, _ in found) for name, found in deliveries.items()}
+        times = {name: max(f[0] for f in found) for name, found in deliveries.items()}
         newest = [name for name, t in times.items() if t == max(times.values())]
         if len(newest) > 1:
             raise ValueError(f"deliveries {sorted(newest)} for {table} are equally new")
-        out[table] = Landing(sorted(p for _, p in deliveries[newest[0]]),
-                             sorted(p for n, found in deliveries.items() if n != newest[0] for _, p in found))
+        _check_parts(table, newest[0], deliveries[newest[0]])
+        out[table] = Landing(sorted(f[1] for f in deliveries[newest[0]]),
+                             sorted(f[1] for n, found in deliveries.items() if n != newest[0] for f in found),
+                             sorted(e for n in deliveries for e in entries[table, n]))
     return out

@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from terrace.operators import joins
 
 D = dt.date
@@ -104,3 +106,19 @@ def test_blank_keys_match_nothing_and_are_spread(spark):
     assert len(rows) == 301 and [r.id for r in rows if r["name"]] == [1000] and "_key" not in out.columns
     inner = joins.validity_join(facts, versions, "k", "v", "d", how="inner", limit=0)
     assert [r.id for r in inner.collect()] == [1000]
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_interval_lists_equal_the_validity_join(spark, how):
+    """Overlaps fan out, gaps and blanks find nothing, a hot postcode is one row."""
+    day = lambda n: dt.date(2000, 1, 1) + dt.timedelta(days=n)
+    facts = spark.createDataFrame([(i, "HOT" if i % 3 else ["A", "", None, "B"][i % 4], day(i % 50) if i % 17 else None)
+                                   for i in range(600)], "id int, k string, d date")
+    versions = spark.createDataFrame([("HOT", day(0), day(20), 1), ("HOT", day(10), day(30), 2), ("A", day(5), day(5), 3),
+                                      ("C", day(0), day(99), 4), (None, day(0), day(99), 5), ("", day(0), day(1), 6)],
+                                     "vk string, valid_from date, valid_to date, n int")
+    lists = joins.interval_lists(versions, "vk")
+    assert lists.count() == lists.select("vk").distinct().count() == 4
+    got = joins.interval_list_join(facts, lists, "k", "vk", "d", how=how)
+    want = joins.validity_join(facts, versions, "k", "vk", "d", how=how)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))

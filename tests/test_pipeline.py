@@ -34,7 +34,7 @@ def _landing(spark, d, parts=1):
         found = sorted(glob.glob(f"{d}/tmp_{name}/part-*.csv"))
         assert len(found) == n
         for i, path in enumerate(found):
-            shutil.copy(path, f"{landing}/{name}_{i}.csv" if n > 1 else f"{landing}/{name}.csv")
+            shutil.copy(path, f"{landing}/{name}_part-{i:05d}.csv" if n > 1 else f"{landing}/{name}.csv")
     with open(f"{landing}/notes.csv", "w") as fh:  # unknown prefix: skipped
         fh.write("a,b\n1,2\n")
     return b, landing
@@ -73,7 +73,7 @@ def test_full_then_incremental_run(spark, tmpdir_run):
     assert r1.loaded["onspd"] == b["onspd"].count() == pipeline.read(spark, root, "raw", "onspd").count()
     assert os.listdir(landing) == ["notes.csv"]
     archived = sorted(os.path.basename(p) for p in glob.glob(f"{tmpdir_run}/processed/*/*.csv"))
-    assert archived == ["File_7_scores.csv", "ONSPD_FEB_0.csv", "ONSPD_FEB_1.csv", "ONSPD_FEB_2.csv", "Rural_Urban_2021.csv"]
+    assert archived == ["File_7_scores.csv", *[f"ONSPD_FEB_part-0000{i}.csv" for i in range(3)], "Rural_Urban_2021.csv"]
     run2 = RUN_TS + MONTH
     r2 = pipeline.run_pipeline(spark, root, "incremental", run2, ppd_path=_sales(spark, raw, f"{tmpdir_run}/month"),
                                as_of=dt.date(2001, 8, 20), min_rows=10)

@@ -6,8 +6,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from terrace import catalog
 from terrace.catalog import RUN_TS
-from terrace.plans import marts
+from terrace.operators import incremental, joins
+from terrace.plans import gold, marts
 from terrace.plans.star import build_star
 from terrace.sinks.tables import VersionedTable
 from terrace.sources import fixtures
@@ -104,3 +106,58 @@ def test_refcount_delta_is_an_equi_join(spark):
     p = plan(out)
     assert "NestedLoop" not in p and "CartesianProduct" not in p
     assert "SortMergeJoin" in p or "HashJoin" in p
+
+
+def _executed(df) -> str:
+    """The plan as it ran (adaptive execution included)."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_filtered_calendar_prunes_year_folders(spark, tmpdir_run):
+    s = _star(spark)
+    fact = gold.write_by_year(s.fact_sales, f"{tmpdir_run}/fact")
+    p = plan(marts.top_deprived_areas(fact, s.dim_geography, s.dim_date, 1998))
+    assert "dynamicpruning" in p and "date_key,19980101" not in p
+    p = plan(marts.detached_new_builds(fact, s.dim_date, s.dim_property, 1997))
+    assert "dynamicpruning" in p
+
+
+def test_the_mark_is_a_subquery_that_reads_footers(spark, tmpdir_run):
+    s = _star(spark)
+    s.silver_ppd.where("transfer_date < '1998-01-01'").write.parquet(f"{tmpdir_run}/silver")
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    new = incremental.past_mark(s.raw["ppd"], f"{tmpdir_run}/silver", "transfer_date", incremental.DEFAULT_DATE_MARK)
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    p = new._jdf.queryExecution().toString()
+    assert "ubquery" in p and "PushedAggregation: [MAX(transfer_date)]" in p
+    assert new.count() == s.raw["ppd"].where("transfer_date >= '1998-01-01'").count()
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmpdir_run):
+    facts = spark.range(1000).selectExpr("concat('P', id % 40) AS k", "date'2000-01-01' + cast(id % 900 AS int) AS d", "id")
+    versions = spark.range(80).selectExpr("concat('P', id % 40) AS k", "date'2000-01-01' + cast(id * 5 AS int) AS valid_from",
+                                          "date'2001-12-31' AS valid_to", "id AS version")
+    f = joins.bucketed(facts, "k", f"{tmpdir_run}/f", 4)
+    v = joins.bucketed(versions, "k", f"{tmpdir_run}/v", 4)
+    got = joins.bucketed_validity_join(f, v, "k", "d")
+    p = _executed(got)
+    assert "SortMergeJoin" in p and "Exchange" not in p
+    want = joins.validity_join(facts, versions.withColumnRenamed("k", "vk"), "k", "vk", "d").drop("vk")
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_no_job_before_silver_and_check_plans(spark):
+    sc = spark.sparkContext
+    catalog._STARS.clear()
+    sc.setJobGroup("planning", "plans only")
+    try:
+        for name in ("silver_transactions", "silver_postcodes", "silver_rural_urban", "silver_deprivation", "fact_sales",
+                     "check_price", "check_min_rows", "check_unique", "check_not_null", "metric_m1"):
+            catalog.queries()[name](spark, SF_SMALL)
+        tracker = sc.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("planning") for s in tracker.getJobInfo(j).stageIds]
+        # Only the footers that give a table's schema are read.
+        assert stages and all(s.name.startswith("parquet at") and s.numTasks == 1 for s in stages), stages
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

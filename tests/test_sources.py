@@ -58,22 +58,73 @@ def test_csv_round_trip(spark, tmpdir_run):
     assert got == {f"t{i}": r for i, r in enumerate(rows)}
 
 
+def _names(paths):
+    return [p.rsplit("/", 1)[1] for p in paths]
+
+
 def test_landing_routing_newest_delivery(spark, tmpdir_run):
     d = f"{tmpdir_run}/landing"
-    for name in ("IoD2019_old.csv", "File_7_new_0.csv", "File_7_new_1.csv", "File_7_new_part-2.csv", "ONSPD_X.csv", "unknown.csv"):
+    parts = ["File_7_new_part-0.csv", "File_7_new_part-1.csv", "File_7_new_part_00002.csv"]
+    for name in ("IoD2019_old.csv", *parts, "ONSPD_X.csv", "unknown.csv"):
         _write(f"{d}/{name}", "a\n1\n")
     os.utime(f"{d}/IoD2019_old.csv", (1_000_000, 1_000_000))
     routed = files.landing_files(spark, d)
     assert set(routed) == {"imd", "onspd"}
-    names = lambda paths: [p.rsplit("/", 1)[1] for p in paths]
-    assert names(routed["imd"].files) == ["File_7_new_0.csv", "File_7_new_1.csv", "File_7_new_part-2.csv"]
-    assert names(routed["imd"].superseded) == ["IoD2019_old.csv"]
-    for name in ("File_7_new_0.csv", "File_7_new_1.csv", "File_7_new_part-2.csv", "IoD2019_old.csv"):
+    assert _names(routed["imd"].files) == parts
+    assert _names(routed["imd"].superseded) == ["IoD2019_old.csv"]
+    for name in (*parts, "IoD2019_old.csv"):
         os.utime(f"{d}/{name}", (2_000_000, 2_000_000))
     with pytest.raises(ValueError, match="equally new"):
         files.landing_files(spark, d)
 
 
+@pytest.mark.parametrize("older, newer", [("ONSPD_2024-04", "ONSPD_2024-05"), ("ONSPD_MAY_23", "ONSPD_MAY_24"),
+                                          ("ONSPD_1", "ONSPD_2"), ("ONSPD.part", "ONSPD.parts-3")])
+def test_two_months_are_two_deliveries(spark, tmpdir_run, older, newer):
+    d = f"{tmpdir_run}/landing"
+    for name in (older, newer):
+        _write(f"{d}/{name}.csv", "a\n1\n")
+    os.utime(f"{d}/{older}.csv", (1_000_000, 1_000_000))
+    found = files.landing_files(spark, d)["onspd"]
+    assert (_names(found.files), _names(found.superseded)) == ([f"{newer}.csv"], [f"{older}.csv"])
+
+
+@pytest.mark.parametrize("digits", [1, 5, 9])
+def test_a_delivery_of_very_many_parts_is_whole(spark, tmpdir_run, digits):
+    d = f"{tmpdir_run}/landing"
+    for i in range(1200):
+        _write(f"{d}/Rural_Urban_2021_part-{i:0{digits}d}.csv", f"LSOA21CD\nE{i}\n")
+    found = files.landing_files(spark, d)["ruc_lsoa_2021"]
+    assert len(found.files) == 1200 and not found.superseded
+    rows = files.read_reference(spark, found.files, "ruc_lsoa_2021")
+    assert rows.count() == rows.distinct().count() == 1200
+
+
+def test_a_delivery_that_is_not_whole_is_refused(spark, tmpdir_run):
+    d = f"{tmpdir_run}/landing"
+    for i in (1, 2, 4):
+        _write(f"{d}/ONSPD_May_part-{i}-of-4.csv", "a\n1\n")
+    with pytest.raises(ValueError, match="3 of 4"):
+        files.landing_files(spark, d)
+    _write(f"{d}/ONSPD_May_part-3-of-4.csv", "a\n1\n")
+    assert len(files.landing_files(spark, d)["onspd"].files) == 4
+    _write(f"{d}/ONSPD_May_part-03.csv", "a\n1\n")
+    with pytest.raises(ValueError, match="twice"):
+        files.landing_files(spark, d)
+
+
+def test_folders_as_spark_writes_them(spark, tmpdir_run):
+    d = f"{tmpdir_run}/landing"
+    for month, n in (("2024-04", 3), ("2024-05", 7)):
+        (spark.range(n).selectExpr("concat('E', id) AS LSOA21CD").repartition(n)
+         .write.options(header=True).csv(f"{d}/Rural_Urban_{month}"))
+        for f in glob.glob(f"{d}/Rural_Urban_2024-04/*.csv"):
+            os.utime(f, (1_000_000, 1_000_000))
+    found = files.landing_files(spark, d)["ruc_lsoa_2021"]
+    assert len(found.superseded) and _names(found.entries) == ["Rural_Urban_2024-04", "Rural_Urban_2024-05"]
+    assert files.read_reference(spark, found.files, "ruc_lsoa_2021").count() == 7
+
+
 def test_reference_columns_are_found_by_name(spark, tmpdir_run):
     from terrace import schemas
     names = [f.name for f in schemas.RAW_ONSPD.fields]
