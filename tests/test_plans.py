@@ -153,7 +153,7 @@ def test_no_job_before_silver_and_check_plans(spark):
     sc.setJobGroup("planning", "plans only")
     try:
         for name in ("silver_transactions", "silver_postcodes", "silver_rural_urban", "silver_deprivation", "fact_sales",
-                     "check_price", "check_min_rows", "check_unique", "check_not_null", "metric_m1"):
+                     "check_price", "check_min_rows", "check_freshness", "metric_m1"):
             catalog.queries()[name](spark, SF_SMALL)
         tracker = sc.statusTracker()
         stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("planning") for s in tracker.getJobInfo(j).stageIds]
