@@ -13,6 +13,7 @@ come; further columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.license_rules import SIGNATURES
+from terrace.llm.spans import let, running, spans
 from terrace.llm.tables import text_or_empty
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -47,6 +49,7 @@ def parse_signatures(text: str) -> tuple[Signature, ...]:
 
 RULES = parse_signatures(SIGNATURES)
 
+RULE_ROWS = "array<struct<order:int,priority:int,base:boolean,label:string,keywords:array<string>,pattern:string>>"
 DETECTION = "struct<start:int,end:int,order:int,priority:int,base:boolean,label:string>"
 
 
@@ -61,53 +64,43 @@ def _spaces(text: Column) -> Column:
 
 
 def _rule_table(rules: Sequence[Signature]) -> Column:
-    return F.array(*[F.struct(
-        F.lit(i).alias("order"), F.lit(r.priority).alias("priority"), F.lit(r.base).alias("base"),
-        F.lit(r.label).alias("label"), F.array(*map(F.lit, r.keywords)).alias("keywords"),
-        F.lit(rf"(?<![^ ])(?:{r.pattern})(?![^ ])").alias("pattern")) for i, r in enumerate(rules)])
+    """The rules as one constant: parsed while planning, not built of thousands of literals."""
+    rows = [{"order": i, "priority": r.priority, "base": r.base, "label": r.label, "keywords": r.keywords,
+             "pattern": rf"(?<![^ ])(?:{r.pattern})(?![^ ])"} for i, r in enumerate(rules)]
+    return F.from_json(F.lit(json.dumps(rows)), RULE_ROWS)
 
 
 def _detections(norm: Column, rule: Column) -> Column:
     """Word intervals of one rule's matches, counted from the spaces passed."""
-    pieces = F.zip_with(F.split(norm, rule["pattern"], -1), F.regexp_extract_all(norm, rule["pattern"], F.lit(0)),
-                        lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-
-    def step(state: Column, piece: Column) -> Column:
-        start = (state["word"] + _spaces(piece["gap"])).cast("int")
-        last = (start + F.coalesce(_spaces(piece["match"]), F.lit(0))).cast("int")
-        found = F.struct(start.alias("start"), (last + 1).alias("end"), rule["order"].alias("order"),
-                         rule["priority"].alias("priority"), rule["base"].alias("base"), rule["label"].alias("label"))
-        return F.struct(last.alias("word"), F.when(piece["match"].isNull(), state["found"])
-                        .otherwise(F.concat(state["found"], F.array(found))).alias("found"))
-
-    zero = F.struct(F.lit(0).alias("word"), F.expr(f"cast(array() as array<{DETECTION}>)").alias("found"))
-    return F.aggregate(pieces, zero, step, lambda state: state["found"])
+    return F.transform(spans(norm, rule["pattern"], _spaces), lambda s: F.struct(
+        s["start"].alias("start"), (s["end"] + 1).alias("end"), rule["order"].alias("order"),
+        rule["priority"].alias("priority"), rule["base"].alias("base"), rule["label"].alias("label")))
 
 
 def _suppress(found: Column) -> Column:
     """Detections that no better one contains.
 
     In order of start, then longest first, then rank, every container of a
-    detection stands before it; so the furthest end seen so far per priority
-    decides, in one pass.
+    detection stands before it; so the furthest end seen so far among
+    detections of its priority or a higher one decides.
     """
-    ordered = F.array_sort(F.transform(found, lambda d: F.struct(
+    ordered = F.sort_array(F.transform(found, lambda d: F.struct(
         d["start"].alias("start"), (-d["end"]).alias("back"), d["priority"].alias("priority"),
         d["order"].alias("order"), d["base"].alias("base"), d["label"].alias("label"))))
 
-    def step(state: Column, d: Column) -> Column:
-        end = -d["back"]
-        reach = F.greatest(*[F.when(d["priority"] >= p, state[f"reach{p}"]).otherwise(F.lit(-1)) for p in PRIORITIES])
-        one = F.struct(d["start"].alias("start"), end.cast("int").alias("end"), d["order"].alias("order"),
-                       d["priority"].alias("priority"), d["base"].alias("base"), d["label"].alias("label"))
-        stays = d["base"] | (reach < end)
-        return F.struct(*[F.when(d["priority"] == p, F.greatest(state[f"reach{p}"], end)).otherwise(state[f"reach{p}"])
-                          .cast("int").alias(f"reach{p}") for p in PRIORITIES],
-                        F.when(stays, F.concat(state["kept"], F.array(one))).otherwise(state["kept"]).alias("kept"))
-
-    zero = F.struct(*[F.lit(-1).alias(f"reach{p}") for p in PRIORITIES],
-                    F.expr(f"cast(array() as array<{DETECTION}>)").alias("kept"))
-    return F.aggregate(ordered, zero, step, lambda state: state["kept"])
+    def reaches(ds: Column, priority: int) -> Column:
+        ends = F.transform(ds, lambda d: F.when(d["priority"] <= priority, -d["back"]).otherwise(F.lit(-1)))
+        return running(ends, F.lit(-1), lambda a, x: F.greatest(a, x))
+
+    def judged(ds: Column) -> Column:
+        reach = F.arrays_zip(*[reaches(ds, p).alias(f"reach{p}") for p in PRIORITIES])
+        return F.zip_with(ds, reach, lambda d, r: F.struct(
+            d["start"].alias("start"), (-d["back"]).alias("end"), d["order"].alias("order"),
+            d["priority"].alias("priority"), d["base"].alias("base"), d["label"].alias("label"),
+            (d["base"] | (F.coalesce(*[F.when(d["priority"] == p, r[f"reach{p}"]) for p in PRIORITIES])
+                          < -d["back"])).alias("stays")))
+
+    return F.transform(F.filter(let(ordered, judged), lambda d: d["stays"]), lambda d: d.dropFields("stays"))
 
 
 def scan(docs: DataFrame, rules: Sequence[Signature] = RULES) -> DataFrame:

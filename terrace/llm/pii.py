@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.spans import joined, no_spans, spans, spans_where, tagged
+from terrace.llm.spans import blocks, cut, joined, let, no_spans, spans, spans_where, tagged
 from terrace.llm.tables import text_or_empty
 
 MARK = "\x01"
@@ -126,26 +126,34 @@ PROPOSERS = {"email": _emails, "ip": _ips, "card": _cards, "phone": _phones,
              "iban": _ibans, "ssn": _ssns, "nhs": _nhs}
 
 
-def _score(kind: str, text: Column, span: Column) -> Column:
-    """Prior of the kind, raised when one of its words stands close by."""
+def _score(span: Column, pieces: Column) -> Column:
+    """Prior of the span's kind, raised when one of its words stands close by."""
     left = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    near = F.lower(F.concat_ws(" ", F.substring(text, left + 1, span["start"] - left),
-                               F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))))
-    words = "|".join(CONTEXT[kind])
-    return F.when(F.rlike(near, F.lit(rf"(?<![a-z])(?:{words})(?![a-z])")),
-                  F.least(F.lit(1.0), F.lit(PRIOR[kind] + CONTEXT_BONUS))).otherwise(F.lit(PRIOR[kind]))
+    near = F.lower(F.concat_ws(" ", cut(pieces, left, span["start"]),
+                               cut(pieces, span["end"], span["end"] + CONTEXT_CHARS)))
+
+    def of_kind(kind: str, near: Column) -> Column:
+        words = "|".join(CONTEXT[kind])
+        return F.when(F.rlike(near, F.lit(rf"(?<![a-z])(?:{words})(?![a-z])")),
+                      F.least(F.lit(1.0), F.lit(PRIOR[kind] + CONTEXT_BONUS))).otherwise(F.lit(PRIOR[kind]))
+
+    return let(near, lambda n: F.coalesce(*[F.when(span["kind"] == k, of_kind(k, n)) for k in KINDS]))
 
 
 def detect(docs: DataFrame, threshold: float = 0.6) -> DataFrame:
     """``docs`` with ``pii_spans``: sorted (start, rank, end, kind, match, score)."""
     text = text_or_empty()
-    parts = []
-    for rank, kind in enumerate(KINDS):
-        found = F.transform(tagged(kind, rank, PROPOSERS[kind](text)), lambda s: F.struct(
+    found = F.concat(*[tagged(kind, rank, PROPOSERS[kind](text)) for rank, kind in enumerate(KINDS)])
+
+    def scored(all_: Column) -> Column:
+        # Blocks are cut only where there is something to score.
+        pieces = F.when(F.size(all_) > 0, blocks(text))
+        return let(pieces, lambda b: F.transform(all_, lambda s: F.struct(
             s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"),
-            s["match"].alias("match"), _score(kind, text, s).alias("score")))
-        parts.append(found if kind in BASE else F.filter(found, lambda s: s["score"] >= threshold))
-    return docs.drop("pii_spans").withColumn("pii_spans", F.array_sort(F.concat(*parts)))
+            s["match"].alias("match"), _score(s, b).alias("score"))))
+
+    kept = F.filter(let(found, scored), lambda s: s["kind"].isin(*BASE) | (s["score"] >= threshold))
+    return docs.drop("pii_spans").withColumn("pii_spans", F.sort_array(kept))
 
 
 def digest(docs: DataFrame, threshold: float = 0.6) -> DataFrame:

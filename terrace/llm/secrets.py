@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm import tables
-from terrace.llm.spans import joined, no_spans, spans, tagged
+from terrace.llm.spans import blocks, cut, joined, let, no_spans, running, spans, tagged
 from terrace.llm.tables import text_or_empty
 
 GAP = "\0"
@@ -202,7 +202,7 @@ def scan(docs: DataFrame, rules: Iterable[Rule] = RULES) -> DataFrame:
         if rule.keep is not None:
             hits = F.filter(hits, lambda s: rule.keep(s["match"]))  # noqa: B023 (built at once)
         parts.append(tagged(rule.kind, rank, hits))
-    return (rows.withColumn("secret_spans", F.array_sort(F.concat(*parts)))
+    return (rows.withColumn("secret_spans", F.sort_array(F.concat(*parts)))
             .drop("_key", "_k_doc", "_k_hash", "_kinds"))
 
 
@@ -211,17 +211,17 @@ def redact(docs: DataFrame, rules: Iterable[Rule] = RULES, mark: str = "[SECRET]
     become one mark.  Columns stay as they are, but for ``text``."""
     text = F.col("text")
 
-    def step(state: Column, span: Column) -> Column:
-        fresh = span["start"] >= state["pos"]
-        return F.struct(
-            F.when(fresh, F.concat(state["out"], F.substring(text, state["pos"] + 1, span["start"] - state["pos"]),
-                                   F.lit(mark))).otherwise(state["out"]).alias("out"),
-            F.greatest(state["pos"], span["end"]).cast("int").alias("pos"))
+    def clean(found: Column, pieces: Column) -> Column:
+        ends = F.transform(found, lambda s: s["end"])
+        # Up to where the spans before reach; a span that starts earlier joins their mark.
+        reach = running(ends, F.lit(0), lambda a, x: F.greatest(a, x))
+        parts = F.zip_with(found, reach, lambda s, r: F.when(
+            s["start"] >= r, F.concat(cut(pieces, r, s["start"]), F.lit(mark))).otherwise(F.lit("")))
+        return F.concat(F.array_join(parts, ""), cut(pieces, F.array_max(ends), F.length(text)))
 
-    clean = F.aggregate("secret_spans", F.struct(F.lit("").alias("out"), F.lit(0).alias("pos")), step,
-                        lambda state: F.concat(state["out"], F.substring(text, state["pos"] + 1, F.length(text))))
     rows = scan(tables.packed(docs, "doc_id", "text"), rules)
-    new = F.when(F.size("secret_spans") > 0, clean).otherwise(text)
+    cleaned = let(F.col("secret_spans"), lambda found: let(blocks(text), lambda pieces: clean(found, pieces)))
+    new = F.when(F.size("secret_spans") > 0, cleaned).otherwise(text)
     return rows.select(F.col("_doc").withField("text", new).alias("_doc")).select("_doc.*")
 
 

@@ -226,3 +226,40 @@ def test_empty_and_repeated_rows(spark):
         assert module.digest(none).count() == 0
         assert module.digest(twice).count() == 4
     assert not math.isnan(licenses.digest(twice).first()["score"])
+
+
+def test_running_values_over_chunk_borders(spark):
+    from pyspark.sql import functions as F
+
+    from terrace.llm.spans import CHUNK, running
+    for n in (0, 1, CHUNK - 1, CHUNK, CHUNK + 1, 3 * CHUNK + 5):
+        values = [(7 * i) % 11 for i in range(n)]
+        got = spark.createDataFrame([(values,)], "v array<int>").select(
+            running(F.col("v"), F.lit(0), lambda a, x: a + x).alias("sums"),
+            running(F.col("v"), F.lit(-1), lambda a, x: F.greatest(a, x)).alias("tops")).first()
+        assert got.sums == [sum(values[:i]) for i in range(n)]
+        assert got.tops == [max([-1, *values[:i]]) for i in range(n)]
+
+
+def test_cut_over_block_borders(spark):
+    from pyspark.sql import functions as F
+
+    from terrace.llm.spans import blocks, cut
+    text = "".join(chr(0x1F600 + i % 50) if i % 3 else chr(97 + i % 26) for i in range(1500)) + "\n\r\nend"
+    places = [(0, 0), (0, 256), (255, 257), (256, 512), (3, 1400), (1490, 9999), (5000, 5040)]
+    df = spark.createDataFrame([(text, a, b) for a, b in places], "t string, a int, b int")
+    got = {(r.a, r.b): r.c for r in df.select("a", "b", cut(blocks(F.col("t")), F.col("a"), F.col("b")).alias("c")).collect()}
+    assert got == {(a, b): text[a:b] for a, b in places}
+
+
+def test_texts_with_very_many_matches(spark):
+    n = 40_000
+    licence = "under the mit license and more é\n" * n
+    secret = "".join(f"see token = abcdefgh{i:06d} and é\n" for i in range(n))
+    private = "".join(f"mail a{i}@b.com or +1 229 555-{i % 10000:04d} é\n" for i in range(n))
+    r = licenses.digest(table(spark, ["", licence])).where("doc_id = 1").first()
+    assert brute.licences(licence) == (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels)
+    for module, plain, text in ((secrets, brute.secrets, secret), (pii, brute.private, private)):
+        r = module.digest(table(spark, ["", text])).where("doc_id = 1").first()
+        assert r["base_sha256"] == brute.digest(plain(text))
+    assert secrets.redact(table(spark, ["", secret])).where("doc_id = 1").first().text == "see [SECRET] and é\n" * n
