@@ -2,16 +2,16 @@
 
 Keys are tagged with the list they are looked up in (``allow``, ``block`` for
 rules, ``host`` for listed hosts).  The key universe is every key that any url
-of the corpus asks for.  Level 1 is a Bloom filter of the listed keys of the
-universe; level 2 holds the keys of the universe that level 1 lets through
-wrongly; level 3 the listed keys that level 2 lets through, and so on until a
-level lets nothing through.  A key of the universe is listed if and only if
-the first level that does not hold it has an even number, or no level is left
-after an odd number of them.
+of the corpus asks for.  Level 1 is a Bloom filter of the listed keys; level 2
+holds the keys of the universe that level 1 lets through wrongly (only what
+level 1 lets through is compared with the list); level 3 the listed keys that
+level 2 lets through, and so on until a level lets nothing through.  A key of
+the universe is listed if and only if the first level that does not hold it
+has an even number, or no level is left after an odd number of them.
 
-Level sizes follow from the numbers of keys.  Levels are sent to the tasks
-while they stay below ``max_bytes`` together; beyond that the looked-up keys
-are joined with the listed ones instead, with the same results.
+Level sizes follow from the numbers of keys.  Keys are parted by hash into as
+many cascades as keep each below ``max_bytes``; urls are judged by one after
+the other, so no more than one is sent to the tasks at a time.
 
 Odd input: a null url or one without ``://`` has an empty host and path, no
 rule, and the verdict of the empty host; repeated rows and null ids are
@@ -26,7 +26,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.llm import tables
@@ -83,48 +83,69 @@ def _shape(keys: int, others: int, number: int) -> tuple[int, int]:
     return -(-bits // 64) * 64, max(1, round(-math.log2(rate)))
 
 
-def build(universe: DataFrame, max_bytes: int = MAX_BYTES) -> list[Level] | None:
-    """Levels over ``universe`` (h1, h2, listed: distinct keys); None if too large.
+def parts_of(listed: int, universe: int, max_bytes: int) -> int:
+    """Cascades needed: the levels after the first take under four bits a listed
+    key; a quarter is left for parts and levels that come out larger."""
+    bits = _shape(listed, universe, 0)[0] + 4 * listed if listed else 0
+    return max(1, math.ceil(bits * 1.25 / 8 / max_bytes))
 
-    Only the filters' words reach the driver, after their size is known.
-    """
-    levels: list[Level] = []
-    alive = universe
-    used = 0
-    counts = {r["listed"]: r["n"] for r in alive.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+
+def _fill(keys: DataFrame, number: int, size: int, hashes: int) -> Level:
+    """The Bloom filter of ``keys``; only its words reach the driver."""
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            at = np.unique(_places(rows["h1"].to_numpy(), rows["h2"].to_numpy(), number, size, hashes))
+            word, start = np.unique(at >> np.uint64(6), return_index=True)
+            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), start) if len(at) else at
+            yield pd.DataFrame({"word": word.astype(np.int64), "bits": bits.view(np.int64)})
+
+    found = (keys.select("h1", "h2").mapInPandas(words, "word long, bits long")
+             .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas())
+    filled = np.zeros(size // 64, dtype=np.uint64)
+    filled[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
+    return filled, size, hashes
+
+
+def _counts(keys: DataFrame) -> dict[bool, int]:
+    return {r["listed"]: r["n"] for r in keys.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+
+
+def build(universe: DataFrame, listed: DataFrame) -> list[Level]:
+    """Levels over the keys of ``universe`` and ``listed`` (key, h1, h2: distinct)."""
+    keys = listed.count()
+    if not keys:
+        return []
+    levels = [_fill(listed, 0, *_shape(keys, universe.count(), 0))]
+    spark = universe.sparkSession
+
+    def passed(rows: DataFrame, level: Level, number: int, spared: bool | None) -> DataFrame:
+        """Rows that the level holds, and those whose ``listed`` is ``spared``."""
+        shared = spark.sparkContext.broadcast(level)  # of one cascade, within max_bytes
+
+        def still(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for part in batches:
+                held = _holds(shared.value, number, part["h1"].to_numpy(), part["h2"].to_numpy())
+                yield part[held if spared is None else (part["listed"].to_numpy() == spared) | held]
+
+        return rows.mapInPandas(still, rows.schema)
+
+    survivors = passed(universe.select("key", "h1", "h2"), levels[0], 0, None)
+    alive = tables.materialize(
+        survivors.join(listed.select("key", F.lit(True).alias("_on")), "key", "left")
+        .select("h1", "h2", F.coalesce("_on", F.lit(False)).alias("listed")), "cascade")
     while True:
         number = len(levels)
         side = number % 2 == 0
-        keys, others = counts.get(side, 0), counts.get(not side, 0)
-        if not keys:
+        counts = _counts(alive)
+        if not counts.get(side):
+            tables.discard(alive)
             return levels
-        size, hashes = _shape(keys, others, number)
-        used += size // 8
-        if used > max_bytes:
-            return None
-
-        def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for rows in batches:
-                at = np.unique(_places(rows["h1"].to_numpy(), rows["h2"].to_numpy(), number, size, hashes))
-                word, start = np.unique(at >> np.uint64(6), return_index=True)
-                bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), start) if len(at) else at
-                yield pd.DataFrame({"word": word.astype(np.int64), "bits": bits.view(np.int64)})
-
-        found = (alive.where(F.col("listed") == side).select("h1", "h2").mapInPandas(words, "word long, bits long")
-                 .groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas())
-        filled = np.zeros(size // 64, dtype=np.uint64)
-        filled[found["word"].to_numpy()] = found["bits"].to_numpy().astype(np.int64).view(np.uint64)
-        level = (filled, size, hashes)
+        level = _fill(alive.where(F.col("listed") == side), number,
+                      *_shape(counts[side], counts.get(not side, 0), number))
         levels.append(level)
-        shared = alive.sparkSession.sparkContext.broadcast(level)  # within max_bytes
-
-        def still(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for rows in batches:
-                held = _holds(shared.value, number, rows["h1"].to_numpy(), rows["h2"].to_numpy())
-                yield rows[(rows["listed"] == side) | held]
-
-        alive = tables.materialize(alive.mapInPandas(still, "h1 long, h2 long, listed boolean"), "cascade")
-        counts = {r["listed"]: r["n"] for r in alive.groupBy("listed").agg(F.count("*").alias("n")).collect()}
+        rest = tables.materialize(passed(alive, level, number, side), "cascade")
+        tables.discard(alive)
+        alive = rest
 
 
 # --- urls -----------------------------------------------------------------------
@@ -170,6 +191,24 @@ def listed_hosts(hosts: DataFrame, words: Sequence[str] = LISTED_WORDS) -> DataF
     return hosts.where(F.rlike("host", F.lit(pattern)))
 
 
+def _first_listed(spark: SparkSession, levels: Sequence[Level], part: int, parts: int):
+    """Place of the first of a row's keys that lies in ``part`` and is listed."""
+    shared = spark.sparkContext.broadcast(levels)  # one cascade, within max_bytes
+
+    @F.pandas_udf("int")
+    def first_listed(h1: pd.Series, h2: pd.Series) -> pd.Series:
+        sizes = h1.str.len().to_numpy()
+        a, b = (np.concatenate([np.asarray(v, dtype=np.int64) for v in x]) for x in (h1, h2))
+        held = np.flatnonzero(a % parts == part)
+        held = held[member(shared.value, a[held], b[held])]
+        row = np.repeat(np.arange(len(sizes)), sizes)[held]
+        place = held - (np.cumsum(sizes) - sizes)[row]
+        first, at = np.unique(row, return_index=True)
+        return pd.Series(place[at], index=first).reindex(range(len(sizes))).astype("Int32")
+
+    return first_listed
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
           listed: DataFrame | None = None, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``page_id, host, path, rule, verdict`` of every page.
@@ -182,38 +221,26 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
     keys = rows.select(F.explode("asked").alias("key")).distinct()
     if listed is None:
         listed = listed_hosts(rows.select("host").distinct())
-    fixed = [f"{verdict} {h}{p}" for verdict, h, p in rules]
-    wanted = listed.where("host is not null").select(F.concat(F.lit("host "), F.col("host")).alias("key")).distinct()
-    on_list = keys.join(wanted.withColumn("_host", F.lit(True)), "key", "left").select(
-        "key", (F.col("key").isin(fixed) | F.coalesce("_host", F.lit(False))).alias("listed"))
-    universe = tables.materialize(on_list, "url-keys")
-    levels = build(universe.select(*_hashes(F.col("key")), "listed"), max_bytes)
-    if levels is None:
-        hits = universe.where("listed").select("key")
-        held = (rows.withColumn("_row", F.monotonically_increasing_id()))
-        held = tables.materialize(held, "url-rows")
-        found = (held.select("_row", F.posexplode("asked").alias("_at", "key")).join(hits, "key")
-                 .groupBy("_row").agg(F.min(F.struct("_at", "key")).alias("_hit")))
-        answered = held.join(found, "_row", "left").withColumn("hit", F.col("_hit.key"))
-    else:
-        shared = rows.sparkSession.sparkContext.broadcast(levels)  # at most max_bytes
-
-        @F.pandas_udf("string")
-        def first_listed(asked: pd.Series, h1: pd.Series, h2: pd.Series) -> pd.Series:
-            """Of each row's keys the first that the cascade holds."""
-            sizes = asked.str.len().to_numpy()
-            flat = lambda x: np.concatenate([np.asarray(v, dtype=np.int64) for v in x])
-            held = member(shared.value, flat(h1), flat(h2))
-            out, at = [], 0
-            for names, size in zip(asked, sizes):
-                mine = np.flatnonzero(held[at:at + size])
-                out.append(names[mine[0]] if len(mine) else None)
-                at += size
-            return pd.Series(out, dtype=object)
-
+    rule_rows = rows.sparkSession.createDataFrame([(f"{verdict} {h}{p}",) for verdict, h, p in rules], "key string")
+    wanted = (listed.where("host is not null").select(F.concat(F.lit("host "), F.col("host")).alias("key"))
+              .unionByName(rule_rows).distinct())
+    universe = tables.materialize(keys.select("key", *_hashes(F.col("key"))), "url-keys")
+    on_list = tables.materialize(wanted.select("key", *_hashes(F.col("key"))), "url-list")
+    parts = parts_of(on_list.count(), universe.count(), max_bytes)
+    answered = rows.withColumn("at", F.lit(None).cast("int"))
+    for part in range(parts):
+        mine = F.pmod("h1", F.lit(parts)) == part
+        levels = build(universe.where(mine), on_list.where(mine))
         h1 = F.transform("asked", lambda k: F.xxhash64(F.lit(1), k))
         h2 = F.transform("asked", lambda k: F.xxhash64(F.lit(2), k))
-        answered = rows.withColumn("hit", first_listed("asked", h1, h2))
+        before = answered
+        answered = answered.withColumn("at", F.least("at", _first_listed(rows.sparkSession, levels, part, parts)(h1, h2)))
+        if part < parts - 1:
+            answered = tables.materialize(answered, "url-rows")
+            if part:
+                tables.discard(before)
+    tables.discard(universe, on_list)
+    answered = answered.withColumn("hit", F.get("asked", F.col("at")))
     kind, key = F.substring_index("hit", " ", 1), F.regexp_replace("hit", "^[a-z]+ ", "")
     rule = F.when(kind != "host", key)
     verdict = F.when(kind == "allow", F.lit("allow")).when(kind.isin("block", "host"), F.lit("block")).otherwise(F.lit("allow"))
