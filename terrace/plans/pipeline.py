@@ -27,8 +27,9 @@ from terrace.sinks.tables import Manifest, VersionedTable
 from terrace.sources import files
 from terrace.streaming import ingest
 
-# Name under which a table records the silver version it has taken in.
+# Names under which a table records the version of its source it has taken in.
 SILVER_VERSION = "silver_ppd version"
+BRONZE_VERSION = "raw_ppd version"
 
 
 @dataclass
@@ -103,15 +104,21 @@ def ingest_ppd_file(spark: SparkSession, path: str, root: str, mode: str, run_ts
 
 
 def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime) -> tuple[dict[str, int], int]:
-    """Silver models; returns their versions and the number of late sales
-    (at or before the mark, not in silver: the strict mark never loads them)."""
+    """Silver models; returns their versions and the number of sales that
+    arrived late (at or before the mark: the strict mark never loads them).
+
+    Late sales are judged as they arrive: among the bronze years changed since
+    the version silver has taken in, those whose key these years did not hold
+    before.  No other year is read.  Where that version is gone, or nothing
+    recorded it, all of bronze is compared with silver.
+    """
     bronze = table(spark, root, "raw", "ppd")
     sales = table(spark, root, "silver", "silver_ppd")
     out: dict[str, int] = {}
     late = 0
-    current = sales.manifest()
+    current, arrived = sales.manifest(), bronze.manifest()
     if mode == "full" or not current.parts:
-        out["silver_ppd"] = sales.overwrite(silver.silver_ppd(bronze.read(), run_ts))
+        out["silver_ppd"] = sales.overwrite(silver.silver_ppd(bronze.read(), run_ts), arrived.version, BRONZE_VERSION)
     else:
         # High-water mark from the manifest's per-partition maxima: no scan;
         # bronze partitions that cannot hold a newer date are not read.
@@ -125,11 +132,11 @@ def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime
         # already there would hide the new rows from them.
         if run_ts <= stamp and not new.isEmpty():
             raise ValueError(f"run_ts {run_ts} must be later than the last load's {stamp}")
-        late = inc.late_rows(bronze.read(), sales.read(manifest=current), "transfer_date", mark,
-                             "transaction_id").count()
+        late = late_sales(bronze, sales, current, mark).count()
         if run_ts > stamp:
             out["silver_ppd"] = sales.upsert(
-                new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"))
+                new, "transaction_id", lambda cur, n: inc.replace_by_key(cur, n, "transaction_id"),
+                arrived.version, BRONZE_VERSION)
     for name, model, source in (("silver_onspd", silver.silver_onspd, "onspd"),
                                 ("silver_ruc", silver.silver_ruc, "ruc_lsoa_2021"),
                                 ("silver_imd", silver.silver_imd, "imd")):
@@ -137,18 +144,31 @@ def build_silver(spark: SparkSession, root: str, mode: str, run_ts: _dt.datetime
     return out, late
 
 
-def _changed(spark: SparkSession, sales: VersionedTable, taken: int | None) -> tuple[DataFrame, DataFrame] | None:
-    """Rows of the partitions that changed since silver version ``taken``: as
-    they are now and as they were.  None if that version is gone."""
-    now = sales.manifest()
-    before = None if taken is None else sales.manifest(taken)
+def late_sales(bronze: VersionedTable, sales: VersionedTable, current: Manifest, mark: _dt.date) -> DataFrame:
+    """Bronze rows at or before ``mark`` that arrived since silver version ``current``.
+
+    A key that bronze held before has been loaded or counted then; an upsert
+    rewrites both years of a key that moves, so its old row is among the
+    changed years as they were.
+    """
+    delta = _changed(bronze, current.streams.get(BRONZE_VERSION), schemas.RAW_PPD)
+    now, known = delta or (bronze.read(), sales.read(manifest=current))
+    return inc.late_rows(now, known, "transfer_date", mark, "transaction_id")
+
+
+def _changed(source: VersionedTable, taken: int | None, schema) -> tuple[DataFrame, DataFrame] | None:
+    """Rows of the partitions that changed since version ``taken``: as they are
+    now and as they were.  None if that version is gone."""
+    spark = source.spark
+    now = source.manifest()
+    before = None if taken is None else source.manifest(taken)
     if before is None:
         return None
 
     def part(m: Manifest, other: Manifest) -> DataFrame:
         found = {p: v for p, v in m.parts.items() if other.parts.get(p, (None,))[0] != v[0]}
-        rows = sales.read(manifest=Manifest(m.version, found)) if found else None
-        return spark.createDataFrame([], schemas.SILVER_PPD) if rows is None else rows
+        rows = source.read(manifest=Manifest(m.version, found)) if found else None
+        return spark.createDataFrame([], schema) if rows is None else rows
 
     return part(now, before), part(before, now)
 
@@ -165,7 +185,7 @@ def _distinct_dimension(spark: SparkSession, root: str, mode: str, name: str, co
     seen = counts.manifest()
     version = sales.version()
     known = mode != "full" and seen.parts
-    delta = _changed(spark, sales, seen.streams.get(SILVER_VERSION)) if known else None
+    delta = _changed(sales, seen.streams.get(SILVER_VERSION), schemas.SILVER_PPD) if known else None
     if delta is None:
         counts.overwrite(refcount.counts(sales.read(), cols), version, SILVER_VERSION)
     elif seen.streams[SILVER_VERSION] != version:

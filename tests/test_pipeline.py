@@ -103,6 +103,33 @@ def test_late_sales_are_counted(spark, tmpdir_run):
     assert late > 0 and run("incremental", RUN_TS + MONTH, _sales(spark, b["ppd"], f"{tmpdir_run}/month")).late_rows == late
 
 
+def test_late_sales_are_judged_within_the_years_that_changed(spark, tmpdir_run):
+    """Late, moved and repeated keys; no file of an untouched year is read."""
+    b, landing = _landing(spark, tmpdir_run)
+    root = f"{tmpdir_run}/wh"
+    first = "transfer_date < '2000-01-01' AND cast(transaction_id AS int) % 3 != 0"
+    pipeline.run_pipeline(spark, root, "full", RUN_TS, landing_dir=landing, min_rows=1, enforce_gate=False,
+                          ppd_path=_sales(spark, b["ppd"], f"{tmpdir_run}/full", first))
+    bronze, sales = (pipeline.table(spark, root, *n) for n in (("raw", "ppd"), ("silver", "silver_ppd")))
+    mark = b["ppd"].where(first).agg(F.max("transfer_date")).first()[0]
+    number = F.col("transaction_id").cast("int")
+    arriving = b["ppd"].where("year(transfer_date) = 1997").where(number % 3 == 0)
+    # A known sale moves from 1998 to 1997: it is in silver, so not late.
+    moved = b["ppd"].where(first).where("year(transfer_date) = 1998").orderBy("transaction_id").limit(1)
+    moved = moved.withColumn("transfer_date", F.lit(dt.date(1997, 5, 5)))
+    for run, rows in enumerate([arriving.unionByName(moved), arriving], 1):  # the second repeats rows of the first
+        pipeline.ingest_ppd_file(spark, _sales(spark, rows, f"{tmpdir_run}/month{run}"), root, "incremental", RUN_TS + run * MONTH)
+        late = pipeline.late_sales(bronze, sales, sales.manifest(), mark)
+        assert late.count() == arriving.count()
+        years = {f.rsplit("_part=", 1)[1].split("/")[0] for f in late.inputFiles()}
+        assert years == {"1997", "1998"}, years
+    versions, counted = pipeline.build_silver(spark, root, "incremental", RUN_TS + 3 * MONTH)
+    assert counted == arriving.count() > 0
+    # What was counted is not counted again, whether it comes again or not.
+    pipeline.ingest_ppd_file(spark, _sales(spark, arriving, f"{tmpdir_run}/again"), root, "incremental", RUN_TS + 4 * MONTH)
+    assert pipeline.build_silver(spark, root, "incremental", RUN_TS + 5 * MONTH)[1] == 0
+
+
 @pytest.mark.parametrize("stop", ["build_gold", "dim_location", "fact_sales", "build_mart"])
 def test_a_stopped_run_can_be_repeated(spark, tmpdir_run, monkeypatch, stop):
     """Stop the incremental run at a step, run it again: nothing is lost."""
