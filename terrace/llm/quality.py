@@ -196,7 +196,10 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their columns unchanged."""
-    cutoffs = tables.materialize(calibrate(features(docs.select("doc_id", "lang", "text")), labels), "cutoffs")
+    # Only documents labelled good count for the cutoffs; the others' features are taken once, below.
+    labelled = docs.select("doc_id", "lang", "text").join(
+        labels.where("quality = 1").select("doc_id"), "doc_id", "left_semi")
+    cutoffs = tables.materialize(calibrate(features(labelled), labels), "cutoffs")
     featured = features(tables.packed(docs, "lang", "text")).drop("text")
     return judge(featured, cutoffs).where("_kept").select("_doc.*")
 

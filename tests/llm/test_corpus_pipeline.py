@@ -103,7 +103,7 @@ def test_packing_stage(spark, outputs):
 def test_run_and_registration(spark):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert set(queries.queries()) <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
     a, b = (corpus_pipeline.run(spark, SF_SMALL) for _ in range(2))
     assert Counter(map(str, a.drop("sequence_id", "offset").collect())) == Counter(
         map(str, b.drop("sequence_id", "offset").collect()))
