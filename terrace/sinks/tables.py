@@ -125,6 +125,14 @@ class VersionedTable:
         root = jvm.org.apache.hadoop.fs.Path(self.path)
         return jvm, root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def incoming_path(self) -> str:
+        """A new folder for rows on their way into the table."""
+        return f"{self.path}/_incoming/{uuid.uuid4().hex}"
+
+    def delete(self, path: str) -> None:
+        jvm, fs = self._fs()
+        fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
+
     def _children(self, path: str) -> list[str]:
         """Paths directly below ``path`` (none if it does not exist)."""
         jvm, fs = self._fs()
@@ -160,6 +168,11 @@ class VersionedTable:
         """Newest batch id committed by ``stream`` (ids are per stream)."""
         return self.manifest().streams.get(stream)
 
+    def taken(self, batch_id: int | None, stream: str | None, manifest: Manifest | None = None) -> bool:
+        """Whether ``stream`` has committed ``batch_id`` already."""
+        newest = (manifest or self.manifest()).streams.get(stream)
+        return batch_id is not None and newest is not None and batch_id <= newest
+
     def mark(self, column: str, default=None, manifest: Manifest | None = None):
         """Maximum of a mark column over the whole table, from the manifest."""
         manifest = manifest or self.manifest()
@@ -289,7 +302,7 @@ class VersionedTable:
 
     def upsert(self, incoming: DataFrame, key: str,
                combine: Callable[[DataFrame, DataFrame], DataFrame],
-               batch_id: int | None = None, stream: str | None = None) -> int:
+               batch_id: int | None = None, stream: str | None = None, stored: bool = False) -> int:
         """Merge ``incoming`` with ``combine(current_rows_of_touched_partitions, incoming)``.
 
         Touched partitions = partitions of the incoming rows, plus partitions
@@ -297,9 +310,10 @@ class VersionedTable:
         when its partitioning column changes).  Both sets are collected as
         partition values only, bounded by the partition count.  A batch id
         the stream already committed is skipped (replay is a no-op).
+        ``stored``: ``incoming`` is read from files, so it is not written here.
         """
         m = self.manifest()
-        if batch_id is not None and stream in m.streams and batch_id <= m.streams[stream]:
+        if self.taken(batch_id, stream, m):
             return m.version
         current = self.read(with_part=True, manifest=m)
         if current is None:
@@ -307,9 +321,10 @@ class VersionedTable:
             return self.overwrite(first, batch_id, stream)
         # The increment is used several times (touched partitions, key
         # broadcast, merge): write it once to the table's shared folder.
-        kept = f"{self.path}/_incoming/{uuid.uuid4().hex}"
-        incoming.write.parquet(kept)
-        incoming = self.spark.read.schema(incoming.schema).parquet(kept)
+        kept = None if stored else self.incoming_path()
+        if kept:
+            incoming.write.parquet(kept)
+            incoming = self.spark.read.schema(incoming.schema).parquet(kept)
         try:
             inc = incoming.withColumn(PART, self.partition().cast("string"))
             from terrace.operators.joins import checked_broadcast
@@ -324,8 +339,8 @@ class VersionedTable:
             merged = combine(old, incoming).withColumn(PART, self.partition().cast("string"))
             written = self._write_version(merged, m.version + 1)
         finally:
-            jvm, fs = self._fs()
-            fs.delete(jvm.org.apache.hadoop.fs.Path(kept), True)
+            if kept:
+                self.delete(kept)
         # Untouched partitions keep their folders (and marks).
         parts = {p: v for p, v in m.parts.items() if p not in touched}
         parts.update(written)

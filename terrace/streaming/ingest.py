@@ -101,13 +101,16 @@ def merge_batch(table: VersionedTable, batch: DataFrame, batch_id: int, stream:
 
     Messages without a transaction id (malformed ones too) go to the table's
     reject folder, one sub-folder per batch, so a replay writes them once.
+    They are written before the batch is committed, so a committed batch has
+    nothing left to do.  Every message is parsed once: the decoded batch is
+    written, and the rejects and the merge read it from there.
     """
+    if table.taken(batch_id, stream):
+        return table.version()
     if "_pos" not in batch.columns:
         batch = batch.withColumn("_pos", F.monotonically_increasing_id())
-    decoded = messages.decode(batch, keep=["_src", "_pos", "value"])
-    bad = decoded.where(F.col("transaction_id").isNull()).select("value", "_src", "_pos")
-    bad.write.mode("overwrite").parquet(f"{_rejects(table.path)}/stream={stream}/batch={batch_id}")
-    rows = decoded.where(F.col("transaction_id").isNotNull()).drop("value")
+    unread = F.col("transaction_id").isNull()
+    decoded = messages.decode(batch, keep=["_src", "_pos", "value"]).withColumn("value", F.when(unread, F.col("value")))
 
     def combine(current, incoming):
         if current is None:
@@ -116,7 +119,16 @@ def merge_batch(table: VersionedTable, batch: DataFrame, batch_id: int, stream:
                             schemas.UPSERT_UPDATE_COLUMNS)
 
     combine.accepts_empty = True
-    return table.upsert(rows, "transaction_id", combine, batch_id=batch_id, stream=stream)
+    kept = table.incoming_path()
+    try:
+        decoded.write.parquet(kept)
+        decoded = table.spark.read.schema(decoded.schema).parquet(kept)
+        bad = decoded.where(unread).select("value", "_src", "_pos")
+        bad.write.mode("overwrite").parquet(f"{_rejects(table.path)}/stream={stream}/batch={batch_id}")
+        rows = decoded.where(~unread).drop("value")
+        return table.upsert(rows, "transaction_id", combine, batch_id=batch_id, stream=stream, stored=True)
+    finally:
+        table.delete(kept)
 
 
 def consume(spark: SparkSession, bronze_path: str, mode: str, *, bootstrap_servers: str | None = None,

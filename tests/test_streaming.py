@@ -64,3 +64,26 @@ def test_decode_absent_and_bad_fields(spark):
     assert str(rows["x1"].price) == "12.50" and rows["x1"].new_build is True
     assert rows["x2"].transfer_date is None and rows["x2"].postcode is None and rows["x2"].new_build is None
     assert rows["x2"]._ingested_at.microsecond == 500000
+
+
+def test_each_message_is_parsed_once_and_a_replay_reads_none(spark, tmpdir_run):
+    """Rows that a batch reads from its source, counted; rejects, merge and
+    a replayed batch read the source no further time."""
+    values = [('{"transaction_id": "x%d", "price": "1", "transfer_date": "2024-02-03 00:00"}' % i,) for i in range(20)]
+    values += [("not json",), ('{"price": "2"}',)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for part in batches:
+            seen.add(part.num_rows)
+            yield part
+
+    source = spark.createDataFrame(values, "value string").mapInArrow(count, "value string").withColumn("_src", F.lit("0"))
+    table = VersionedTable(spark, f"{tmpdir_run}/bronze", cluster_by=["transaction_id"])
+    first = ingest.merge_batch(table, source, 0, "s")
+    assert seen.value == 22
+    assert ingest.merge_batch(table, source, 0, "s") == first and seen.value == 22
+    assert ingest.merge_batch(table, source, 1, "s") == first + 1 and seen.value == 44
+    assert sorted(r.transaction_id for r in table.read().collect()) == sorted(f"x{i}" for i in range(20))
+    assert ingest.rejected(spark, table.path) == 4
+    assert table._children(f"{table.path}/_incoming") == []
